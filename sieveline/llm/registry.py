@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import written
 from ..sources.tables import table
-from . import bpe, mixing
+from . import bpe, encoding, mixing
+
+TEXT_FIELDS = ["title_display", "abstract_display"]
+
+
+def p1_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled_fields(table(spark, d, "bib_store"), "work_id", TEXT_FIELDS)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_restored(spark, d).select("work_id", "field_name").distinct()
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -26,5 +36,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
 SQL: dict[str, str] = {}
