@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import written
 from ..sources.tables import table
-from . import bpe, encoding, mixing
+from . import bpe, encoding, mixing, residue
 
 TEXT_FIELDS = ["title_display", "abstract_display"]
 
@@ -19,6 +19,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_restored(spark, d).select("work_id", "field_name").distinct()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue_fields(table(spark, d, "bib_store"), "work_id", TEXT_FIELDS)
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_documents(table(spark, d, "documents"), "doc_id", "text")
 
@@ -36,5 +40,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
 SQL: dict[str, str] = {}
