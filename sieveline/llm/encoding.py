@@ -329,6 +329,12 @@ class Garble:
         t = s
         if "&" in t and self.entity.search(t):
             t = self.entity.sub(lambda m: html.unescape(m.group()), t)
+        if 3 * sum(c > "\x7f" for c in t) < len(t):  # single accents and signs among plain text
+            quick = t
+            for _ in range(3):
+                quick = self._images(self._sequences(quick))
+                if not self.is_garbled(quick):
+                    return quick, True
         for _ in range(3):
             before = t
             t = self._sequences(self._whole_runs(t))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import written
 from ..sources.tables import table
-from . import bpe, encoding, mixing, residue
+from . import bpe, encoding, language, mixing, residue
 
 TEXT_FIELDS = ["title_display", "abstract_display"]
 
@@ -19,6 +20,20 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_restored(spark, d).select("work_id", "field_name").distinct()
 
 
+def p2_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of every title and abstract with its language and a confidence."""
+    bib = table(spark, d, "bib_store")
+    rows = language.label_segments(bib, "work_id", TEXT_FIELDS, language.fit(bib, "language", TEXT_FIELDS))
+    return rows.select("work_id", "field_name", F.explode("segments").alias("s")).select("work_id", "field_name", "s.seg_no", "s.lang", "s.confidence", "s.letters").distinct()
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    bib = table(spark, d, "bib_store")
+    cases = language.mislabelled(bib, "work_id", TEXT_FIELDS, "language", language.fit(bib, "language", TEXT_FIELDS))
+    content = cases.join(p4_found(spark, d), ["work_id", "field_name"], "left_anti")
+    return content.select("work_id", "field_name", F.explode("langs").alias("lang")).distinct()
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue_fields(table(spark, d, "bib_store"), "work_id", TEXT_FIELDS)
 
@@ -40,5 +55,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
 SQL: dict[str, str] = {}
