@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import written
 from ..sources.tables import table
-from . import bpe, encoding, language, mixing, residue
+from . import bpe, encoding, language, lookalike, mixing, residue
 
 TEXT_FIELDS = ["title_display", "abstract_display"]
 
@@ -38,6 +38,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue_fields(table(spark, d, "bib_store"), "work_id", TEXT_FIELDS)
 
 
+def _titles_and_heads(spark: SparkSession, d: str) -> DataFrame:
+    titles = table(spark, d, "bib_store").select(F.lit("title_display").alias("field_name"), "work_id", F.col("title_display").alias("text"))
+    heads = table(spark, d, "junk_doc_flags_v3").select(F.lit("title_head").alias("field_name"), "work_id", F.col("title_head").alias("text"))
+    return titles.unionByName(heads)
+
+
+def p6_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every title and head with its consistent form."""
+    return lookalike.with_form(_titles_and_heads(spark, d), "text").distinct()
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.same_look_pairs(_titles_and_heads(spark, d))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_documents(table(spark, d, "documents"), "doc_id", "text")
 
@@ -55,5 +70,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
 SQL: dict[str, str] = {}
