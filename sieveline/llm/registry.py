@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import written
 from ..sources.tables import table
-from . import bpe, encoding, language, lookalike, mixing, residue
+from . import bpe, encoding, language, lookalike, mixing, residue, truncation
 
 TEXT_FIELDS = ["title_display", "abstract_display"]
 
@@ -70,5 +70,20 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares}
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the odds that it was cut."""
+    return truncation.cut_documents(table(spark, d, "documents"), "doc_id", "source", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_documents(spark, d).where("cut").select("doc_id").distinct()
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Of each source its documents, those cut and their share."""
+    rows = p9_documents(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.count_if("cut").alias("cut_docs"))
+    return rows.withColumn("cut_share", F.col("cut_docs") / F.col("docs"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_documents": p9_documents, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
