@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import data_checks
+from . import data_checks, screening
 
-_MODULES = [data_checks]
+_MODULES = [data_checks, screening]
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
-FLAGSHIP = "p5_members"
+FLAGSHIP = "nano_ratio"
