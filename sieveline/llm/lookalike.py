@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import written
+
 # Letters of the same look; position by position.
 LATIN_C = "aeopcyxijshdqwlABEKMHOPCTXSIJYZN"
 CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХЅІЈУ  "
@@ -132,10 +134,10 @@ def same_look_pairs(texts: DataFrame) -> DataFrame:
     """
     rows = texts.where(F.col("work_id").isNotNull() & (F.length("text") > 0)).select("field_name", "work_id", "text")
     formed = with_form(rows, "text").where(F.col("form") != "")
-    changed = formed.where(F.col("form") != F.col("text")).distinct()
+    changed = written(formed.where(F.col("form") != F.col("text")).distinct(), "changed")  # a few per cent of the rows
     forms_ = changed.select("field_name", F.col("form").alias("text")).distinct()
     same = rows.join(forms_, ["field_name", "text"], "left_semi").distinct().withColumn("form", F.col("text"))
-    members = changed.unionByName(same.select(*changed.columns))
+    members = written(changed.unionByName(same.select(*changed.columns)), "members")
     variants = members.select("field_name", "form", "text").distinct()
     x, y = variants.alias("x"), variants.alias("y")
     on = (F.col("x.field_name") == F.col("y.field_name")) & (F.col("x.form") == F.col("y.form")) & (F.col("x.text") < F.col("y.text"))
