@@ -182,7 +182,11 @@ def ending_table(df: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _core(text_col: str) -> Column:
-    return F.regexp_replace(F.col(text_col), MARK, "")
+    """The text without its mark; the pattern is tried only on texts that end as a mark does."""
+    text = F.col(text_col)
+    end = F.rtrim(text, F.lit(" \t\n\r\f\x0b"))
+    may = F.right(end, F.lit(1)).isin("…", "]", ")", ">") | (F.right(end, F.lit(3)) == "...")
+    return F.when(may, F.regexp_replace(text, MARK, "")).otherwise(text)
 
 
 def length_histogram(df: DataFrame, source_col: str, text_col: str) -> DataFrame:
