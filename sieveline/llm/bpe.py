@@ -243,8 +243,8 @@ def encode_documents(df: DataFrame, id_col: str, text_col: str, vocab: str = DEF
 
 
 def count_tokens(df: DataFrame, text_col: str, name: str = "n_tokens", vocab: str = DEFAULT_VOCAB) -> DataFrame:
-    """``df`` without ``text_col``, with the number of its tokens instead; no shuffle."""
-    keep = [c for c in df.columns if c != text_col]
+    """``df`` without ``text_col``, with the number of its tokens as ``name`` (replacing such a column); no shuffle."""
+    keep = [c for c in df.columns if c not in (text_col, name)]
     source = df.select(*keep, text_col)
     schema = T.StructType([*[source.schema[c] for c in keep], T.StructField(name, T.LongType(), True)])
 

@@ -313,12 +313,16 @@ class Garble:
     def _cyrillic(self, s: str) -> str:
         if not self.case_flip.search(s):
             return s
-        best, cost = s, self._cost(s)
+
+        def odd(t: str) -> float:  # the commonest letters of Russian decide between readings that are both free of flips
+            return self._cost(t) - 0.05 * sum(c in "оеаинтсрвл" for c in t)
+
+        best, cost = s, odd(s)
         for wrong in SINGLE_CYRILLIC:
             for true in SINGLE_CYRILLIC:
                 if true != wrong:
                     t = re.sub("[Ѐ-џ]+", lambda m: _try(m.group(), wrong, true), s)  # noqa: B023
-                    if (c := self._cost(t)) < cost:
+                    if (c := odd(t)) < cost:
                         best, cost = t, c
         return best
 

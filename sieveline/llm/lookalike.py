@@ -107,7 +107,8 @@ def forms() -> Forms:
 
 
 def with_form(df: DataFrame, text_col: str, name: str = "form") -> DataFrame:
-    """``df`` with the consistent form of ``text_col``; plain ASCII texts never leave the JVM."""
+    """``df`` with the consistent form of ``text_col``; plain ASCII texts never leave the JVM. A column of that name is replaced."""
+    df = df.drop(name)
     plain = F.coalesce(F.col(text_col).rlike(PLAIN), F.lit(True))
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType(), True)])
     at = df.columns.index(text_col)

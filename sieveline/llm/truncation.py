@@ -52,6 +52,9 @@ CONTROLS = re.compile("[\x01-\x04]")
 OPEN_END = re.compile(r"[,;:(\[{=<+/&%–—\-]$|\($")
 
 
+#: Least odds of a text without a full stop that is exactly as long as a limit: one cut just before its stop is likelier
+#: than a complete one that lacks its stop and has this length by chance.
+AT_LIMIT = 0.1
 #: A text of one line without a full stop is a bare title far more often than a cut first sentence.
 HEADING_ODDS = 0.15
 MASK = (1 << 64) - 1
@@ -356,20 +359,25 @@ def cut_documents(df: DataFrame, id_col: str, source_col: str, text_col: str) ->
             for text, limits in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 o = ending_odds(text, final, met) if text and text.strip() else None
                 if o is not None:
-                    o *= censoring_odds(text, limits or [])
+                    at_limit, exact = censoring_odds(text, limits or [])
+                    if exact and MARK_RE.sub("", text).rstrip()[-1:] not in TERMINAL:
+                        o = max(o, AT_LIMIT)
+                    o *= at_limit
                 odds.append(o or 0.0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o > 1 for o in odds]), pa.array(odds, pa.float64())], names=[f.name for f in schema])
 
     return rows.mapInArrow(run, schema)
 
 
-def censoring_odds(text: str, limits: list[dict]) -> float:
-    """Odds from the length: of the posterior at the limit where the text's length lies, or those of any other length."""
+def censoring_odds(text: str, limits: list[dict]) -> tuple[float, bool]:
+    """Odds from the length, of the posterior at the limit where the text's length lies, or those of any other length;
+    and whether the text without a mark is exactly as long as a limit."""
     core = MARK_RE.sub("", text)
     size = {"chars": (len(core), len(text)), "bytes": (len(core.encode()), len(text.encode())), "words": (len(core.split()), len(text.split()))}
-    best = 0.0
+    best, exact = 0.0, False
     for x in limits:
         for v in size[x["unit"]]:
             if x["limit"] - SLACK[x["unit"]] <= v <= x["limit"]:
                 best = max(best, x["posterior"])
-    return min(20.0, max(0.5, best / max(1 - best, 0.01))) if best else 0.6
+        exact |= size[x["unit"]][0] == x["limit"] and x["posterior"] > 0.9
+    return (min(20.0, max(0.5, best / max(1 - best, 0.01))) if best else 0.6), exact
