@@ -379,5 +379,7 @@ def censoring_odds(text: str, limits: list[dict]) -> tuple[float, bool]:
         for v in size[x["unit"]]:
             if x["limit"] - SLACK[x["unit"]] <= v <= x["limit"]:
                 best = max(best, x["posterior"])
-        exact |= size[x["unit"]][0] == x["limit"] and x["posterior"] > 0.9
+        # a limit in bytes leaves out the character that it would split
+        spare = SLACK["bytes"] if x["unit"] == "bytes" else 0
+        exact |= x["limit"] - spare <= size[x["unit"]][0] <= x["limit"] and x["posterior"] > 0.9
     return (min(20.0, max(0.5, best / max(1 - best, 0.01))) if best else 0.6), exact
