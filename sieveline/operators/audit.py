@@ -9,13 +9,13 @@ from .. import config
 from ..functions import rules
 from ..functions.dialect import matches
 from ..functions.text import det_key
-from .flags import type_array
+from .flags import typed_once
 from .skew import top_per_key
 
 
 def scan(members: DataFrame) -> DataFrame:
     """Both rule generations side by side: ``work_id, nano_id, title_head, v2_hit, types`` of the works that either hits."""
-    rows = members.select("work_id", "nano_id", F.substring("title", 1, config.HEAD_SCAN).alias("title_head"), matches("title", rules.V2).alias("v2_hit"), type_array(F.col("title")).alias("types"))
+    rows = typed_once(members, F.col("title"), "types").select("work_id", "nano_id", F.substring("title", 1, config.HEAD_SCAN).alias("title_head"), matches("title", rules.V2).alias("v2_hit"), "types")
     return rows.where(F.col("v2_hit") | (F.size("types") > 0))
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import rules
 from ..functions.dialect import matches
+from ..runtime import by_key
 
 
 def primary_members(membership: DataFrame) -> DataFrame:
     """One row per work: its smallest nano. Rows without work or nano are no membership."""
     m = membership.where(F.col("work_id").isNotNull() & F.col("effective_nano_id").isNotNull())
-    return m.groupBy("work_id").agg(F.min("effective_nano_id").alias("nano_id"))
+    return by_key(m.select("work_id", "effective_nano_id"), "work_id").groupBy("work_id").agg(F.min("effective_nano_id").alias("nano_id"))
 
 
 def latest_works(bib: DataFrame, *columns: str) -> DataFrame:
@@ -35,14 +36,20 @@ def type_array(title: Column, patterns: dict[str, str] = rules.V3, exclude: dict
     return F.array_compact(F.array(*hits))
 
 
+def typed_once(df: DataFrame, title: Column, name: str = "junk_types") -> DataFrame:
+    """``df`` with its type array, made by a one-row generator: a filter on the array isn't pushed below it, where the
+    whole catalogue would be matched a second time."""
+    return df.select("*", F.explode(F.array(type_array(title))).alias(name))
+
+
 def v2_flags(members: DataFrame) -> DataFrame:
     hit = members.where(matches("title", rules.V2))
     return hit.select("work_id", "nano_id", F.substring("title", 1, config.HEAD_RULE).alias("title_head"), F.lit("junk_regex_v2").alias("reason"))
 
 
 def v3_flags(members: DataFrame) -> DataFrame:
-    typed = members.select("work_id", "nano_id", F.substring("title", 1, config.HEAD_RULE).alias("title_head"), type_array(F.col("title")).alias("junk_types"))
-    return typed.where(F.size("junk_types") > 0)
+    head = F.substring("title", 1, config.HEAD_RULE).alias("title_head")
+    return typed_once(members, F.col("title")).select("work_id", "nano_id", head, "junk_types").where(F.size("junk_types") > 0)
 
 
 def demote(v3: DataFrame, research: DataFrame) -> DataFrame:

@@ -47,3 +47,23 @@ def fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def width(spark: SparkSession) -> int:
+    """Partitions for work that is heavy per byte: at least one for each core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions by ``keys`` in a number that adaptive execution keeps, whatever their bytes.
+
+    An aggregate or join on the keys that follows needs no further shuffle. Used ahead of rule matching, whose cost
+    isn't in the bytes by which partitions would be merged.
+    """
+    return df.repartition(width(df.sparkSession), *keys)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores where its files give fewer splits than there are cores; else ``df`` as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
