@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..runtime import widen
+
 #: Where the vocabulary file lies on every node; pass another path to use another byte-level BPE.
 DEFAULT_VOCAB = "/opt/tokenizers/byte_bpe_50k.json"
 #: Fixed value: the published pre-token pattern of this vocabulary.
@@ -228,7 +230,7 @@ def bpe(path: str) -> ByteBPE:
 
 def encode_documents(df: DataFrame, id_col: str, text_col: str, vocab: str = DEFAULT_VOCAB) -> DataFrame:
     """``<id_col>, ids array<int>``: one row for each row of ``df``; no shuffle."""
-    source = df.select(id_col, text_col)
+    source = widen(df.select(id_col, text_col))
     schema = T.StructType([source.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()), True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +247,7 @@ def encode_documents(df: DataFrame, id_col: str, text_col: str, vocab: str = DEF
 def count_tokens(df: DataFrame, text_col: str, name: str = "n_tokens", vocab: str = DEFAULT_VOCAB) -> DataFrame:
     """``df`` without ``text_col``, with the number of its tokens as ``name`` (replacing such a column); no shuffle."""
     keep = [c for c in df.columns if c not in (text_col, name)]
-    source = df.select(*keep, text_col)
+    source = widen(df.select(*keep, text_col))
     schema = T.StructType([*[source.schema[c] for c in keep], T.StructField(name, T.LongType(), True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

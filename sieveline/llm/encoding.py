@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import widen
+
 # Encodings that take part in pairs; fixed values.
 WRONG_FOR_UTF8 = ["cp1252", "latin_1", "cp1250", "cp437", "cp850", "mac_roman", "iso8859_15", "iso8859_2", "cp1251", "koi8_r", "cp866"]
 WIDE_FOR_UTF8 = ["gbk", "big5", "cp949", "shift_jis", "euc_jp"]
@@ -372,7 +374,7 @@ MAYBE = r"[^\x00-\x7F]|&#?[A-Za-z0-9]+;&|\?[a-z0-9]"
 def as_fields(df: DataFrame, id_col: str, fields: list[str], *extra: str) -> DataFrame:
     """One row for each record and field: ``work_id, <extra>, field_name, value``; without nulls and empty texts."""
     pairs = [F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields]
-    rows = df.select(F.col(id_col).alias("work_id"), *extra, F.explode(F.array(*pairs)).alias("f"))
+    rows = widen(df.select(id_col, *extra, *fields)).select(F.col(id_col).alias("work_id"), *extra, F.explode(F.array(*pairs)).alias("f"))
     return rows.select("work_id", *extra, "f.field_name", "f.value").where(F.length("value") > 0)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import cut
+from ..runtime import cut, widen
 
 SLOTS = 1 << 20  # of each of the two tables of endings; 8 bytes a slot on the driver and on every worker
 DEPTH = 2
@@ -343,7 +343,7 @@ def _closed(core: str) -> bool:
 
 def cut_documents(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """``<id_col>, source, cut boolean, odds double`` of every row, also of those without text."""
-    full = df.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    full = widen(df.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), F.col(text_col).alias("text")))
     final, met = ending_table(full, "text")
     limits = cut(source_limits(length_histogram(full, "source", "text")))
     # one row for each source; joined by the engine, which broadcasts it if its measured size allows
