@@ -195,7 +195,25 @@ class Garble:
             back = raw.decode("utf-8", "ignore")
             if len(raw) > len(run) and len(back) < len(run) and len(back.encode("utf-8")) >= 0.8 * len(raw):
                 return True
-        return False
+        return self._wide_for_wide(run) != run
+
+    @staticmethod
+    def _wide_for_wide(run: str) -> str:
+        """A run of ideographs that is Japanese or Korean in a legacy encoding read with the decoder of another one.
+
+        Read rightly it is one-fifth hiragana, or nearly all Hangul; ideographs read so by mistake give neither.
+        """
+        if sum("㐀" <= c <= "鿿" for c in run) < 0.6 * len(run):
+            return run
+        for wrong in WIDE_FOR_UTF8[:3]:
+            raw = run.encode(wrong, "ignore")
+            if len(raw) < 1.8 * len(run):
+                continue
+            for true, first, last, share in (("shift_jis", "ぁ", "ん", 0.2), ("euc_kr", "가", "힣", 0.9)):
+                t = raw.decode(true, "ignore")
+                if wrong != true and len(t) >= 6 and len(t) * 2.2 >= len(raw) and sum(first <= c <= last for c in t) >= share * len(t):
+                    return t
+        return run
 
     def is_garbled(self, s: str | None) -> bool:
         if not s:
@@ -240,10 +258,10 @@ class Garble:
 
         def legacy(m: re.Match) -> str:
             run = m.group()
-            if self.hits(run) or not self._legacy_run(run):
+            if not self._legacy_run(run):
                 return run
             t = min(options(run, (*LEGACY_WIDE, *SINGLE_CYRILLIC)), key=self._cost, default=run)
-            return t if self._cost(t) < self._cost(run) else run
+            return t if self._cost(t) < 0.3 * self._cost(run) else run
 
         for runs in (self.any_run, self.bare_run, self.cyrillic_run):
             s = runs.sub(utf8, s)
@@ -307,6 +325,7 @@ class Garble:
                     return t
             return m.group()
 
+        s = self.wide_run.sub(lambda m: self._wide_for_wide(m.group()), s)
         s = re.sub("[⺀-鿿가-힣]{2,}", run, s) if self._round_trip(s) or self.wide_in_latin.search(s) else s
         for head, tail in (("鈥檚", "’s"), ("鈥�", "”"), ("鈥渉", "“h")):
             s = s.replace(head, tail) if self.wide_in_latin.search(s) else s

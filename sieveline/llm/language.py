@@ -11,7 +11,7 @@ sample of labelled rows (``SAMPLE_ROWS``) then gives the words of those segments
 of each language the ``WORDS`` most frequent. Only these word lists (at most 12 x ``WORDS`` words) go to the workers.
 
 Defined results: a null, empty or letterless text has no language. A garbled text is repaired first. Segments of under
-``MIN_LETTERS`` letters or of a margin under ``MIN_MARGIN`` phrases have no language of their own. Whole texts are
+``MIN_LETTERS`` letters, under three words or of a margin under ``MIN_MARGIN`` phrases have no language of their own. Whole texts are
 examined. Rows delivered twice give one result for each distinct value.
 """
 
@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .encoding import as_fields, garble
+from .lookalike import forms
 
 LANGS = ["en", "de", "fr", "es", "pt", "it", "nl", "pl", "ru", "ko", "ja", "zh"]
 SAMPLE_ROWS, WORDS = 5_000, 3_000
-MIN_LETTERS, MIN_MARGIN, STRANGE = 8, 1.5, 2.5
+MIN_LETTERS, MIN_MARGIN, WHOLE_MARGIN, STRANGE = 8, 1.5, 0.4, 2.5
 CACHE_WORDS = 300_000
+MIXED = re.compile("[Ͱ-ԯ](?:(?=[A-Za-z])|(?<=[A-Za-z].))")
 PART_ROWS = 2_000
 
 # Other notations of the languages.
@@ -197,14 +199,15 @@ class Model:
         return number, upto[ends] - upto[begin], letters[ends] - letters[begin], words[ends] - words[begin]
 
     @staticmethod
-    def decide(cost: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per segment the best language (-1 if it can't be told) and its confidence."""
+    def decide(cost: np.ndarray, letters: np.ndarray, words: np.ndarray, margin: float = MIN_MARGIN) -> tuple[np.ndarray, np.ndarray]:
+        """Per segment the best language (-1 if it can't be told) and its confidence. One or two words are no sentence."""
         if not len(cost):
             return np.zeros(0, np.int64), np.zeros(0)
         best = cost.argmin(axis=1)
         low, second = np.partition(cost, 1, axis=1)[:, :2].T
         weight = np.exp2(-(cost - low[:, None]).clip(0, 60))
-        sure = (letters >= MIN_LETTERS) & (second - low >= MIN_MARGIN)
+        sentence = (words >= 3) | ((letters >= 18) & (best >= LANGS.index("ja")))  # Chinese and Japanese don't part words
+        sure = (letters >= MIN_LETTERS) & sentence & (second - low >= margin)
         return np.where(sure, best, -1), np.where(letters > 0, 1 / weight.sum(axis=1), 0.0)
 
     def label(self, texts: list[str], titles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
@@ -213,28 +216,49 @@ class Model:
         A text with a segment that no language explains well (``STRANGE`` phrases a word) may be garbled: it is
         repaired if so, and parsed again.
         """
-        texts = [_plain(t) for t in texts]
+        raw, texts = texts, [_plain(t) for t in texts]
         number, cost, letters, words = self.parse(texts, titles)
-        best, confidence = self.decide(cost, letters)
+        best, confidence = self.decide(cost, letters, words)
         odd = np.unique(number[(cost.min(axis=1, initial=np.inf) > STRANGE * words) | (best < 0)]) if len(cost) else []
-        fixed = {int(k): t for k in odd if not (back := garble().restore(texts[k]))[1] or back[0] != texts[k] for t in [_plain(back[0])]}
+        fixed = {int(k): _plain(back) for k in odd for back in [garble().restore(raw[k])[0]] if back != raw[k]}
         if fixed:
             keep = ~np.isin(number, list(fixed))
-            n2, c2, l2, _ = self.parse(list(fixed.values()), titles)
-            b2, f2 = self.decide(c2, l2)
-            number = np.r_[number[keep], np.array(list(fixed), np.int64)[n2]]
-            best, confidence, letters = np.r_[best[keep], b2], np.r_[confidence[keep], f2], np.r_[letters[keep], l2]
+            n2, c2, l2, w2 = self.parse(list(fixed.values()), titles)
+            number, cost = np.r_[number[keep], np.array(list(fixed), np.int64)[n2]], np.r_[cost[keep], c2]
+            letters, words = np.r_[letters[keep], l2], np.r_[words[keep], w2]
             order = np.argsort(number, kind="stable")
-            number, best, confidence, letters = number[order], best[order], confidence[order], letters[order]
+            number, cost, letters, words = number[order], cost[order], letters[order], words[order]
+            best, confidence = self.decide(cost, letters, words)
             for k, t in fixed.items():
                 texts[k] = t
+        self._whole(number, cost, letters, words, best, confidence)
         return number, best, confidence, letters, texts
 
+    def _whole(self, number: np.ndarray, cost: np.ndarray, letters: np.ndarray, words: np.ndarray, best: np.ndarray, confidence: np.ndarray) -> None:
+        """A text none of whose segments can be told by itself is decided as a whole; its longest segment takes the language."""
+        told = np.unique(number[best >= 0])
+        left = ~np.isin(number, told)
+        if not left.any():
+            return
+        ids, at = np.unique(number[left], return_inverse=True)
+        total = np.zeros((len(ids), len(LANGS)))
+        np.add.at(total, at, cost[left])
+        n_letters, n_words = np.bincount(at, letters[left]), np.bincount(at, words[left])
+        lang, conf = self.decide(total, n_letters, n_words, WHOLE_MARGIN)
+        rows = np.flatnonzero(left)
+        for k in np.flatnonzero(lang >= 0):
+            mine = rows[at == k]
+            longest = mine[letters[mine].argmax()]
+            best[longest], confidence[longest] = lang[k], conf[k]
+
 
 def _plain(text: str) -> str:
-    """Without invisible characters and odd forms, which would cut words."""
-    if not text.isascii() and ODD_FORMS.search(text):
-        text = unicodedata.normalize("NFKC", text).translate(INVISIBLE)
+    """Without invisible characters, odd forms and letters of another script that only look right; all would cut words."""
+    if not text.isascii():
+        if ODD_FORMS.search(text):
+            text = unicodedata.normalize("NFKC", text).translate(INVISIBLE)
+        if MIXED.search(text):
+            text = forms().canonical(text)
     return text.replace(TEXT_END, " ") if TEXT_END in text else text
 
 
@@ -263,8 +287,8 @@ def learn_words(rows: list[tuple[str | None, str | None, str]]) -> dict[str, lis
         model = Model(words)
         count: dict[str, Counter] = defaultdict(Counter)
         for titles, labelled in texts.items():
-            number, cost, letters, _n = model.parse([t for _, t in labelled], titles)
-            best, confidence = model.decide(cost, letters)
+            number, cost, letters, n_words = model.parse([t for _, t in labelled], titles)
+            best, confidence = model.decide(cost, letters, n_words)
             segments = [p for _, t in labelled for p in pieces(t, titles)]
             for k, b, c, p in zip(number, best, confidence, segments):
                 if b == labelled[k][0] and c > 0.9:
