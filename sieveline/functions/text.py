@@ -118,3 +118,9 @@ def jaccard(a: Column, b: Column, theta: float = config.NEAR_DUPLICATE_THETA) ->
     na, nb = F.size(a), F.size(b)
     inter = F.size(F.array_intersect(a, b))
     return F.when(F.least(na, nb) < theta * F.greatest(na, nb), F.lit(0.0)).otherwise(inter / (na + nb - inter))
+
+
+def keyword_identity(row_json: Column | str) -> Column:
+    """Key of exactly equal keyword rows ``{term, role, variants}``; null for a malformed row."""
+    parsed = F.from_json(_c(row_json), "struct<term:string,role:string,variants:array<string>>")
+    return F.when(parsed["term"].isNotNull() & parsed["role"].isNotNull(), F.struct(parsed["term"].alias("term"), parsed["role"].alias("role"), F.coalesce(parsed["variants"], F.array().cast("array<string>")).alias("variants")))

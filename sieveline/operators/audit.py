@@ -91,3 +91,12 @@ def error_rates(calls: DataFrame) -> DataFrame:
     """Rates of false positives and borderline cases by type; ``calls`` has (type, call)."""
     n = F.count(F.lit(1))
     return calls.groupBy("type").agg(n.alias("n"), F.count_if(F.col("call") == "research").alias("fp"), F.count_if(F.col("call") == "borderline").alias("borderline"), F.round(F.count_if(F.col("call") == "research") / n, 4).alias("fp_rate"))
+
+
+def fill_members(candidates: DataFrame, per_nano: int = 20) -> DataFrame:
+    """The first ``per_nano`` works of each nano by tier, then citations, then a deterministic key.
+
+    ``candidates`` has (nano_id, work_id, tier, cites); null citations come last.
+    """
+    order = [F.col("tier"), F.desc_nulls_last("cites"), det_key("nano_id", "work_id"), F.col("work_id")]
+    return top_per_key(candidates, "nano_id", order, per_nano)

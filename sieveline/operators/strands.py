@@ -70,3 +70,9 @@ def residue(members: DataFrame, flagged: DataFrame, excluded: DataFrame, no_info
     left = members.join(flagged.select("nano_id").distinct(), "nano_id", "left_semi")
     left = left.join(excluded.select("work_id"), "work_id", "left_anti").join(no_info.select("work_id"), "work_id", "left_anti")
     return left.groupBy("nano_id").agg(F.count(F.lit(1)).alias("n_residue"))
+
+
+def attachment(nanos: DataFrame, least: float) -> DataFrame:
+    """Share of a nano's documents that are attached to a strand, null without any, and whether it is under ``least``."""
+    frac = F.when(F.col("attached_docs") > 0, F.col("attached_docs") / F.greatest("denom", F.lit(1)))
+    return nanos.withColumn("attach_frac", frac).withColumn("attach_frac_low", F.coalesce(F.col("attach_frac") < least, F.lit(False)))

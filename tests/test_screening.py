@@ -126,3 +126,27 @@ def test_states(spark, rows):
     df = spark.createDataFrame(data, "k string, n int, share double, verdict string, flag string, mixed boolean")
     got = dict(rows(df.select("k", status.decide(*[F.col(c) for c in ("n", "share", "verdict", "flag", "mixed")], F.lit(False)))))
     assert got == {"a": "junk_core", "b": "junk_no_core", "c": "mixed_core_pending", "d": "mixed_no_core", "e": "normal", "f": "junk_core_review", "g": "mixed_no_core"}
+
+
+def test_keyword_identity_attachment_and_fill(spark, rows):
+    import datetime  # noqa: F401
+
+    df = spark.createDataFrame([('{"term":"a","role":"r","variants":["x"]}',), ('{"role":"r","term":"a","variants":["x"]}',), ('{"term":"a","role":"r"}',), ("broken",), (None,), ('{"term":"a"}',)], "j string")
+    got = [r["k"] for r in df.select(text.keyword_identity("j").alias("k")).collect()]
+    assert got[0] == got[1] and got[0] != got[2] and got[3:] == [None, None, None]
+    nanos = spark.createDataFrame([(1, 5, 10), (2, 0, 10), (3, None, 0), (4, 1, 100)], "nano_id int, attached_docs bigint, denom bigint")
+    assert rows(strands.attachment(nanos, 0.1), "nano_id", "attach_frac", "attach_frac_low") == [(1, 0.5, False), (2, None, False), (3, None, False), (4, 0.01, True)]
+    works = spark.createDataFrame([(n, f"w{i}", i % 3, i if i % 5 else None) for n in (1, 2) for i in range(60)], "nano_id int, work_id string, tier int, cites int")
+    got = rows(audit.fill_members(works, 4))
+    assert len(got) == 8 and {r[2] for r in got} == {0} and {r[3] for r in got if r[0] == 1} == {57, 54, 51, 48}
+
+
+def test_verdicts_and_overrides(spark, rows):
+    v = [("DC_1", "single", "h", None, "k", 1, 1, "a"), ("DC_1", "mixed", "h", None, "k", 2, 1, "b"), ("DC_2_k", "single", "h", None, "k", 1, 1, "a"), ("DC_3_old", "single", "h", None, "k", 1, 1, "a"), ("DC_4", "single", "h", "bad", "k", 1, 1, "a"), ("D_5", "single", "h", None, "k", 1, 1, "a")]
+    df = spark.createDataFrame(v, "item_id string, verdict string, confidence string, format_error string, core_key string, priority int, seq int, source string")
+    assert rows(status.resolve_verdicts(df), "nano_id", "verdict") == [(1, "mixed"), (2, "single")]
+    s = spark.createDataFrame([(1, "junk_core"), (2, "normal")], "nano_id bigint, status string")
+    o = spark.createDataFrame([("1", "normal", "r", "d", "b"), ("_2", "x", "r", "d", "b"), ("text", "x", "r", "d", "b")], "nano_key string, status string, reason string, date string, by string")
+    assert rows(status.apply_overrides(s, o), "nano_id", "status_auto", "status", "override_reason") == [(1, "junk_core", "normal", "r (d, b)"), (2, "normal", "normal", None)]
+    last = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b")], "k int, seq int, v string")
+    assert rows(status.last_verdict(last, "k", "seq", "v")) == [(1, "c")]
