@@ -1,5 +1,7 @@
 """Policy constants; every operator takes them as parameters with these defaults."""
 
+# Tags, thresholds and sizes that results depend on.
+
 HEAD_RETRACTED, HEAD_RULE, HEAD_SCAN, HEAD_ABSTRACT = 80, 120, 200, 600
 SNAPSHOT = {"retracted": "20260625", "junk_regex_v2": "junk_flags_v2(#79)", "junk_regex_v3": "junk_flags_v3.2(#131)"}
 REASONS = ["retracted", "junk_regex_v2", "junk_regex_v3"]  # in order of priority
