@@ -199,9 +199,10 @@ class Garble:
 
     @staticmethod
     def _wide_for_wide(run: str) -> str:
-        """A run of ideographs that is Japanese or Korean in a legacy encoding read with the decoder of another one.
+        """A run of ideographs that is Japanese in a legacy encoding read with the decoder of another one.
 
-        Read rightly it is one-fifth hiragana, or nearly all Hangul; ideographs read so by mistake give neither.
+        Read rightly it is one-fifth hiragana, which ideographs read so by mistake never give. (Korean can't be told this
+        way: common Chinese characters share their bytes with Hangul syllables.)
         """
         if sum("㐀" <= c <= "鿿" for c in run) < 0.6 * len(run):
             return run
@@ -209,10 +210,9 @@ class Garble:
             raw = run.encode(wrong, "ignore")
             if len(raw) < 1.8 * len(run):
                 continue
-            for true, first, last, share in (("shift_jis", "ぁ", "ん", 0.2), ("euc_kr", "가", "힣", 0.9)):
-                t = raw.decode(true, "ignore")
-                if wrong != true and len(t) >= 6 and len(t) * 2.2 >= len(raw) and sum(first <= c <= last for c in t) >= share * len(t):
-                    return t
+            t = raw.decode("shift_jis", "ignore")
+            if len(t) >= 6 and len(t) * 2.2 >= len(raw) and 5 * sum("ぁ" <= c <= "ん" for c in t) >= len(t):
+                return t
         return run
 
     def is_garbled(self, s: str | None) -> bool:

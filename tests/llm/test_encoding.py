@@ -6,7 +6,7 @@ from sieveline.llm.encoding import Garble, garbled_fields
 
 G = Garble()
 CLEAN = [
-    "São Teravo – “naïve” façade, 5–12 °C ± 0.3 µg… §4", "INFORMAÇÃO CLÍNICA NÃO DISPONÍVEL EM TODAS AS REGIÕES", "Größere Höhenunterschiede in Göldern", "la città è già umida perché", "Średnia wartość wzrosła", "Результаты показывают, что рост зависит от воды", "수질이 뿌리 생장에 미치는 영향 (자료 RX-2156)", "読解力が根の成長に与える影響 (資料PC-22)", "物种多样性对睡眠时间的影响 [18F]", "Kraňov: α-helix and β-sheet, x ≥ 3, R²", "durée » et « été »", "Is it so? yes", "Hearing thresholds near Ångström", "http://x.org/?a=b", "", "plain",
+    "São Teravo – “naïve” façade, 5–12 °C ± 0.3 µg… §4", "INFORMAÇÃO CLÍNICA NÃO DISPONÍVEL EM TODAS AS REGIÕES", "Größere Höhenunterschiede in Göldern", "la città è già umida perché", "Średnia wartość wzrosła", "Результаты показывают, что рост зависит от воды", "수질이 뿌리 생장에 미치는 영향 (자료 RX-2156)", "読解力が根の成長に与える影響 (資料PC-22)", "物种多样性对睡眠时间的影响 [18F]", "诺里奥地区阅读能力与骨密度的长期观测报告 (资料AF-50248)", "Kraňov: α-helix and β-sheet, x ≥ 3, R²", "durée » et « été »", "Is it so? yes", "Hearing thresholds near Ångström", "http://x.org/?a=b", "", "plain",
 ]
 
 
