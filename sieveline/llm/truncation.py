@@ -326,7 +326,7 @@ def ending_odds(text: str, final: np.ndarray, met: np.ndarray) -> float | None:
         if m >= (2 if g > 1 else 1):
             q = (f + 0.05) / (m + 0.1)
             if g == 1 and len(chain) > 1 and kind == PROSE:
-                q *= 0.5  # the word is known, but never after the words before it
+                q *= 0.3  # the word is known, but never after the words before it
             return (1 - q) / max(q, 1e-3) * (0.2 if last in TERMINAL else HEADING_ODDS if kind == HEADING else 1.0)
     if kind == PROSE:
         return 12.0  # a word never met is broken off
