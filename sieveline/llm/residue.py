@@ -6,8 +6,10 @@ masked places are the template's slots. A slot is residue if it still holds a va
 the very field it should have been filled with. Which names are variables is learned from the corpus: those met in a
 style that has no other use (``{{x}}``, ``${x}``, ``<%= x %>`` ...) are looked up for the styles that have (``[x]``,
 ``%x%``, ``__x__``). A field name in a slot counts if the frame is met with the names of both fields or in several
-records. Error pages and script notices are whole segments that consist of a status, a failure or a demand; filler is
-pseudo-Latin or a few tokens repeated.
+records. The frames of all other segments are counted over the corpus, too: one that several works hold in different
+fields is a template, since what people write for one field isn't met word for word in the other. Error pages and script
+notices known beforehand are whole segments that consist of a status, a failure or a demand; filler is pseudo-Latin or a
+few tokens repeated.
 
 Defined results: null and empty texts hold no residue. A text that only speaks of such things, formulas and mark-up
 tags are none. Whole texts are examined, however long. Repeated rows give one result for each distinct (id, field).
@@ -21,6 +23,7 @@ from operator import eq
 
 import ahocorasick
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,8 @@ NAME = r"[A-Za-z_][\w]*(?:[.\-][A-Za-z_]\w*)*"
 _SURE = [rf"\{{\{{\s*{NAME}\s*\}}\}}", rf"\$\{{\s*(?P<a>{NAME})\s*\}}", rf"#\{{\s*{NAME}\s*\}}", rf"\{{\$\s*{NAME}\s*\}}", rf"\{{\s*{NAME}\|\w+\s*\}}", rf"\{{%-?\s*{NAME}\s*-?%\}}", rf"<%=?\s*{NAME}\s*%>", rf"<<\s*{NAME}\s*>>", rf"@@\s*{NAME}\s*@@", rf"\[\[\s*{NAME}\s*\]\]"]
 _UNSURE = [rf"\$\(\s*{NAME}\s*\)", rf"\[\s*{NAME}(?: {NAME})?\s*\]", rf"%{NAME}%", rf"(?<!\w)__(?:[A-Za-z]\w*?(?:\.\w+?)*)__(?!\w)", rf"<!--\s*{NAME}\s*-->", rf"&lt;\s*{NAME}\s*&gt;", rf"<\s*{NAME}\s*/>", rf"\{{\s*{NAME}\s*\}}", rf"<(?:enter|insert|type|your|add)\b[^<>]{{3,60}}>", rf"\[(?:enter|insert|type|your|add|to be|{FIELD_WORDS})\b[^\[\]]{{3,80}}\]"]
 SURE, UNSURE = re.compile("|".join(_SURE)), re.compile("|".join(_UNSURE))
+#: what every mark begins with
+MARKED = re.compile(r"[{\[<]|%[A-Za-z_]|\$\(|__|@@|&lt;")
 POSITIONAL = re.compile(r"\{\d\}|%[sd]\b|%\d\$s")
 DEFAULT = re.compile(r"\[object Object\]|^\W*(?:undefined|null|nan|none|n/a)(?:\W+(?:undefined|null|nan|none|n/a))+\W*$|^\W*(?:undefined|null)\W*$", re.I)
 PROMPT = re.compile(
@@ -83,6 +88,8 @@ SEGMENT = re.compile(r"\s*[\n\r  ]+\s*|\s[|]\s|(?<=[.!?。])\s+(?=\S)|(?<=[.
 MASK_NUMBER = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b|\d+(?:[.,]\d+)*")
 TAG = re.compile(r"</?(?:html|body|p|h\d|div|span|noscript|center|title|b|i|em|strong)\b[^<>]*>", re.I)
 FIELD_NAME = re.compile(r"\b(title|abstract)\b", re.I)
+#: A frame of fewer words (or East Asian letters) is met in any field by chance.
+WORDY = re.compile(r"[^\W\d_]{2,}[\W\d_]+[^\W\d_]{2,}|[⺀-힣]{4,}")
 
 
 class Residue:
@@ -165,14 +172,31 @@ class Residue:
             out.append(("sure", frame(POSITIONAL.sub("▢", segment)), "positional"))
         return out
 
-    def evidence(self, text: str, field: str) -> list[tuple[str, str, str]]:
+    @staticmethod
+    def frames(segments: list[str]) -> set[int]:
+        """Hashes (64 bits) of the frames of a text's segments: marked tokens, numbers, identifiers and field names masked."""
+        out = set()
+        for s in segments:
+            if "<" in s:
+                s = TAG.sub(" ", s)
+            if MARKED.search(s):
+                s = SURE.sub("▢", UNSURE.sub("▢", s))
+            s = MASK_NUMBER.sub("0", s.lower())
+            if "title" in s or "abstract" in s:
+                s = FIELD_NAME.sub("▢", s)
+            s = s.strip(" *|>-.!…")
+            if WORDY.search(s):
+                out.add(xxhash.xxh64_intdigest(s) - (1 << 63))
+        return out
+
+    def evidence(self, text: str, field: str, segments: list[str] | None = None) -> list[tuple[str, str, str]]:
         words = text.split()
         repeated = True in map(eq, words, words[2:])  # a token repeated with period one or two is met again two places on
         low = text.lower()
         if not repeated and next(self.cues.iter(low), None) is None:
             return []
         out = []
-        for segment in SEGMENT.split(text):
+        for segment in SEGMENT.split(text) if segments is None else segments:
             if segment and (repeated or next(self.cues.iter(segment.lower()), None) is not None):
                 out += self.kinds(segment, field, repeated)
         return out
@@ -188,35 +212,55 @@ def residue() -> Residue:
 
 
 def slot_evidence(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
-    """Stage one, without a shuffle: ``work_id, field_name, kind, frame, slot`` of segments that could be residue."""
+    """Stage one, without a shuffle: ``work_id, field_name, kind, frame, slot`` of segments that could be residue, and of
+    every segment a row of kind ``segment`` with the hash of its frame in ``hash``."""
     rows = as_fields(df, id_col, fields)
-    schema = T.StructType([rows.schema["work_id"], rows.schema["field_name"], *[T.StructField(c, T.StringType()) for c in ("kind", "frame", "slot")]])
+    schema = T.StructType([rows.schema["work_id"], rows.schema["field_name"], *[T.StructField(c, T.StringType()) for c in ("kind", "frame", "slot")], T.StructField("hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = residue()
         for b in batches:
             at, found = [], []
             for i, (field, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                for e in r.evidence(text, field):
+                segments = SEGMENT.split(text)
+                for e in r.evidence(text, field, segments):
                     at.append(i)
-                    found.append(e)
+                    found.append((*e, None))
+                for h in r.frames(segments):
+                    at.append(i)
+                    found.append(("segment", None, None, h))
             k = pa.array(at, pa.int32())
             cols = [pa.array([e[j] for e in found], pa.string()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), *cols], names=["work_id", "field_name", "kind", "frame", "slot"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), *cols, pa.array([e[3] for e in found], pa.int64())], names=["work_id", "field_name", "kind", "frame", "slot", "hash"])
 
     return rows.mapInArrow(run, schema)
 
 
 #: Records in which a frame with the field's own name must be met to be a template.
 MIN_ALIGNED = 3
+#: Least share of the works with a frame in its second field against those in its first: a heading of abstracts is the
+#: title of few works, and the reverse.
+BALANCE = 0.1
+
+
+def templates(segments: DataFrame, min_aligned: int) -> DataFrame:
+    """``work_id, field_name`` of the fields with a segment whose frame is a template: at least ``min_aligned`` works hold
+    it in one field only (a title copied into its own abstract says nothing), and not all of them in the same field."""
+    both = segments.groupBy("hash").agg(F.min("field_name").alias("lo"), F.max("field_name").alias("hi")).where("lo <> hi").select("hash")
+    met = written(segments.join(both, "hash", "left_semi"), "aligned")
+    single = met.groupBy("hash", "work_id").agg(F.min("field_name").alias("lo"), F.max("field_name").alias("hi")).where("lo = hi")
+    per_field = single.groupBy("hash", "lo").agg(F.count(F.lit(1)).alias("works"))
+    per_frame = per_field.groupBy("hash").agg(F.sum("works").alias("works"), F.sort_array(F.collect_list("works"), asc=False).alias("by_field"))
+    frames = per_frame.where((F.col("works") >= min_aligned) & (F.try_element_at("by_field", F.lit(2)) >= BALANCE * F.element_at("by_field", 1)))
+    return met.join(frames.select("hash"), "hash", "left_semi").select("work_id", "field_name")
 
 
 def residue_fields(df: DataFrame, id_col: str, fields: list[str], min_aligned: int = MIN_ALIGNED) -> DataFrame:
     """``work_id, field_name`` of the fields that hold residue.
 
-    Stage two aligns the evidence, a few per cent of the records: by slot name (is it a variable elsewhere) and by
-    frame (is it a template). Both are counted with map-side combining and joined with a shuffle, so nothing that
-    grows with the corpus is broadcast.
+    Stage two aligns the evidence by slot name (is it a variable elsewhere) and by frame (is it a template), and all
+    segments by the hash of their frame. All are counted with map-side combining and joined with a shuffle, so nothing
+    that grows with the corpus is broadcast.
     """
     e = written(slot_evidence(df, id_col, fields), "evidence")  # read by every branch below
     sure = e.where(F.col("kind") == "sure")
@@ -225,4 +269,5 @@ def residue_fields(df: DataFrame, id_col: str, fields: list[str], min_aligned: i
     own = e.where(F.col("kind") == "field")
     frames = own.groupBy("frame").agg(F.approx_count_distinct("work_id").alias("works"), F.size(F.collect_set("field_name")).alias("in_fields"))
     aligned = own.join(frames.where((F.col("works") >= min_aligned) & (F.col("in_fields") >= 2)), "frame", "left_semi")
-    return sure.select("work_id", "field_name").unionByName(named.select("work_id", "field_name")).unionByName(aligned.select("work_id", "field_name")).distinct()
+    repeated = templates(e.where(F.col("kind") == "segment").select("hash", "work_id", "field_name"), min_aligned)
+    return sure.select("work_id", "field_name").unionByName(named.select("work_id", "field_name")).unionByName(aligned.select("work_id", "field_name")).unionByName(repeated).distinct()

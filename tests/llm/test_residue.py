@@ -31,6 +31,16 @@ def test_frames_holding_the_fields_own_name(spark, rows):
     assert len(got) == 8 and all(w != "9" for w, _ in got)
 
 
+def test_templates_learned_from_the_corpus(spark, rows):
+    prose = "Growth rose in all coastal towns."
+    data = [("1", "Escriba aquí el resumen", prose), ("2", "Rain", "Escriba aquí el resumen"), ("3", "Snow", "Escriba aquí el resumen. It rained."), ("4", "Our shelves fell over (no 17)", "Hail"), ("5", "Our shelves fell over (no 4)", "Ice"), ("6", "Fog", f"{prose} | Our shelves fell over (no 233)")]
+    data += [(f"c{i}", "Meeting of the society", "Meeting of the society") for i in range(4)]  # titles copied into their abstracts
+    data += [(f"h{i}", f"Fog {i}", f"Materials and methods | {prose}") for i in range(40)] + [("t", "Materials and methods", "Dew")]
+    df = spark.createDataFrame(data, "work_id string, title_display string, abstract_display string")
+    got = rows(residue_fields(df, "work_id", ["title_display", "abstract_display"]))
+    assert got == [("1", "title_display"), ("2", "abstract_display"), ("3", "abstract_display"), ("4", "title_display"), ("5", "title_display"), ("6", "abstract_display")]
+
+
 def test_empty_and_long(spark):
     df = spark.createDataFrame([("1", "rain " * 20_000 + "${abstract}", None, "c")], "work_id string, title_display string, abstract_display string, frame string")
     assert residue_fields(df, "work_id", ["title_display"]).count() == 1
