@@ -3,8 +3,9 @@
 Method: two kinds of evidence. First, lengths: for each source and unit (characters, UTF-8 bytes, words) a log-normal
 length distribution is fitted by maximum likelihood in which values at a candidate limit are right-censored, and the
 excess of values at the limit over the fit is the posterior of a value there to have been cut. Second, endings: how
-often the last words (up to four) of a text end a sentence, line or list item elsewhere in the corpus, held in a hashed
-table of a fixed number of slots that all partitions fill and that is added up with map-side combining. A text that ends
+often the last words (up to four) of a text end a sentence, line or list item elsewhere in the corpus. Only the words that
+end some text are counted, each by itself, however many there are: a filter in front of the shuffle lets all of them and
+few others pass, counts are added up with map-side combining and joined to the texts. A text that ends
 in a mark put after a cut (an ellipsis, ``[...]``, closing tags) is judged by what stands before the mark, since complete
 texts end in such marks too. Both kinds combine as odds.
 
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import cut, widen
+from ..runtime import cut, widen, written
 
-SLOTS = 1 << 20  # of each of the two tables of endings; 8 bytes a slot on the driver and on every worker
-DEPTH = 2
 GRAMS = 4
+#: Bits of the filter of grams to count: about so many for each, within bounds. Too few cost shuffled rows, never a count.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+PROBES = (6, 35)
 #: Values of one length above which, and over how many times their expectation, a length is a candidate limit.
 MIN_PILE, MIN_EXCESS, MAX_LIMITS = 8, 6.0, 4
 UNITS = ("chars", "bytes", "words")
@@ -87,22 +90,56 @@ def _word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest("0" if word[0].isdigit() else word) >> 1
 
 
-def _slots(h: np.ndarray, depth: int) -> np.ndarray:
-    return ((h >> np.uint64(8 + 24 * depth)) & np.uint64(SLOTS - 1)).astype(np.int64)
+class Wanted:
+    """Whether a gram may be one of those to count: no gram that is one is ever refused, few others pass."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(h), bool)
+        for shift in PROBES:
+            i = (h >> np.uint64(shift)) & np.uint64(64 * len(self.words) - 1)
+            ok &= (self.words[(i >> np.uint64(6)).astype(np.int64)] >> (i & np.uint64(63))) & np.uint64(1) == 1
+        return ok
+
+
+def wanted_filter(grams: DataFrame) -> np.ndarray:
+    """The words of the filter for column ``hash``; sized by the (estimated) number of grams, filled from all of them."""
+    n = grams.agg(F.approx_count_distinct("hash")).first()[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n).bit_length()))
+    at = F.explode(F.array(*[F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit(bits - 1)) for shift in PROBES]))
+    words = grams.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
 class Endings:
-    """Counts of how often grams end a segment and how often they are met, in two hashed tables."""
+    """Counts of how often grams end a segment (``final``) and how often they are met, by their 64-bit hashes."""
 
-    def __init__(self) -> None:
-        self.final = np.zeros((DEPTH, SLOTS), np.int64)
-        self.met = np.zeros((DEPTH, SLOTS), np.int64)
+    def __init__(self, wanted: Wanted | None = None) -> None:
+        self.final: dict[int, int] = {}
+        self.met: dict[int, int] = {}
         self.known: dict[str, int] = {}
+        self.wanted = wanted
 
     def add(self, texts: list[str]) -> None:
+        for h, f, m in zip(*(x.tolist() for x in self.count(*self.grams(texts)))):
+            self.final[h] = self.final.get(h, 0) + f
+            self.met[h] = self.met.get(h, 0) + m
+
+    @staticmethod
+    def count(h: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes (signed), times final, times met."""
+        u, at = np.unique(h, return_inverse=True)
+        return u.view(np.int64), np.bincount(at[final], minlength=len(u)), np.bincount(at, minlength=len(u))
+
+    def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the grams of all words and whether each ends a segment."""
         tokens = TOKEN.findall(TEXT_END.join([*map(_marked, texts), ""]))
         if not tokens:
-            return
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
         if len(self.known) > 300_000:
             self.known.clear()
         known = self.known
@@ -132,53 +169,51 @@ class Endings:
             salt[kind == c] = v
         h1 = code.astype(np.uint64)
         h = np.zeros(len(code), np.uint64)
+        hashes, finals = [], []
         with np.errstate(over="ignore"):
             for g in range(GRAMS):
                 ok = use & (at - g >= start)
                 shifted = np.zeros(len(code), np.uint64)
                 shifted[g:] = h1[: len(code) - g]
                 h = (h ^ (shifted + salt)) * np.uint64(MIX) + np.uint64(g + 1)
-                for d in range(DEPTH):
-                    s = _slots(h, d)
-                    self.met[d] += np.bincount(s[ok], minlength=SLOTS)
-                    self.final[d] += np.bincount(s[ok & final], minlength=SLOTS)
+                some, last = h[ok], final[ok]
+                if self.wanted:
+                    of = self.wanted(some)
+                    some, last = some[of], last[of]
+                hashes.append(some)
+                finals.append(last)
+        return np.concatenate(hashes), np.concatenate(finals)
 
 
-def _chain(words: list[str], kind: str) -> list[list[int]]:
-    """Slots of the last 1, 2, ... words in each table, as ``Endings.add`` makes them."""
+def _chain(words: list[str], kind: str) -> list[int]:
+    """Signed hashes of the last 1, 2, ... words, as ``Endings.grams`` makes them."""
     h, out = 0, []
     for g, w in enumerate(reversed(words[-GRAMS:])):
         h = ((h ^ ((_word_hash(w) + KIND[kind]) & MASK)) * MIX + g + 1) & MASK
-        out.append([(h >> (8 + 24 * d)) & (SLOTS - 1) for d in range(DEPTH)])
+        out.append(h - (1 << 64) if h >> 63 else h)
     return out
 
 
-def ending_table(df: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """(times final, times met) of the slots of both tables, over all words of all texts; combined map-side."""
-    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("final", T.LongType()), T.StructField("met", T.LongType())])
+def ending_counts(df: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
+    """``hash, final, met`` of the grams that the filter lets pass, over all words of all texts; combined map-side."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("hash", "final", "met")])
+    sent = df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = Endings()
+        e = Endings(Wanted(sent.value))
         for b in batches:
-            texts, some, size = b.column(0).to_pylist(), [], 0
+            texts, parts, some, size = b.column(0).to_pylist(), [], [], 0
             for k, t in enumerate(texts):
                 some.append(t)
                 size += len(t)
                 if size > 1_000_000 or k == len(texts) - 1:
-                    e.add(some)
+                    parts.append(e.grams(some))
                     some, size = [], 0
-        met, final = e.met.ravel(), e.final.ravel()
-        at = np.flatnonzero(met)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(final[at]), pa.array(met[at])], names=["slot", "final", "met"])
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in e.count(*map(np.concatenate, zip(*parts)))], names=["hash", "final", "met"])
 
     counts = df.select(text_col).where(F.length(F.trim(text_col)) > 0).mapInArrow(run, schema)
-    total = counts.groupBy("slot").agg(F.sum("final").alias("final"), F.sum("met").alias("met"))
-    table = total.toArrow()  # at most DEPTH * SLOTS rows
-    final, met = np.zeros(DEPTH * SLOTS, np.uint32), np.zeros(DEPTH * SLOTS, np.uint32)
-    at = table.column("slot").to_numpy()
-    final[at] = np.minimum(table.column("final").to_numpy(), 2**32 - 1)
-    met[at] = np.minimum(table.column("met").to_numpy(), 2**32 - 1)
-    return final.reshape(DEPTH, SLOTS), met.reshape(DEPTH, SLOTS)
+    return counts.groupBy("hash").agg(F.sum("final").alias("final"), F.sum("met").alias("met"))
 
 
 # -- lengths --------------------------------------------------------------------------------------------------------
@@ -282,8 +317,24 @@ def source_limits(hist: DataFrame) -> DataFrame:
 # -- endings --------------------------------------------------------------------------------------------------------
 
 
-def ending_odds(text: str, final: np.ndarray, met: np.ndarray) -> float | None:
+class Open(NamedTuple):
+    """An ending to be looked up: hashes of its last 1, 2, ... words and of its last word in prose."""
+
+    chain: list[int]
+    prose: int
+    kind: str
+    terminal: bool
+    own: bool
+
+
+def ending_odds(text: str, final: Mapping[int, int], met: Mapping[int, int]) -> float | None:
     """Odds that a text was cut, from its ending alone; None if it ends as a complete text does."""
+    e = ending(text)
+    return looked_up(e, final, met) if isinstance(e, Open) else e
+
+
+def ending(text: str) -> float | Open | None:
+    """Odds that a text was cut, None if it ends as a complete text does; where they depend on the corpus, what to look up."""
     body = text.rstrip()
     marked = MARK_RE.search(body)
     core = MARK_RE.sub("", body).rstrip() if marked else body
@@ -317,21 +368,22 @@ def ending_odds(text: str, final: np.ndarray, met: np.ndarray) -> float | None:
     if not words:
         return None
     own = kind != PROSE and last not in TERMINAL  # such an ending was counted as final when the table was made
-    chain = _chain(words, kind)
-    for g in range(len(chain), 0, -1):
-        m, d = min((int(met[d][s]), d) for d, s in enumerate(chain[g - 1]))
-        f = int(final[d][chain[g - 1][d]])
-        if own and f and m:
+    return Open(_chain(words, kind), _chain(words[-1:], PROSE)[0], kind, last in TERMINAL, own)
+
+
+def looked_up(e: Open, final: Mapping[int, int], met: Mapping[int, int]) -> float:
+    for g in range(len(e.chain), 0, -1):
+        m, f = met.get(e.chain[g - 1], 0), final.get(e.chain[g - 1], 0)
+        if e.own and f and m:
             m, f = m - 1, f - 1
         if m >= (2 if g > 1 else 1):
             q = (f + 0.05) / (m + 0.1)
-            if g == 1 and len(chain) > 1 and kind == PROSE:
+            if g == 1 and len(e.chain) > 1 and e.kind == PROSE:
                 q *= 0.3  # the word is known, but never after the words before it
-            return (1 - q) / max(q, 1e-3) * (0.2 if last in TERMINAL else HEADING_ODDS if kind == HEADING else 1.0)
-    if kind == PROSE:
+            return (1 - q) / max(q, 1e-3) * (0.2 if e.terminal else HEADING_ODDS if e.kind == HEADING else 1.0)
+    if e.kind == PROSE:
         return 12.0  # a word never met is broken off
-    known = min(int(met[d][s]) for d, s in enumerate(_chain(words[-1:], PROSE)[0])) > 0
-    return (1.5 if known else 14.0) * (HEADING_ODDS if kind == HEADING else 1.0)
+    return (1.5 if met.get(e.prose, 0) > 0 else 14.0) * (HEADING_ODDS if e.kind == HEADING else 1.0)
 
 
 def _closed(core: str) -> bool:
@@ -344,36 +396,65 @@ def _closed(core: str) -> bool:
 def cut_documents(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """``<id_col>, source, cut boolean, odds double`` of every row, also of those without text."""
     full = widen(df.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), F.col(text_col).alias("text")))
-    final, met = ending_table(full, "text")
+    rows = _endings(full, id_col)
+    grams = rows.select("_row", F.explode(F.array_append("_chain", F.col("_prose"))).alias("hash"))
+    counts = ending_counts(full, "text", wanted_filter(grams))
+    # the counts of each row's grams, by the number that the row was given when it was written
+    counted = grams.join(counts, "hash").groupBy("_row").agg(F.collect_list(F.struct("hash", "final", "met")).alias("_counts"))
     limits = cut(source_limits(length_histogram(full, "source", "text")))
     # one row for each source; joined by the engine, which broadcasts it if its measured size allows
-    per_source = limits.groupBy("source").agg(F.collect_list(F.struct("unit", "limit", "posterior")).alias("limits"))
-    sent = df.sparkSession.sparkContext.broadcast((final, met))
-    rows = full.join(per_source.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").select(id_col, "source", "text", "limits")
+    per_source = limits.groupBy("source").agg(F.collect_list(F.struct("unit", "limit", "posterior")).alias("_limits"))
+    rows = rows.join(counted, "_row", "left").join(per_source.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")), "left")
+    rows = rows.select(id_col, "source", "_odds", "_chain", "_prose", "_kind", "_terminal", "_own", "_sizes", "_stopped", "_counts", "_limits")
     schema = T.StructType([full.schema[id_col], full.schema["source"], T.StructField("cut", T.BooleanType()), T.StructField("odds", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        final, met = sent.value
         for b in batches:
             odds = []
-            for text, limits in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                o = ending_odds(text, final, met) if text and text.strip() else None
+            for o, chain, prose, kind, terminal, own, sizes, stopped, counts, limits in zip(*(c.to_pylist() for c in b.columns[2:])):
+                if chain is not None:
+                    final, met = {c["hash"]: c["final"] for c in counts or []}, {c["hash"]: c["met"] for c in counts or []}
+                    o = looked_up(Open(chain, prose, kind, terminal, own), final, met)
                 if o is not None:
-                    at_limit, exact = censoring_odds(text, limits or [])
-                    if exact and MARK_RE.sub("", text).rstrip()[-1:] not in TERMINAL:
+                    at_limit, exact = censoring_odds(sizes, limits or [])
+                    if exact and not stopped:
                         o = max(o, AT_LIMIT)
                     o *= at_limit
                 odds.append(o or 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o > 1 for o in odds]), pa.array(odds, pa.float64())], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o > 1 for o in odds], pa.bool_()), pa.array(odds, pa.float64())], names=[f.name for f in schema])
 
     return rows.mapInArrow(run, schema)
 
 
-def censoring_odds(text: str, limits: list[dict]) -> tuple[float, bool]:
+def _endings(full: DataFrame, id_col: str) -> DataFrame:
+    """All that the judgement of a row needs of its text, written once with a number for each row."""
+    own = T.StructType.fromDDL("_odds double, _chain array<bigint>, _prose bigint, _kind string, _terminal boolean, _own boolean, _sizes array<bigint>, _stopped boolean")
+    schema = T.StructType([full.schema[id_col], full.schema["source"], *own])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for text in b.column(2).to_pylist():
+                e = ending(text) if text and text.strip() else None
+                known = (None, *e) if isinstance(e, Open) else (e, None, None, None, None, None)
+                found.append((*known, None, None) if e is None else (*known, *text_sizes(text)))
+            columns = zip(*found) if found else [[]] * len(own)
+            types = [pa.float64(), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=[f.name for f in schema])
+
+    return written(full.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "endings")
+
+
+def text_sizes(text: str) -> tuple[list[int], bool]:
+    """The text's size in each unit, without its mark and with it; whether it ends in a full stop before the mark."""
+    core = MARK_RE.sub("", text)
+    return [len(core), len(text), len(core.encode()), len(text.encode()), len(core.split()), len(text.split())], core.rstrip()[-1:] in TERMINAL
+
+
+def censoring_odds(sizes: list[int], limits: list[dict]) -> tuple[float, bool]:
     """Odds from the length, of the posterior at the limit where the text's length lies, or those of any other length;
     and whether the text without a mark is exactly as long as a limit."""
-    core = MARK_RE.sub("", text)
-    size = {"chars": (len(core), len(text)), "bytes": (len(core.encode()), len(text.encode())), "words": (len(core.split()), len(text.split()))}
+    size = dict(zip(UNITS, zip(sizes[::2], sizes[1::2])))
     best, exact = 0.0, False
     for x in limits:
         for v in size[x["unit"]]:

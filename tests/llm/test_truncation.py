@@ -58,3 +58,17 @@ def test_operator(spark, rows):
     assert len(wrong) <= 0.02 * sum(truth.values()) + 2
     assert cut_documents(df.limit(0), "doc_id", "source", "text").count() == 0
     assert math.isfinite(sum(r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()))
+
+
+def test_grams_are_counted_exactly_however_many(spark, monkeypatch):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    # a million grams, far more than shared slots would keep apart
+    data = [(i, "s", ". ".join(" ".join(word() for _ in range(rnd.randint(3, 9))) for _ in range(20)) + ".") for i in range(2500)]
+    data += [(10_000 + i, "t", "Rain fell. " * rnd.randint(1, 400) + f"Then {word()} {word()} broke") for i in range(300)]
+    df = spark.createDataFrame(data, "doc_id bigint, source string, text string")
+    got = {r["doc_id"]: r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()}
+    assert {round(got[i], 6) for i in got if i >= 10_000} == {7.2}  # a word never met
+    monkeypatch.setattr("sieveline.llm.truncation.MOST_BITS", 1 << 10)  # a full filter changes no result
+    monkeypatch.setattr("sieveline.llm.truncation.LEAST_BITS", 1 << 10)
+    assert {r["doc_id"]: r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()} == got
