@@ -75,14 +75,17 @@ SPEAKS = re.compile(r"\b(?:scripts? are switched off, and|respondents|participan
 RECEIVED = re.compile(r"\bdear \[[A-Z ]+\]", re.I)
 
 #: Strings without which a segment can't hold evidence of a kind, by kind: only the patterns of the kinds met are tried.
+#: Every alternative of every pattern holds one (tested by texts made from the patterns).
 CUES = {
-    "marks": [*(f"{m}{chr(c)}" for m in "%[<" for c in range(97, 123) if m + chr(c) not in ("<i", "<b", "<p", "<h")), "<!", "<<", "<%", "[[", "%(", "%1", "{", "&lt;", "__", "@@", "$("],
-    "prompt": ["undefined", "null", "[object", "lipsum", "placeholder", "title", "abstract", "heading level", "todo", "xxx", "template", "titel", "titre", "título", "none", "nan "],
-    "latin": ["lorem", "ipsum", "dolor", "amet", "aliqu", "nostrud", "tempor ", "cillum", "enim ", "occaecat", "fugiat", "mollit", "labore", "cupidatat", "eiusmod"],
-    "script": ["script", "cookies", "スクリプト", "스크립트", "脚本", "allow js", "enable js", "activate js", "on js"],
-    "failure": ["timed out", "timeout", "maintenance", "exception", "traceback", "fatal error", "keyerror", "java.", "session has", "permission to", "robot", "loading", "request id", "error code", "(ref ", "ray ", "trouble with", "asked for could", "try again", "again to see", "cannot be shown", "cannot be displayed", "database conn", "on line ", "at line ", "too many requests from", "segmentation"],
+    "marks": ["{", "[", "<", "&lt;", "__", "@@", "$(", *(f"%{c}" for c in "abcdefghijklmnopqrstuvwxyz_0123456789")],
+    "prompt": [*FIELD_WORDS.split("|"), "undefined", "null", "none", "nan", "n/a", "[object", "lipsum", "placeholder", "heading level", "keep this line", "no value for key", "xxx"],
+    "latin": sorted(w for w in LATIN if len(w) > 3),
+    "script": ["script", "cookies", "スクリプト", "스크립트", "脚本", "js"],
+    "failure": ["timed out", "maintenance", "exception", "error", "traceback", "session has", "permission to", "robot", "you are human", "loading", "request id", "(ref ", "ray ", "trouble with", "asked for could", "try again", "in again to", "cannot be shown", "cannot be displayed", "database conn", "on line ", "at line ", "too many requests from", "segmentation", "template article_"],
     "status": STATUS,
 }
+#: what may stand about a word of filler
+AROUND = str.maketrans("", "", ".,;:!?…*|")
 
 SEGMENT = re.compile(r"\s*[\n\r  ]+\s*|\s[|]\s|(?<=[.!?。])\s+(?=\S)|(?<=[.!?]</p>)\s+|(?<=>)\s+(?=[A-Z])|\s+\|\s*")
 MASK_NUMBER = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b|\d+(?:[.,]\d+)*")
@@ -190,9 +193,9 @@ class Residue:
         return out
 
     def evidence(self, text: str, field: str, segments: list[str] | None = None) -> list[tuple[str, str, str]]:
-        words = text.split()
-        repeated = True in map(eq, words, words[2:])  # a token repeated with period one or two is met again two places on
         low = text.lower()
+        words = low.translate(AROUND).split()
+        repeated = True in map(eq, words, words[2:])  # a token repeated with period one or two is met again two places on
         if not repeated and next(self.cues.iter(low), None) is None:
             return []
         out = []

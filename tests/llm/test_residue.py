@@ -1,5 +1,10 @@
+import random
+import re
+import sys
+
 import pytest
 
+from sieveline.llm import residue as module
 from sieveline.llm.residue import Residue, residue_fields
 
 R = Residue()
@@ -45,3 +50,45 @@ def test_empty_and_long(spark):
     df = spark.createDataFrame([("1", "rain " * 20_000 + "${abstract}", None, "c")], "work_id string, title_display string, abstract_display string, frame string")
     assert residue_fields(df, "work_id", ["title_display"]).count() == 1
     assert residue_fields(df.limit(0), "work_id", ["title_display"]).count() == 0
+
+
+def made_from(parsed, rnd):
+    """A text that a parsed pattern may match; its assertions are left out."""
+    out = []
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                out.append(chr(arg))
+            case "NOT_LITERAL" | "ANY":
+                out.append(" ")
+            case "IN":
+                kind, value = rnd.choice(arg)
+                classes = {"CATEGORY_WORD": "k", "CATEGORY_NOT_WORD": " ", "CATEGORY_DIGIT": "7", "CATEGORY_SPACE": " "}
+                out.append({"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(rnd.randint(*v)), "CATEGORY": lambda v: classes[str(v)], "NEGATE": lambda _: "k"}[str(kind)](value))
+            case "BRANCH":
+                out.append(made_from(rnd.choice(arg[1]), rnd))
+            case "SUBPATTERN":
+                out.append(made_from(arg[-1], rnd))
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                low, high, inner = arg
+                out += [made_from(inner, rnd) for _ in range(rnd.randint(low, min(high, low + 2)))]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("kind, name", [("marks", "SURE"), ("marks", "UNSURE"), ("marks", "POSITIONAL"), ("prompt", "DEFAULT"), ("prompt", "PROMPT"), ("prompt", "PROMPT_HEAD"), ("script", "DEMAND"), ("failure", "FAILURE")])
+def test_whatever_a_pattern_matches_has_its_cue(kind, name):
+    pattern, rnd = getattr(module, name), random.Random(7)
+    parsed = sys.modules["re._parser"].parse(pattern.pattern, pattern.flags & ~re.UNICODE)
+    texts = [t for t in (made_from(parsed, rnd) for _ in range(4000)) if pattern.search(t)]
+    assert len(texts) > 200
+    assert [t for t in texts if not any(c in t.lower() for c in module.CUES[kind])] == []
+
+
+@pytest.mark.parametrize("text", ["Verifying you are human", "JS is disabled", "This page needs JS", "No value for key X", "Insert summary here", "Your keywords here", "<insert 300 words at most>", "N/A N/A", "Rain fell. xxxx xxxx xxxx.", "veniam quis ullamco duis aute irure", "template article_4"])
+def test_sure_whatever_else_it_holds(text):
+    assert any(k == "sure" for k, _, _ in R.evidence(text, "title_display"))
+
+
+@pytest.mark.parametrize("text", ["A study. <hname/>", "A study. [ name ]", "<body_text/>"])
+def test_marks_with_any_first_letter(text):
+    assert R.evidence(text, "title_display")
