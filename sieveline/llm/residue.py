@@ -1,276 +1,272 @@
 """Template residue, filler and error pages in place of content or beside it (problem 4).
 
-Method: every field is cut into segments (lines, ``|`` parts, sentences). Segments made from one template are aligned
-by their frame: the text with marked tokens, numbers, identifiers and the name of a bibliographic field masked. The
-masked places are the template's slots. A slot is residue if it still holds a variable name, a default or the name of
-the very field it should have been filled with. Which names are variables is learned from the corpus: those met in a
-style that has no other use (``{{x}}``, ``${x}``, ``<%= x %>`` ...) are looked up for the styles that have (``[x]``,
-``%x%``, ``__x__``). A field name in a slot counts if the frame is met with the names of both fields or in several
-records. The frames of all other segments are counted over the corpus, too: one that several works hold in different
-fields is a template, since what people write for one field isn't met word for word in the other. Error pages and script
-notices known beforehand are whole segments that consist of a status, a failure or a demand; filler is pseudo-Latin or a
-few tokens repeated.
-
-Defined results: null and empty texts hold no residue. A text that only speaks of such things, formulas and mark-up
-tags are none. Whole texts are examined, however long. Repeated rows give one result for each distinct (id, field).
+Method: records made from one template are aligned. Every field is cut into segments (lines, ``|`` parts, sentences) and
+each segment is brought to its frame: marked names, numbers, identifiers and the names of bibliographic fields are the
+places where records of one template differ, so they are masked and become the template's slots.
+
+* Templates. The frames of all segments are counted over the corpus. A frame that several works hold, some in one field
+  and some in another, is a template: what people write for one field isn't met word for word in the other. Error pages,
+  script notices, prompts and default texts are such templates, whatever they say; no text of theirs is listed here.
+* Other words of the same templates. The words of the templates against those of all other segments give each word a
+  log-odds (a word that no template has, one shared value). A segment is aligned with them as a whole or by its best
+  beginning or end, so a template whose slots hold rare words, or that runs on into real text, is found by its other words.
+* Slots. A slot is residue if it retains the name of a variable, a default or a blank. Names are learned: a name that
+  marks of several styles hold is a variable's, and one that stands alone as the whole segment in both fields a default.
+* Filler is a token or a pair of tokens repeated, or pseudo-Latin.
+
+Defined results: null and empty texts hold no residue. A question isn't aligned (templates state and demand). Whole texts
+are examined, however long. Repeated rows give one result for each distinct (id, field). Extra columns are never read.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
-from operator import eq
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
 
-import ahocorasick
+import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import written
 from .encoding import as_fields
 
-# The status phrases of HTTP and their usual translations.
-STATUS = ["page not found", "not found", "forbidden", "bad gateway", "gateway timeout", "gateway time-out", "service unavailable", "service temporarily unavailable", "internal server error", "too many requests", "unauthorized", "bad request", "gone", "request timeout", "method not allowed", "not acceptable", "access denied", "page introuvable", "pagina non trovata", "nie znaleziono strony", "página no encontrada", "página não encontrada", "seite nicht gefunden", "pagina niet gevonden", "страница не найдена", "페이지를 찾을 수 없습니다", "ページが見つかりません", "找不到该页面", "页面不存在", "未找到页面"]
 # The vocabulary of the usual pseudo-Latin filler.
-LATIN = set("lorem ipsum dolor sit amet consectetur consectetuer adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split())
-FIELD_WORDS = "title|abstract|titel|titre|título|titolo|tytuł|summary|keywords|subtitle|heading"
-SCRIPT = r"(?:java ?script|\bJS\b|(?:client-side )?script(?:s|ing)?\b(?! support\w))"
-
-NAME = r"[A-Za-z_][\w]*(?:[.\-][A-Za-z_]\w*)*"
-_SURE = [rf"\{{\{{\s*{NAME}\s*\}}\}}", rf"\$\{{\s*(?P<a>{NAME})\s*\}}", rf"#\{{\s*{NAME}\s*\}}", rf"\{{\$\s*{NAME}\s*\}}", rf"\{{\s*{NAME}\|\w+\s*\}}", rf"\{{%-?\s*{NAME}\s*-?%\}}", rf"<%=?\s*{NAME}\s*%>", rf"<<\s*{NAME}\s*>>", rf"@@\s*{NAME}\s*@@", rf"\[\[\s*{NAME}\s*\]\]"]
-_UNSURE = [rf"\$\(\s*{NAME}\s*\)", rf"\[\s*{NAME}(?: {NAME})?\s*\]", rf"%{NAME}%", rf"(?<!\w)__(?:[A-Za-z]\w*?(?:\.\w+?)*)__(?!\w)", rf"<!--\s*{NAME}\s*-->", rf"&lt;\s*{NAME}\s*&gt;", rf"<\s*{NAME}\s*/>", rf"\{{\s*{NAME}\s*\}}", rf"<(?:enter|insert|type|your|add)\b[^<>]{{3,60}}>", rf"\[(?:enter|insert|type|your|add|to be|{FIELD_WORDS})\b[^\[\]]{{3,80}}\]"]
-SURE, UNSURE = re.compile("|".join(_SURE)), re.compile("|".join(_UNSURE))
-#: what every mark begins with
-MARKED = re.compile(r"[{\[<]|%[A-Za-z_]|\$\(|__|@@|&lt;")
-POSITIONAL = re.compile(r"\{\d\}|%[sd]\b|%\d\$s")
-DEFAULT = re.compile(r"\[object Object\]|^\W*(?:undefined|null|nan|none|n/a)(?:\W+(?:undefined|null|nan|none|n/a))+\W*$|^\W*(?:undefined|null)\W*$", re.I)
-PROMPT = re.compile(
-    rf"^\W*(?:(?:please )?(?:enter|insert|type|add|write|paste|replace this text with|click(?: here)? to (?:add|edit|enter)|todo:? (?:write|add)|fixme:?)\b[^.]{{0,25}}\b(?:{FIELD_WORDS})\b.{{0,50}}|your (?:{FIELD_WORDS}) (?:goes )?here|sample (?:{FIELD_WORDS})\b.{{0,40}}|the (?:{FIELD_WORDS}) of your (?:paper|article|manuscript)\b.{{0,40}}|heading level \d.{{0,40}}|keep this line until .{{0,40}}|xxx+ (?:{FIELD_WORDS}) xxx+|(?:{FIELD_WORDS}) \(\w+_placeholder\)|lipsum(?: \w+)?(?: \d+)?|(?:hier )?(?:{FIELD_WORDS})(?: hier)? (?:eingeben|einfügen)|(?:{FIELD_WORDS}) (?:to be (?:supplied|added|announced)|goes here|placeholder).{{0,50}}|no value for key .{{0,60}})\W*$",
-    re.I,
-)
-#: the same demand running on into a real sentence without a full stop
-PROMPT_HEAD = re.compile(rf"^\W*(?:(?:enter|insert|type|write|paste|replace this text with|click(?: here)? to (?:add|edit|enter)|todo:? (?:write|add)|sample|your|keep this line until)\b[^.]{{0,25}}\b(?:{FIELD_WORDS})(?: goes here| is ready| for the manuscript template)?|the (?:{FIELD_WORDS}) of your (?:paper|article|manuscript)[^.]{{0,25}}|(?:hier )(?:{FIELD_WORDS})(?: eingeben| einfügen)|lipsum \w+ \d+|heading level \d+:? (?:{FIELD_WORDS}) text) (?-i:[A-ZÀ-ÞА-Я])", re.I)
-STATUS_RE = re.compile(
-    rf"^(?:[\W\d_]|http|error|erreur|erro|errore|błąd|fehler|fout|ошибка|오류|エラー|错误|nginx|apache|sorry|oops|status|code|home|search|you are here|reading portal)*(?:{'|'.join(map(re.escape, sorted(STATUS, key=len, reverse=True)))})(?:[\W\d_]|home|search|reading portal)*$",
-    re.I,
-)
-CODED = re.compile(rf"(?:\b[45]\d\d\b\W{{0,3}}\s?(?:{'|'.join(map(re.escape, STATUS))})\b(?! \w)|\b(?:{'|'.join(map(re.escape, STATUS))}) ?\([45]\d\d\))", re.I)
-FAILURE = re.compile(
-    r"traceback \(most recent call last\)|\b(?:java|javax|org|com)\.(?:\w+\.)+\w*(?:exception|error)\b|uncaught exception|(?:fatal|parse) error: |\bkeyerror: |database connection failed|exception in thread|segmentation fault|"
-    r"\bat line \d+$|on line \d+$|error code \d{3}, trace|\(ref [0-9a-f]{6,}\)|request id [0-9a-f]{6,}|^\W*ray(?: id:?)? [0-9a-f]{6,}|"
-    r"having trouble with this|you asked for could not be|your session has (?:timed out|expired)|do(?:es)? not have permission to (?:view|access)|too many requests from|checking that you are not a robot|verify(?:ing)? (?:that )?you are (?:not a robot|human)|"
-    r"(?:service|site|server|system) is (?:down|unavailable|closed) for maintenance|please (?:go back or )?try again (?:in|later)|log ?in again to|parts of the \w+ cannot be (?:shown|displayed)|^\W*loading(?:\.\.\.|…)|template article_\d",
-    re.I,
-)
-DEMAND = re.compile(
-    rf"(?:^|[.:>*|]\s*|\b(?:please|kindly|you must|you need to|to (?:go on|continue|proceed)|in order to [^.]{{3,40}}|to (?:see|view|read|use) [^.,]{{3,40}}),? )(?:turn on|switch on|enable|activate|allow|accept|re-enable)\s+(?:{SCRIPT}|cookies)|"
-    rf"\b(?:page|site|website|article|application|viewer|reader|reading room|portal|browser|abstract|content|document|function)s?(?: \d+)?\W? (?:cannot|can not|can't|could not|does not|doesn't|do not|will not|won't|stays?|remains?|needs?|requires?|is not)\b[^.]{{0,40}}?(?:{SCRIPT}|cookies)|"
-    rf"{SCRIPT} (?:is|are|must be|has to be|needs? to be) (?:disabled|required|switched off|turned off|off|enabled)\b(?!,? and \d)|\({SCRIPT} required\)|\bnoscript\b\s*:|cookies must be accepted|without {SCRIPT}\W*$|"
-    r"(?:aktivieren|activez|activer|active|ative|attivare|attiva|schakel|zet|włącz|włączyć|habilite|включите|разрешите)\b[^.]{0,12}(?:javascript|cookies)|javascript (?:in|aan|ein|an)\b\W*$|자바스크립트를 (?:켜|활성화)|スクリプトを有効|启用(?:脚本|JavaScript)|JavaScript(?:를 켜|を有効)",
-    re.I,
-)
-SPEAKS = re.compile(r"\b(?:scripts? are switched off, and|respondents|participants|readers|we (?:asked|measured|tested))\b", re.I)
-RECEIVED = re.compile(r"\bdear \[[A-Z ]+\]", re.I)
-
-#: Strings without which a segment can't hold evidence of a kind, by kind: only the patterns of the kinds met are tried.
-#: Every alternative of every pattern holds one (tested by texts made from the patterns).
-CUES = {
-    "marks": ["{", "[", "<", "&lt;", "__", "@@", "$(", *(f"%{c}" for c in "abcdefghijklmnopqrstuvwxyz_0123456789")],
-    "prompt": [*FIELD_WORDS.split("|"), "undefined", "null", "none", "nan", "n/a", "[object", "lipsum", "placeholder", "heading level", "keep this line", "no value for key", "xxx"],
-    "latin": sorted(w for w in LATIN if len(w) > 3),
-    "script": ["script", "cookies", "スクリプト", "스크립트", "脚本", "js"],
-    "failure": ["timed out", "maintenance", "exception", "error", "traceback", "session has", "permission to", "robot", "you are human", "loading", "request id", "(ref ", "ray ", "trouble with", "asked for could", "try again", "in again to", "cannot be shown", "cannot be displayed", "database conn", "on line ", "at line ", "too many requests from", "segmentation", "template article_"],
-    "status": STATUS,
-}
-#: what may stand about a word of filler
-AROUND = str.maketrans("", "", ".,;:!?…*|")
-
-SEGMENT = re.compile(r"\s*[\n\r  ]+\s*|\s[|]\s|(?<=[.!?。])\s+(?=\S)|(?<=[.!?]</p>)\s+|(?<=>)\s+(?=[A-Z])|\s+\|\s*")
-MASK_NUMBER = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b|\d+(?:[.,]\d+)*")
-TAG = re.compile(r"</?(?:html|body|p|h\d|div|span|noscript|center|title|b|i|em|strong)\b[^<>]*>", re.I)
-FIELD_NAME = re.compile(r"\b(title|abstract)\b", re.I)
-#: A frame of fewer words (or East Asian letters) is met in any field by chance.
-WORDY = re.compile(r"[^\W\d_]{2,}[\W\d_]+[^\W\d_]{2,}|[⺀-힣]{4,}")
-
-
-class Residue:
-    def __init__(self) -> None:
-        self.cues = ahocorasick.Automaton()
-        for kind, cues in CUES.items():
-            for c in cues:
-                self.cues.add_word(c, kind)
-        self.cues.make_automaton()
-
-    @staticmethod
-    def filler(segment: str) -> bool:
-        words = segment.lower().split()
-        bare = [w.strip(".,;:!?…*|") for w in words]
-        bare = [w for w in bare if w]
-        if len(bare) >= 3:
-            for period in (1, 2):
-                if len(bare) >= 3 * period and sum(map(eq, bare, bare[period:])) >= 0.75 * (len(bare) - period) and len(set(bare)) <= period + 1:
-                    return True
-            if any(a == b == c and not a.isdigit() for a, b, c in zip(bare, bare[1:], bare[2:])) or any(a == c == e and b == d == f and a != b for a, b, c, d, e, f in zip(bare, bare[1:], bare[2:], bare[3:], bare[4:], bare[5:])):
-                return True
-            run = best = 0
-            for w in bare:
-                run = run + (len(w) > 3) if w in LATIN else 0
-                best = max(best, run)
-            if best >= 4:
-                return True
-            if sum(w in LATIN for w in bare) >= 0.7 * len(bare) and sum(w in LATIN and len(w) > 3 for w in bare) >= 3:
-                return True
-        return False
-
-    def kinds(self, segment: str, field: str, repeated: bool) -> list[tuple[str, str, str]]:
-        """Evidence of one segment: (kind, frame, slot value); kind ``sure`` needs no corpus."""
-        out: list[tuple[str, str, str]] = []
-        segment = segment.replace("&nbsp;", " ")
-        met = {kind for _, kind in self.cues.iter(segment.lower())}
-        plain = TAG.sub(" ", segment).strip() if "<" in segment else segment
-        whole = plain.strip(" *|>-")
-        frame = lambda s: MASK_NUMBER.sub("0", s).lower()[:300]
-        if "marks" in met:
-            out += self._marks(segment, frame)
-        if "prompt" in met:
-            if DEFAULT.search(segment) or (len(whole) < 160 and PROMPT.search(whole)) or PROMPT_HEAD.search(whole):
-                out.append(("sure", frame(segment), "default"))
-            elif len(whole) < 120 and (m := FIELD_NAME.search(whole)) and m.group(1).lower() == field.split("_")[0]:
-                rest = FIELD_NAME.sub("▢", whole)
-                if len(re.findall(r"[^\W\d_]{2,}", rest)) >= 1:
-                    out.append(("field", frame(rest), m.group(1).lower()))
-        if (repeated or "latin" in met) and self.filler(plain):
-            out.append(("sure", "▢", "filler"))
-        if met & {"status", "script", "failure"} and len(whole) < 400 and not SPEAKS.search(segment):
-            if "status" in met and (STATUS_RE.search(whole) and not whole.endswith("?") and (re.search(r"\d|[.!)]$|^sorry|error", whole, re.I) or len(whole) > 3) or CODED.search(segment) and "(404 or" not in segment):
-                out.append(("sure", frame(segment), "status"))
-            elif "failure" in met and FAILURE.search(whole) or "script" in met and DEMAND.search(whole):
-                out.append(("sure", frame(segment), "failure"))
-        return out
-
-    @staticmethod
-    def _marks(segment: str, frame: Callable[[str], str]) -> list[tuple[str, str, str]]:
-        """Slots by their marks; the slot value is the name in them."""
-        out: list[tuple[str, str, str]] = []
-        for m in SURE.finditer(segment):
-            name = re.sub(r"^\W+|\W+$", "", m.group()).split("|")[0].strip()
-            if m.group("a") and (len(name) < 3 or segment[m.end() : m.end() + 1] in ("_", "^", "$")):
-                continue  # a formula
-            out.append(("sure" if len(name) > 1 else "weak", frame(SURE.sub("▢", segment)), name.lower()))
-        for m in UNSURE.finditer(segment):
-            text = m.group()
-            name = re.sub(r"^(?:&lt;|\W|__)+|(?:&gt;|\W|__)+$", "", text).strip()
-            before = segment[max(0, m.start() - 1) : m.start()]
-            if re.match(r"<[a-z]+\s*/>", text) and name.lower() in ("br", "hr", "img", "p", "sup", "sub"):
-                continue
-            if before == "\\" or text.startswith("{") and before in ("$", "_", "^"):
-                continue
-            prompt = re.match(r"[<\[](?:enter|insert|type|your|add|to be|title to|abstract to)\b", text, re.I) is not None
-            coded = re.search(r"[a-z][A-Z]|_|\w\.\w", name) is not None and len(name) >= 5
-            out.append(("sure" if prompt or coded or RECEIVED.search(segment) else "name", frame(UNSURE.sub("▢", segment)), name.lower()))
-        slots = POSITIONAL.findall(segment)
-        if slots and "\\" not in segment and len(re.findall(r"[^\W\d_]{2,}", POSITIONAL.sub(" ", segment))) <= 2 * len(slots) and len(re.findall(r"[^\W\d_]{2,}", segment)) <= 6:
-            out.append(("sure", frame(POSITIONAL.sub("▢", segment)), "positional"))
-        return out
-
-    @staticmethod
-    def frames(segments: list[str]) -> set[int]:
-        """Hashes (64 bits) of the frames of a text's segments: marked tokens, numbers, identifiers and field names masked."""
-        out = set()
-        for s in segments:
-            if "<" in s:
-                s = TAG.sub(" ", s)
-            if MARKED.search(s):
-                s = SURE.sub("▢", UNSURE.sub("▢", s))
-            s = MASK_NUMBER.sub("0", s.lower())
-            if "title" in s or "abstract" in s:
-                s = FIELD_NAME.sub("▢", s)
-            s = s.strip(" *|>-.!…")
-            if WORDY.search(s):
-                out.add(xxhash.xxh64_intdigest(s) - (1 << 63))
-        return out
-
-    def evidence(self, text: str, field: str, segments: list[str] | None = None) -> list[tuple[str, str, str]]:
-        low = text.lower()
-        words = low.translate(AROUND).split()
-        repeated = True in map(eq, words, words[2:])  # a token repeated with period one or two is met again two places on
-        if not repeated and next(self.cues.iter(low), None) is None:
-            return []
-        out = []
-        for segment in SEGMENT.split(text) if segments is None else segments:
-            if segment and (repeated or next(self.cues.iter(segment.lower()), None) is not None):
-                out += self.kinds(segment, field, repeated)
-        return out
-
-
-_residue: list[Residue] = []
-
-
-def residue() -> Residue:
-    if not _residue:
-        _residue.append(Residue())
-    return _residue[0]
-
-
-def slot_evidence(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
-    """Stage one, without a shuffle: ``work_id, field_name, kind, frame, slot`` of segments that could be residue, and of
-    every segment a row of kind ``segment`` with the hash of its frame in ``hash``."""
-    rows = as_fields(df, id_col, fields)
-    schema = T.StructType([rows.schema["work_id"], rows.schema["field_name"], *[T.StructField(c, T.StringType()) for c in ("kind", "frame", "slot")], T.StructField("hash", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = residue()
-        for b in batches:
-            at, found = [], []
-            for i, (field, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                segments = SEGMENT.split(text)
-                for e in r.evidence(text, field, segments):
-                    at.append(i)
-                    found.append((*e, None))
-                for h in r.frames(segments):
-                    at.append(i)
-                    found.append(("segment", None, None, h))
-            k = pa.array(at, pa.int32())
-            cols = [pa.array([e[j] for e in found], pa.string()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), *cols, pa.array([e[3] for e in found], pa.int64())], names=["work_id", "field_name", "kind", "frame", "slot", "hash"])
-
-    return rows.mapInArrow(run, schema)
-
-
-#: Records in which a frame with the field's own name must be met to be a template.
+LATIN = "lorem ipsum dolor sit amet consectetur consectetuer adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
+# The names of the fields a bibliographic template fills, in the languages of the corpus.
+FIELD_WORDS = "title|abstract|summary|subtitle|keywords|heading|titel|titre|título|titolo|tytuł|resumen|résumé|resumo|riassunto|zusammenfassung|samenvatting|streszczenie"
+# The pairs of signs in which template languages and forms put a name.
+STYLES = [("{{", "}}"), ("${", "}"), ("#{", "}"), ("{$", "}"), ("{%", "%}"), ("<%=", "%>"), ("<%", "%>"), ("<<", ">>"), ("@@", "@@"), ("[[", "]]"), ("$(", ")"), ("<!--", "-->"), ("&lt;", "&gt;"), ("__", "__"), ("%", "%"), ("[", "]"), ("{", "}"), ("<", "/>")]
+
+SLOT = "▢"
+_IDENT = r"\p{L}(?:[\p{L}\p{N}_.\-]*[\p{L}\p{N}])?"
+_NAME = rf"\s*{_IDENT}(?: {_IDENT}){{0,2}}(?:\|\w+)?\s*"
+#: Java pattern of a marked name. A sign of formulas before it (``\\``, ``_``, ``^``) makes it none.
+MARK = r"(?<![\\_^])(?:" + "|".join(("(?<![0-9])" if a == "%" else "") + rf"\Q{a}\E{_NAME}\Q{b}\E" for a, b in STYLES) + ")"
+POSITIONAL = r"\{\d\}|%(?:\d\$)?[sd](?![\w%])"
+MAY_MARK = r"[{\[<%]|__|@@|&lt;|\$\("
+TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[a-z\-]+=[^<>]*)?/?>"
+NUMBER = r"(?<![a-z0-9])[a-f]{0,6}[0-9](?:[0-9a-f]|[.,:](?=[0-9]))*"
+SEGMENT = r"[\n\r\x{2028}\x{2029}]+|\s\|\s|(?<=[.!?])[\"”»’)]?\s|(?<=[。！？])|\*{2,}|\s>\s"
+WORDS = r"[^\p{L}\p{M}\p{N}▢?_]+"
+#: what is a word by itself
+ALONE = r"([\x{3040}-\x{30ff}\x{3400}-\x{9fff}?])"
+
+#: Works in which a frame must be met to be a template.
 MIN_ALIGNED = 3
 #: Least share of the works with a frame in its second field against those in its first: a heading of abstracts is the
 #: title of few works, and the reverse.
 BALANCE = 0.1
+#: Least share of the works with a template that hold a word for it to be in the vocabulary. A work's templates have some
+#: dozens of words, so the vocabulary sent to the workers has at most some dozens times ``1 / WORD_SHARE`` words.
+WORD_SHARE = 0.0005
+#: How much likelier, in nats, the best beginning or end of a segment must be to come from a template than a whole segment,
+#: beside the logarithm of the number of places that a text offers.
+MARGIN = 3.0
+
+
+def _frames(value: Column) -> Column:
+    """Frames of a text's segments: lower-case words and slots, one space between; JVM only."""
+    t = F.replace(value, F.lit("&nbsp;"), F.lit(" "))
+    t = F.when(t.rlike(MAY_MARK), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, MARK, f" {SLOT} "), POSITIONAL, f" {SLOT} "), TAG, " ")).otherwise(t)
+    t = F.regexp_replace(F.lower(t), NUMBER, "0")
+    t = F.regexp_replace(t, rf"(?U)\b(?:{FIELD_WORDS})\b", SLOT)
+    parts = F.split(t, SEGMENT)
+    return F.filter(F.transform(parts, lambda s: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(s, WORDS, " "), ALONE, " $1 "), " +", " "))), lambda s: s != "")
+
+
+def _wordy(frame: Column) -> Column:
+    """Frames of fewer words (or East Asian letters) are met in any field by chance; questions are no template."""
+    return frame.rlike(r"\p{L}{2,} (?:.* )?\p{L}{2,}|(?:[\x{3040}-\x{30ff}\x{3400}-\x{9fff}] +){3}|\x{25a2} (?:.* )?\x{25a2}") & ~frame.endswith("?")
+
+
+def framed(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
+    """``work_id, field_name, frames, marks`` of every field with text; ``marks`` are the marked names as they stand."""
+    rows = as_fields(df, id_col, fields)
+    v = F.replace(F.col("value"), F.lit("&nbsp;"), F.lit(" "))
+    marks = F.when(v.rlike(MAY_MARK), F.regexp_extract_all(v, F.lit(MARK), F.lit(0)))
+    return rows.select("work_id", "field_name", _frames(F.col("value")).alias("frames"), marks.alias("marks"))
+
 
+def templates(frames: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
+    """``hash`` of the frames that are templates, from ``hash, work_id, field_name``: at least ``min_aligned`` works hold
+    it in one field only (a title copied into its own abstract says nothing), and not all of them in the same field.
 
-def templates(segments: DataFrame, min_aligned: int) -> DataFrame:
-    """``work_id, field_name`` of the fields with a segment whose frame is a template: at least ``min_aligned`` works hold
-    it in one field only (a title copied into its own abstract says nothing), and not all of them in the same field."""
-    both = segments.groupBy("hash").agg(F.min("field_name").alias("lo"), F.max("field_name").alias("hi")).where("lo <> hi").select("hash")
-    met = written(segments.join(both, "hash", "left_semi"), "aligned")
+    The first aggregate is combined map-side and drops the frames of one field, so only few rows reach the exact counts.
+    """
+    both = frames.groupBy("hash").agg(F.min("field_name").alias("lo"), F.max("field_name").alias("hi")).where("lo <> hi").select("hash")
+    met = frames.join(both, "hash", "left_semi")
     single = met.groupBy("hash", "work_id").agg(F.min("field_name").alias("lo"), F.max("field_name").alias("hi")).where("lo = hi")
     per_field = single.groupBy("hash", "lo").agg(F.count(F.lit(1)).alias("works"))
     per_frame = per_field.groupBy("hash").agg(F.sum("works").alias("works"), F.sort_array(F.collect_list("works"), asc=False).alias("by_field"))
-    frames = per_frame.where((F.col("works") >= min_aligned) & (F.try_element_at("by_field", F.lit(2)) >= BALANCE * F.element_at("by_field", 1)))
-    return met.join(frames.select("hash"), "hash", "left_semi").select("work_id", "field_name")
+    return per_frame.where((F.col("works") >= min_aligned) & (F.try_element_at("by_field", F.lit(2)) >= BALANCE * F.element_at("by_field", 1))).select("hash")
+
+
+class Lexicon(NamedTuple):
+    """Log-odds of words between templates and other text, that of any other word, and what a span must exceed."""
+
+    words: list[str]
+    weight: list[float]
+    other: float
+    least: float
+
+
+def make_lexicon(inside: dict[str, int], total: dict[str, int], n_inside: int, n_total: int, segments: tuple[int, int]) -> Lexicon:
+    """``inside`` and ``total`` count the vocabulary's words in templates and in all segments, ``n_*`` all words there;
+    ``segments`` are the numbers of template segments and of all."""
+    words = sorted(inside)
+    outside = max(1, n_total - n_inside)
+    weight = [math.log(inside[w] / n_inside) - math.log((max(0, total.get(w, 0) - inside[w]) + 0.5) / outside) for w in words]
+    rest_in = n_inside - sum(inside.values()) + 1
+    rest_out = outside - sum(max(0, total.get(w, 0) - inside[w]) for w in words) + 1
+    other = min(-1.0, math.log(rest_in / n_inside) - math.log(rest_out / outside))
+    prior = math.log(max(1, segments[0])) - math.log(max(1, segments[1] - segments[0]))
+    return Lexicon(words, weight, other, -prior)
+
+
+def _tokens(frames: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of a list column of frames: the row of each segment, all tokens, and the segment of each token."""
+    row = pc.list_parent_indices(frames).to_numpy()
+    split = pc.split_pattern(frames.flatten(), " ")
+    return row, split.flatten(), pc.list_parent_indices(split).to_numpy()
+
+
+def span_scores(weight: np.ndarray, segment: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each segment the sum of its weights, and the greatest sum of a beginning or an end of it."""
+    whole, best = np.full(n, -np.inf), np.full(n, -np.inf)
+    if len(weight):
+        first = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+        of = segment[first]
+        upto = np.cumsum(weight)
+        before = np.r_[0.0, upto][first]
+        end = np.r_[first[1:], len(weight)] - 1
+        whole[of] = upto[end] - before
+        best[of] = np.maximum(np.maximum.reduceat(upto, first) - before, upto[end] - np.minimum.reduceat(np.r_[0.0, upto[:-1]], first))
+    return whole, best
+
+
+def _filler(tokens: pa.Array, segment: np.ndarray, n: int) -> np.ndarray:
+    """Segments with a token met three times in a row or a pair of tokens three times, or of pseudo-Latin."""
+    code = pc.dictionary_encode(tokens).combine_chunks() if isinstance(tokens, pa.ChunkedArray) else pc.dictionary_encode(tokens)
+    ids = code.indices.to_numpy()
+    plain = np.array([len(w) > 2 and not w.isdigit() for w in code.dictionary.to_pylist()], bool)
+    plain = plain[ids] if len(ids) else np.zeros(0, bool)
+    bad = np.zeros(n, bool)
+
+    def same(gap: int, upto: int) -> np.ndarray:
+        """At i: tokens i, i + gap, i + 2 gap are equal and in one segment that holds i + upto."""
+        m = len(ids) - upto
+        if m <= 0:
+            return np.zeros(0, bool)
+        return (ids[:m] == ids[gap : gap + m]) & (ids[:m] == ids[2 * gap : 2 * gap + m]) & (segment[:m] == segment[upto : upto + m]) & plain[:m]
+
+    one = same(1, 2)
+    bad[segment[: len(one)][one]] = True
+    two = same(2, 5)
+    if len(two):
+        pair = two & (ids[1 : 1 + len(two)] == ids[3 : 3 + len(two)]) & (ids[1 : 1 + len(two)] == ids[5 : 5 + len(two)])
+        bad[segment[: len(pair)][pair]] = True
+    latin = pc.is_in(tokens, value_set=pa.array(LATIN)).to_numpy(zero_copy_only=False) if len(tokens) else np.zeros(0, bool)
+    if latin.any():
+        long = latin & (pc.utf8_length(tokens).to_numpy() > 3)
+        at = np.flatnonzero(long)
+        run4 = at[:-3][(at[3:] == at[:-3] + 3) & (segment[at[3:]] == segment[at[:-3]])] if len(at) > 3 else at[:0]
+        bad[segment[run4]] = True
+        size, of_latin, of_long = (np.bincount(segment, w, n) for w in (np.ones(len(segment)), latin, long))
+        bad |= (size > 2) & (of_latin >= 0.7 * size) & (of_long >= 3)
+    return bad
+
+
+def _vocabulary(rows: DataFrame, hashes: DataFrame) -> Lexicon | None:
+    """Words of the templates with their counts there and everywhere; None if there is no template."""
+    spark = rows.sparkSession
+    met = rows.select("work_id", F.explode("frames").alias("frame")).withColumn("hash", F.xxhash64("frame")).join(hashes, "hash", "left_semi")
+    inside = written(met.select("work_id", "frame"), "template-segments")
+    n_seg, works = inside.agg(F.count(F.lit(1)), F.count_distinct("work_id")).first()
+    if not n_seg:
+        return None
+    word = inside.select("work_id", F.explode(F.split("frame", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("work_id").alias("works"))
+    n_in = word.agg(F.sum("n")).first()[0]
+    least = max(MIN_ALIGNED, WORD_SHARE * works)
+    counts = {r["word"]: r["n"] for r in word.where(F.col("works") >= least).select("word", "n").toLocalIterator()}
+    words = sorted(counts)
+    sent = spark.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array(sent.value, pa.string())
+        got, tokens, segments = np.zeros(len(vocabulary), np.int64), 0, 0
+        for b in batches:
+            _, token, _ = _tokens(b.column(0))
+            at = pc.drop_null(pc.index_in(token, value_set=vocabulary)).to_numpy()
+            got += np.bincount(at, minlength=len(got))
+            tokens, segments = tokens + len(token), segments + len(b.column(0).flatten())
+        ids = np.flatnonzero(got)
+        yield pa.RecordBatch.from_arrays([pa.array([*ids.tolist(), -1, -2], pa.int64()), pa.array([*got[ids].tolist(), tokens, segments], pa.int64())], names=["at", "n"])
 
+    # one row for each word of the vocabulary and two for the totals
+    every = {r["at"]: r["n"] for r in rows.select("frames").mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    total = {words[k]: n for k, n in every.items() if k >= 0}
+    return make_lexicon(counts, total, n_in, every[-1], (n_seg, every[-2]))
 
-def residue_fields(df: DataFrame, id_col: str, fields: list[str], min_aligned: int = MIN_ALIGNED) -> DataFrame:
-    """``work_id, field_name`` of the fields that hold residue.
 
-    Stage two aligns the evidence by slot name (is it a variable elsewhere) and by frame (is it a template), and all
-    segments by the hash of their frame. All are counted with map-side combining and joined with a shuffle, so nothing
-    that grows with the corpus is broadcast.
+def variables(rows: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
+    """``work_id, field_name`` of fields with a slot that retains a variable's name or a default.
+
+    A name of one letter is none. A name is a variable's if marks of at least two styles hold it in ``min_aligned`` works,
+    a default if it is all that a segment of ``min_aligned`` works says, some in one field and some in another.
+    """
+    style = F.regexp_replace("mark", rf"(?U){_NAME}", "·")
+    name = F.lower(F.regexp_extract("mark", rf"(?U)({_IDENT}(?: {_IDENT}){{0,2}})", 1))
+    alone = F.array_contains("frames", SLOT)
+    m = rows.where(F.size("marks") > 0).select("work_id", "field_name", alone.alias("alone"), F.explode("marks").alias("mark")).select("work_id", "field_name", "alone", style.alias("style"), name.alias("name")).where(F.length("name") > 1)
+    m = written(m, "marks")
+    per_work = m.groupBy("name", "work_id").agg(F.min("style").alias("s0"), F.max("style").alias("s1"), F.min(F.when(F.col("alone"), F.col("field_name"))).alias("f0"), F.max(F.when(F.col("alone"), F.col("field_name"))).alias("f1"))
+    names = per_work.groupBy("name").agg(F.count(F.lit(1)).alias("works"), F.min("s0").alias("s0"), F.max("s1").alias("s1"), F.min("f0").alias("f0"), F.max("f1").alias("f1"), F.count("f0").alias("alone"))
+    learned = names.where(((F.col("works") >= min_aligned) & (F.col("s0") < F.col("s1"))) | ((F.col("alone") >= min_aligned) & (F.col("f0") < F.col("f1"))))
+    return m.join(learned.select("name"), "name", "left_semi").select("work_id", "field_name")
+
+
+def residue_evidence(df: DataFrame, id_col: str, fields: list[str], min_aligned: int = MIN_ALIGNED) -> DataFrame:
+    """``work_id, field_name, kind``: ``template`` (a segment's frame is one), ``span`` (a span of it is aligned with the
+    words of templates), ``slot`` (a slot retains a name) or ``filler``; a field once for each kind.
+
+    Frames are written once. Counts are combined map-side and joined with a shuffle; only the vocabulary is broadcast.
     """
-    e = written(slot_evidence(df, id_col, fields), "evidence")  # read by every branch below
-    sure = e.where(F.col("kind") == "sure")
-    variables = sure.select("slot").distinct()
-    named = e.where(F.col("kind") == "name").join(variables, "slot", "left_semi")
-    own = e.where(F.col("kind") == "field")
-    frames = own.groupBy("frame").agg(F.approx_count_distinct("work_id").alias("works"), F.size(F.collect_set("field_name")).alias("in_fields"))
-    aligned = own.join(frames.where((F.col("works") >= min_aligned) & (F.col("in_fields") >= 2)), "frame", "left_semi")
-    repeated = templates(e.where(F.col("kind") == "segment").select("hash", "work_id", "field_name"), min_aligned)
-    return sure.select("work_id", "field_name").unionByName(named.select("work_id", "field_name")).unionByName(aligned.select("work_id", "field_name")).unionByName(repeated).distinct()
+    rows = written(framed(df, id_col, fields), "frames")
+    each = rows.select("work_id", "field_name", F.explode("frames").alias("frame")).where(_wordy(F.col("frame"))).select("work_id", "field_name", F.xxhash64("frame").alias("hash"))
+    hashes = written(templates(each, min_aligned), "templates")
+    lexicon = _vocabulary(rows, hashes)
+    sent = df.sparkSession.sparkContext.broadcast(lexicon)
+    schema = T.StructType([rows.schema["work_id"], rows.schema["field_name"], T.StructField("kind", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = sent.value
+        vocabulary = pa.array(lex.words if lex else [], pa.string())
+        weights = np.array([*(lex.weight if lex else []), lex.other if lex else -1.0])
+        for b in batches:
+            row, token, segment = _tokens(b.column(2))
+            kinds = {"filler": np.unique(row[_filler(token, segment, len(row))])}
+            if lex:
+                at = pc.fill_null(pc.index_in(token, value_set=vocabulary), len(weights) - 1).to_numpy()
+                asks = np.zeros(len(row), bool)
+                asks[segment[pc.equal(token, "?").to_numpy(zero_copy_only=False)]] = True
+                size = np.bincount(row[segment], minlength=b.num_rows)
+                whole, part = span_scores(weights[at], segment, len(row))
+                said = np.bincount(segment, pc.match_substring_regex(token, r"\p{L}").to_numpy(zero_copy_only=False), len(row)) > 0  # a slot alone says nothing
+                kinds["span"] = np.unique(row[said & ((whole > lex.least) | (part > lex.least + MARGIN + np.log(np.maximum(1, size[row])))) & ~asks])
+            for kind, k in kinds.items():
+                kept = b.take(pa.array(k))
+                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array([kind] * len(k), pa.string())], names=[f.name for f in schema])
+
+    spans = rows.select("work_id", "field_name", "frames").mapInArrow(run, schema)
+    aligned = each.join(hashes, "hash", "left_semi").select("work_id", "field_name", F.lit("template").alias("kind"))
+    slots = variables(rows, min_aligned).withColumn("kind", F.lit("slot"))
+    return spans.unionByName(aligned).unionByName(slots).distinct()
+
+
+def residue_fields(df: DataFrame, id_col: str, fields: list[str], min_aligned: int = MIN_ALIGNED) -> DataFrame:
+    """``work_id, field_name`` of the fields that hold residue."""
+    return residue_evidence(df, id_col, fields, min_aligned).select("work_id", "field_name").distinct()

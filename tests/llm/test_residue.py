@@ -1,94 +1,88 @@
-import random
-import re
-import sys
+import numpy as np
+import pyarrow as pa
 
-import pytest
+from sieveline.llm.residue import _filler, _tokens, make_lexicon, residue_evidence, residue_fields, span_scores
 
-from sieveline.llm import residue as module
-from sieveline.llm.residue import Residue, residue_fields
+SCHEMA = "work_id string, title_display string, abstract_display string"
+FIELDS = ["title_display", "abstract_display"]
+PROSE = "Growth rose in all coastal towns during the wet years"
 
-R = Residue()
-SURE = ["{{ title }}", "&nbsp;{{&nbsp;abstract&nbsp;}}", "${abstract}", "<%= keywords %>", "@@doc.title@@", "{% field_3 %}", "#{title}", "[[subtitle]]", "{name|escape}", "Volume {0}, Issue {1}, {2}", "%s: %s", "undefined - undefined", "[object Object]", "<enter title of contribution>", "Insert abstract here", "TODO: write title", "Click to add title Results were", "blah blah blah", "test test test ...", "Lorem ipsum dolor sit amet consectetur", "Nostrud commodo consequat magna aliquip tempor", "Page Not Found (404)", "HTTP 503 - Service Unavailable", "Sorry, bad gateway.", "Fatal error: uncaught exception in /a/b.php on line 3", "Your session has timed out. Log in again to see this record.", "Please enable JavaScript in your browser", "This page stays empty without scripts.", "Bitte aktivieren Sie JavaScript, um diese Seite anzuzeigen.", "ページが見つかりません (404)", "Mean growth rose. | You do not have permission to view this item."]
-CLEAN = ["Placeholder selection in template-based report writing", "Page not found? How clinics cope with missing records", "Error 404 as metaphor: link rot in catalogues", "Enabling JavaScript engines on low-power farms: a benchmark", "Filler text and reading speed: does pseudo-Latin matter?", "Respondents saw an error page (404 or 503) in 90% of visits.", "The portal was rebuilt so that it works when scripts are switched off, and 80% of users noticed.", "Let $\\{x_i\\}$ be the set of 5 sites and let ${a}_6$ denote the weight.", "Bounds on {0,1}-matrices with early structure", "A <i>post hoc</i> test gave p < 0.04.", "Access denied: housing and growth in Calderin", "Not found in translation: absorption", "Session length and recall", "Cookies, biscuits and recall among adults", "The template had 5 empty slots, which participants filled in by hand.", "Editorial", "Table of contents", "Mean growth rose by 23% in the group.", "Abstract: we measured rain."]
 
+def corpus(*extra):
+    """Prose in both fields, and two error templates that works hold in either field."""
+    data = [(f"p{i}", f"Rain and {w} in towns", f"{PROSE} of {w} {i}. We measured {w} with gauges at many sites.") for i in range(60) for w in ("wheat", "rye", "barley")]
+    data += [(f"e{i}", f"Please enable JavaScript on page {i}", PROSE) for i in range(6)] + [(f"f{i}", "Oats", f"{PROSE}. Please enable JavaScript on page {i}") for i in range(6)]
+    return [*data, *extra]
 
-@pytest.mark.parametrize("text", SURE)
-def test_sure(text):
-    assert any(k == "sure" for k, _, _ in R.evidence(text, "title_display"))
 
+def found(spark, data):
+    return {tuple(r) for r in residue_fields(spark.createDataFrame(data, SCHEMA), "work_id", FIELDS).collect()}
 
-@pytest.mark.parametrize("text", CLEAN)
-def test_clean(text):
-    assert not any(k == "sure" for k, _, _ in R.evidence(text, "abstract_display"))
 
+def test_templates_are_aligned_whatever_they_say(spark):
+    got = found(spark, corpus(("x", "Kindly enable JavaScript", None), ("q", "Please enable JavaScript?", None)))
+    assert got == {(f"e{i}", "title_display") for i in range(6)} | {(f"f{i}", "abstract_display") for i in range(6)} | {("x", "title_display")}
 
-def test_names_learned_from_the_corpus(spark, rows):
-    data = [("1", "{{ summary }}", None), ("2", "A study. [summary]", "%summary%"), ("3", "Uptake of [tracer] in mice", "plain"), ("4", None, ""), (None, "${x_name}", None), ("1", "{{ summary }}", None)]
-    df = spark.createDataFrame(data, "work_id string, title_display string, abstract_display string")
-    got = rows(residue_fields(df, "work_id", ["title_display", "abstract_display"]))
-    assert got == [("1", "title_display"), ("2", "abstract_display"), ("2", "title_display"), (None, "title_display")]
 
+def test_a_notice_running_on_in_a_long_segment(spark):
+    long = f"{PROSE} " * 9 + "please enable JavaScript on page 3"
+    assert len(long) > 466
+    assert ("long", "abstract_display") in found(spark, corpus(("long", "Oats", long), ("head", "Oats", "Please enable JavaScript on page 7 " + f"{PROSE} " * 400)))
+    assert ("head", "abstract_display") in found(spark, corpus(("head", "Oats", "Please enable JavaScript on page 7 " + f"{PROSE} " * 400)))
 
-def test_frames_holding_the_fields_own_name(spark, rows):
-    data = [(str(i), "Kindly supply the title", "Kindly supply the abstract") for i in range(4)] + [("9", "How the title shapes reading", "rain")]
-    df = spark.createDataFrame(data, "work_id string, title_display string, abstract_display string")
-    got = rows(residue_fields(df, "work_id", ["title_display", "abstract_display"]))
+
+def test_forms_of_names(spark):
+    data = corpus(*[(f"{i}{k}", t, "Hail") if k else (f"{i}{k}", "Hail", t) for i in range(3) for k in range(2) for t in ["<insert your name here>"]])
+    data += [("1", "<page_title/>", None), ("2", "[page_title]", None), ("3", "%page_title%", None), ("4", "<body_text/>", None), ("5", "{{body_text}}", None), ("6", "@@body_text@@", None)]
+    got = found(spark, data)
+    assert {(k, "title_display") for k in "123456"} <= got and ("00", "abstract_display") in got and ("01", "title_display") in got
+
+
+def test_names_learned_from_the_corpus(spark):
+    data = [("1", "{{ summary }}", None), ("2", "A study. [summary]", "%summary%"), ("3", "Uptake of [tracer] in mice", "plain"), ("4", None, ""), (None, "${x_name}", None), ("5", "${summary}", None), ("1", "{{ summary }}", None), ("6", "Groups [A] and {A}", None)]
+    assert found(spark, data) == {("1", "title_display"), ("2", "abstract_display"), ("2", "title_display"), ("5", "title_display")}
+
+
+def test_frames_holding_the_fields_own_name(spark):
+    data = [(f"{k}{i}", "Kindly supply the title" if k else "Ice", "Snow" if k else "Kindly supply the abstract") for i in range(4) for k in range(2)] + [("9", "How the title shapes reading", "rain")]
+    got = found(spark, data)
     assert len(got) == 8 and all(w != "9" for w, _ in got)
 
 
-def test_templates_learned_from_the_corpus(spark, rows):
+def test_headings_and_copied_titles_are_no_templates(spark):
     prose = "Growth rose in all coastal towns."
     data = [("1", "Escriba aquí el resumen", prose), ("2", "Rain", "Escriba aquí el resumen"), ("3", "Snow", "Escriba aquí el resumen. It rained."), ("4", "Our shelves fell over (no 17)", "Hail"), ("5", "Our shelves fell over (no 4)", "Ice"), ("6", "Fog", f"{prose} | Our shelves fell over (no 233)")]
     data += [(f"c{i}", "Meeting of the society", "Meeting of the society") for i in range(4)]  # titles copied into their abstracts
     data += [(f"h{i}", f"Fog {i}", f"Materials and methods | {prose}") for i in range(40)] + [("t", "Materials and methods", "Dew")]
-    df = spark.createDataFrame(data, "work_id string, title_display string, abstract_display string")
-    got = rows(residue_fields(df, "work_id", ["title_display", "abstract_display"]))
-    assert got == [("1", "title_display"), ("2", "abstract_display"), ("3", "abstract_display"), ("4", "title_display"), ("5", "title_display"), ("6", "abstract_display")]
+    assert found(spark, data) == {("1", "title_display"), ("2", "abstract_display"), ("3", "abstract_display"), ("4", "title_display"), ("5", "title_display"), ("6", "abstract_display")}
 
 
-def test_empty_and_long(spark):
-    df = spark.createDataFrame([("1", "rain " * 20_000 + "${abstract}", None, "c")], "work_id string, title_display string, abstract_display string, frame string")
-    assert residue_fields(df, "work_id", ["title_display"]).count() == 1
-    assert residue_fields(df.limit(0), "work_id", ["title_display"]).count() == 0
+def test_filler_and_clean_texts():
+    bad = ["blah blah blah", "rain fell. dummy text dummy text dummy text", "lorem ipsum dolor sit amet consectetur", "nostrud commodo consequat magna aliquip tempor"]
+    clean = ["filler text and reading speed does pseudo latin matter ?", "a post hoc test gave p 0", "0 0 0 0", "et et al al al", ""]
+    row, token, segment = _tokens(pa.array([[t] for t in bad + clean]))
+    assert _filler(token, segment, len(row)).tolist() == [True] * len(bad) + [False] * len(clean)
+    assert _filler(pa.array([], pa.string()), np.zeros(0, np.int64), 0).tolist() == []
 
 
-def made_from(parsed, rnd):
-    """A text that a parsed pattern may match; its assertions are left out."""
-    out = []
-    for op, arg in parsed:
-        match str(op):
-            case "LITERAL":
-                out.append(chr(arg))
-            case "NOT_LITERAL" | "ANY":
-                out.append(" ")
-            case "IN":
-                kind, value = rnd.choice(arg)
-                classes = {"CATEGORY_WORD": "k", "CATEGORY_NOT_WORD": " ", "CATEGORY_DIGIT": "7", "CATEGORY_SPACE": " "}
-                out.append({"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(rnd.randint(*v)), "CATEGORY": lambda v: classes[str(v)], "NEGATE": lambda _: "k"}[str(kind)](value))
-            case "BRANCH":
-                out.append(made_from(rnd.choice(arg[1]), rnd))
-            case "SUBPATTERN":
-                out.append(made_from(arg[-1], rnd))
-            case "MAX_REPEAT" | "MIN_REPEAT":
-                low, high, inner = arg
-                out += [made_from(inner, rnd) for _ in range(rnd.randint(low, min(high, low + 2)))]
-    return "".join(out)
-
-
-@pytest.mark.parametrize("kind, name", [("marks", "SURE"), ("marks", "UNSURE"), ("marks", "POSITIONAL"), ("prompt", "DEFAULT"), ("prompt", "PROMPT"), ("prompt", "PROMPT_HEAD"), ("script", "DEMAND"), ("failure", "FAILURE")])
-def test_whatever_a_pattern_matches_has_its_cue(kind, name):
-    pattern, rnd = getattr(module, name), random.Random(7)
-    parsed = sys.modules["re._parser"].parse(pattern.pattern, pattern.flags & ~re.UNICODE)
-    texts = [t for t in (made_from(parsed, rnd) for _ in range(4000)) if pattern.search(t)]
-    assert len(texts) > 200
-    assert [t for t in texts if not any(c in t.lower() for c in module.CUES[kind])] == []
-
-
-@pytest.mark.parametrize("text", ["Verifying you are human", "JS is disabled", "This page needs JS", "No value for key X", "Insert summary here", "Your keywords here", "<insert 300 words at most>", "N/A N/A", "Rain fell. xxxx xxxx xxxx.", "veniam quis ullamco duis aute irure", "template article_4"])
-def test_sure_whatever_else_it_holds(text):
-    assert any(k == "sure" for k, _, _ in R.evidence(text, "title_display"))
-
-
-@pytest.mark.parametrize("text", ["A study. <hname/>", "A study. [ name ]", "<body_text/>"])
-def test_marks_with_any_first_letter(text):
-    assert R.evidence(text, "title_display")
+def test_span_scores_against_brute_force():
+    rng = np.random.default_rng(3)
+    segment = np.sort(rng.integers(0, 40, 300))
+    weight = rng.normal(size=300)
+    whole, best = span_scores(weight, segment, 41)
+    for k in range(41):
+        w = weight[segment == k]
+        assert (not len(w) and best[k] == -np.inf) or (np.isclose(whole[k], w.sum()) and np.isclose(best[k], max(max(w[:i].sum(), w[len(w) - i :].sum()) for i in range(1, len(w) + 1))))
+
+
+def test_lexicon():
+    lex = make_lexicon({"enable": 5, "the": 5}, {"enable": 5, "the": 500}, 12, 5000, (5, 600))
+    weight = dict(zip(lex.words, lex.weight))
+    assert weight["enable"] > 3 > weight["the"] and lex.other <= -1 and lex.least > 4
+
+
+def test_empty_long_clashing_names(spark):
+    df = spark.createDataFrame([(k, "rain " * 20_000 + v, None, "c") for k, v in [("1", "${abstract}"), ("2", "%abstract%"), ("3", "[[abstract]]")]], f"{SCHEMA}, frames string")
+    assert residue_fields(df, "work_id", ["title_display"]).count() == 3
+    assert residue_fields(df.limit(0), "work_id", ["title_display"]).count() == 0
+    assert residue_evidence(df, "work_id", ["abstract_display"]).count() == 0
