@@ -21,6 +21,7 @@ are examined, however long. Repeated rows give one result for each distinct (id,
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -42,16 +43,18 @@ FIELD_WORDS = "title|abstract|summary|subtitle|keywords|heading|titel|titre|tít
 STYLES = [("{{", "}}"), ("${", "}"), ("#{", "}"), ("{$", "}"), ("{%", "%}"), ("<%=", "%>"), ("<%", "%>"), ("<<", ">>"), ("@@", "@@"), ("[[", "]]"), ("$(", ")"), ("<!--", "-->"), ("&lt;", "&gt;"), ("__", "__"), ("%", "%"), ("[", "]"), ("{", "}"), ("<", "/>")]
 
 SLOT = "▢"
-_IDENT = r"\p{L}(?:[\p{L}\p{N}_.\-]*[\p{L}\p{N}])?"
-_NAME = rf"\s*{_IDENT}(?: {_IDENT}){{0,2}}(?:\|\w+)?\s*"
-#: Java pattern of a marked name. A sign of formulas before it (``\\``, ``_``, ``^``) makes it none.
-MARK = r"(?<![\\_^])(?:" + "|".join(("(?<![0-9])" if a == "%" else "") + rf"\Q{a}\E{_NAME}\Q{b}\E" for a, b in STYLES) + ")"
-POSITIONAL = r"\{\d\}|%(?:\d\$)?[sd](?![\w%])"
+_IDENT = r"[^\W\d_](?:[\w.\-]*[^\W_])?"
+_NAME = rf"{_IDENT}(?: {_IDENT}){{0,2}}"
+#: A marked name. A sign of formulas before it (a backslash, ``_``, ``^``) makes it none.
+MARK = re.compile(r"(?<![\\_^])(?:" + "|".join(("(?<![0-9])" if a == "%" else "") + rf"{re.escape(a)}\s*{_NAME}(?:\|\w+)?\s*{re.escape(b)}" for a, b in STYLES) + r")|\{\d\}|%(?:\d\$)?[sd](?![\w%])")
+TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[a-z\-]+=[^<>]*)?/?>")
+# The patterns below are RE2, run by Arrow over whole batches.
 MAY_MARK = r"[{\[<%]|__|@@|&lt;|\$\("
-TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[a-z\-]+=[^<>]*)?/?>"
-NUMBER = r"(?<![a-z0-9])[a-f]{0,6}[0-9](?:[0-9a-f]|[.,:](?=[0-9]))*"
-SEGMENT = r"[\n\r\x{2028}\x{2029}]+|\s\|\s|(?<=[.!?])[\"”»’)]?\s|(?<=[。！？])|\*{2,}|\s>\s"
-WORDS = r"[^\p{L}\p{M}\p{N}▢?_]+"
+_DIGITS = r"[0-9](?:[0-9a-f]|[.,:][0-9])*"
+NUMBER = rf"\b[a-f]{{1,6}}{_DIGITS}|{_DIGITS}"
+ASKS = r"\?[\"”»’)]?\s"
+SEGMENT = r"[\n\r\x{2028}\x{2029}。！？]+|\s\|\s|[.!][\"”»’)]?\s|\*{2,}|\s>\s"
+WORDS = r"[^\pL\pM\pN▢?_\n]+"
 #: what is a word by itself
 ALONE = r"([\x{3040}-\x{30ff}\x{3400}-\x{9fff}?])"
 
@@ -68,14 +71,36 @@ WORD_SHARE = 0.0005
 MARGIN = 3.0
 
 
-def _frames(value: Column) -> Column:
-    """Frames of a text's segments: lower-case words and slots, one space between; JVM only."""
-    t = F.replace(value, F.lit("&nbsp;"), F.lit(" "))
-    t = F.when(t.rlike(MAY_MARK), F.regexp_replace(F.regexp_replace(F.regexp_replace(t, MARK, f" {SLOT} "), POSITIONAL, f" {SLOT} "), TAG, " ")).otherwise(t)
-    t = F.regexp_replace(F.lower(t), NUMBER, "0")
-    t = F.regexp_replace(t, rf"(?U)\b(?:{FIELD_WORDS})\b", SLOT)
-    parts = F.split(t, SEGMENT)
-    return F.filter(F.transform(parts, lambda s: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(s, WORDS, " "), ALONE, " $1 "), " +", " "))), lambda s: s != "")
+def _lists(parent: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
+    """Values as ``n`` lists, by the number of the list that each is in."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(parent, minlength=n))].astype(np.int32)), values)
+
+
+def frames_of(values: pa.Array) -> tuple[pa.ListArray, list[list[str]]]:
+    """Of each text the frames of its segments (lower-case words and slots, one space between) and its marked names."""
+    t = pc.replace_substring(values, "&nbsp;", " ")
+    marks: list[list[str]] = [[]] * len(t)
+    may = np.flatnonzero(pc.match_substring_regex(t, MAY_MARK).to_numpy(zero_copy_only=False))
+    if len(may):
+        some = t.take(pa.array(may)).to_pylist()
+        for i, text in zip(may.tolist(), some):
+            marks[i] = MARK.findall(text)
+        masked = [TAG.sub(" ", MARK.sub(f" {SLOT} ", text)) for text in some]
+        mask = np.zeros(len(t), bool)
+        mask[may] = True
+        t = pc.replace_with_mask(t, pa.array(mask), pa.array(masked, t.type))
+    t = pc.replace_substring_regex(pc.utf8_lower(t), NUMBER, "0")
+    t = pc.replace_substring_regex(pc.replace_substring_regex(t, ASKS, " ?\n"), SEGMENT, "\n")
+    t = pc.replace_substring_regex(pc.replace_substring_regex(t, WORDS, " "), ALONE, r" \1 ")
+    parts = pc.split_pattern(t, "\n")
+    row, parts = pc.list_parent_indices(parts).to_numpy(), pc.ascii_trim_whitespace(parts.flatten())
+    some = pc.not_equal(parts, "")
+    row, parts = row[some.to_numpy(zero_copy_only=False)], parts.filter(some)
+    words = pc.ascii_split_whitespace(parts)
+    word = words.flatten()
+    word = pc.if_else(pc.is_in(word, value_set=pa.array(FIELD_WORDS.split("|"))), SLOT, word)
+    frames = pc.binary_join(pa.ListArray.from_arrays(words.offsets, word), " ")
+    return _lists(row, frames, len(values)), marks
 
 
 def _wordy(frame: Column) -> Column:
@@ -86,9 +111,14 @@ def _wordy(frame: Column) -> Column:
 def framed(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """``work_id, field_name, frames, marks`` of every field with text; ``marks`` are the marked names as they stand."""
     rows = as_fields(df, id_col, fields)
-    v = F.replace(F.col("value"), F.lit("&nbsp;"), F.lit(" "))
-    marks = F.when(v.rlike(MAY_MARK), F.regexp_extract_all(v, F.lit(MARK), F.lit(0)))
-    return rows.select("work_id", "field_name", _frames(F.col("value")).alias("frames"), marks.alias("marks"))
+    schema = T.StructType([rows.schema["work_id"], rows.schema["field_name"], T.StructField("frames", T.ArrayType(T.StringType())), T.StructField("marks", T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            frames, marks = frames_of(b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), frames, pa.array(marks, pa.list_(pa.string()))], names=[f.name for f in schema])
+
+    return rows.mapInArrow(run, schema)
 
 
 def templates(frames: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
@@ -218,8 +248,8 @@ def variables(rows: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
     A name of one letter is none. A name is a variable's if marks of at least two styles hold it in ``min_aligned`` works,
     a default if it is all that a segment of ``min_aligned`` works says, some in one field and some in another.
     """
-    style = F.regexp_replace("mark", rf"(?U){_NAME}", "·")
-    name = F.lower(F.regexp_extract("mark", rf"(?U)({_IDENT}(?: {_IDENT}){{0,2}})", 1))
+    style = F.regexp_replace("mark", r"[\p{L}\p{N}](?:[\p{L}\p{N}_.\- |]*[\p{L}\p{N}])?| ", "")
+    name = F.lower(F.regexp_extract("mark", r"(\p{L}(?:[\p{L}\p{N}_.\- ]*[\p{L}\p{N}])?)", 1))
     alone = F.array_contains("frames", SLOT)
     m = rows.where(F.size("marks") > 0).select("work_id", "field_name", alone.alias("alone"), F.explode("marks").alias("mark")).select("work_id", "field_name", "alone", style.alias("style"), name.alias("name")).where(F.length("name") > 1)
     m = written(m, "marks")
