@@ -2,11 +2,14 @@
 
 Method: a column-by-bucket checksum matrix. The rows of either copy fall into buckets by a hash of their key. For
 every bucket and column the 64-bit hashes of (key, value) are added up, as two sums of 32-bit halves that cannot
-overflow below 2**31 rows a bucket. Unequal cells of the two matrices locate the buckets and columns in which the
-copies differ; only those are read again and compared value by value.
+overflow below 2**31 rows a bucket. Sums are combined map-side, so what is shuffled is the matrix, not the rows: about
+one bucket for ``ROWS_A_BUCKET`` rows. Unequal cells of the two matrices locate the buckets and columns in which the
+copies differ. Where most buckets are equal, the others are split by further bits of the hash and added up again, until
+they are small or most of them differ; only the rows of those are then joined and compared value by value.
 
 Null equals null and nothing else; the empty string is a value. A null key is a key of its own. Exact duplicate
-rows count once. Several different rows of one key are compared as a set: a field differs if the values that the
+rows count once: they are added as they are, so copies with other duplicates have unequal buckets, and are settled where
+rows are compared. Several different rows of one key are compared as a set: a field differs if the values that the
 key's distinct rows have there differ as multisets. Columns of one copy only are ignored. Two empty copies give an
 empty result; all rows of the other copy are reported if one is empty.
 """
@@ -27,6 +30,7 @@ def _h(*cols: Column) -> Column:
 
 
 def _bucket(key: str, buckets: int) -> Column:
+    """Number of the key's bucket; of twice as many buckets either half of one is a bucket."""
     return F.pmod(_h(F.col(key)), F.lit(buckets))
 
 
@@ -35,14 +39,11 @@ def _halves(c: Column) -> tuple[Column, Column]:
 
 
 def checksum_matrix(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
-    """Per bucket: number of distinct rows and, for the key and every column, the two halves of its additive hash.
-
-    Duplicates are removed on hashes, not on rows: what is shuffled is one number for each column.
-    """
+    """Per bucket: number of rows and, for the key and every column, the two halves of its additive hash."""
     hashed = df.select(_bucket(key, buckets).alias("bucket"), _h(F.col(key)).alias("h_key"), *[_h(F.col(key), F.col(c)).alias(f"h_{c}") for c in columns])
     names = ["h_key", *[f"h_{c}" for c in columns]]
     sums = [F.sum(half).alias(f"{n}_{i}") for n in names for i, half in enumerate(_halves(F.col(n)))]
-    return hashed.distinct().groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def unequal_cells(a: DataFrame, b: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
@@ -59,22 +60,42 @@ def unequal_cells(a: DataFrame, b: DataFrame, key: str, columns: list[str], buck
     return cells.where(" or ".join(["`keys`", *[f"`c_{c}`" for c in columns]]))
 
 
-def diff_copies(a: DataFrame, b: DataFrame, key: str, columns: list[str] | None = None, name_a: str = "a", name_b: str = "b", buckets: int = 1 << 16) -> DataFrame:
+#: Rows that share a bucket of the first matrix, its least and most buckets, and into how many parts a bucket is split.
+ROWS_A_BUCKET, LEAST_BUCKETS, MOST_BUCKETS, SPLIT = 64, 1 << 6, 1 << 16, 1 << 6
+#: Up to so many buckets of 8 bytes are broadcast.
+BROADCAST_BUCKETS = 1 << 20
+
+
+def _within(df: DataFrame, key: str, cells: DataFrame, buckets: int, found: int) -> DataFrame:
+    """The rows of ``df`` in the buckets of ``cells``."""
+    hit = cells.select(F.col("bucket").alias("__bucket"))
+    return df.join(F.broadcast(hit) if found <= BROADCAST_BUCKETS else hit, _bucket(key, buckets) == F.col("__bucket"), "left_semi")
+
+
+def diff_copies(a: DataFrame, b: DataFrame, key: str, columns: list[str] | None = None, name_a: str = "a", name_b: str = "b", buckets: int | None = None) -> DataFrame:
     """Rows ``<key>, diff, field_name``: keys of one copy only, and each field whose values differ.
 
-    The unequal cells are cut off with a checkpoint, since they are read twice: as one row that tells the columns to
-    read, and as the list of buckets (at most ``buckets`` numbers of 8 bytes, so it may be broadcast).
+    The unequal cells are cut off with a checkpoint, since they are read twice: as one row that tells how many there are
+    and the columns to read, and as the list of buckets.
     """
     columns = columns or [c for c in a.columns if c in set(b.columns) and c != key]
-    cells = cut(unequal_cells(a, b, key, columns, buckets))
-    flags = cells.agg(F.max("keys").alias("keys"), *[F.max(f"c_{c}").alias(c) for c in columns]).first()
-    wanted = [c for c in columns if flags[c]]
-    hit = F.broadcast(cells.select(F.col("bucket").alias("__bucket")))
+    a, b = a.select(key, *columns), b.select(key, *columns)
+    rows = max(a.count(), b.count())
+    buckets = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (rows // ROWS_A_BUCKET).bit_length()))
+    x, y, wanted, of = a, b, columns, buckets
+    while True:
+        cells = cut(unequal_cells(x, y, key, wanted, buckets))
+        told = cells.agg(F.count(F.lit(1)).alias("__n"), F.max("keys").alias("keys"), *[F.max(f"c_{c}").alias(c) for c in wanted]).first()
+        wanted, found = [c for c in wanted if told[c]], told["__n"]
+        x, y = (_within(df.select(key, *wanted), key, cells, buckets, found) for df in (a, b))
+        # splitting pays where most buckets were equal and those left are large
+        if not found or 2 * found > of or rows // buckets <= ROWS_A_BUCKET:
+            break
+        buckets, of = buckets * SPLIT, found * SPLIT
 
     def side(df: DataFrame, is_a: bool) -> DataFrame:
-        rows = df.select(F.col(key).alias("__key"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(wanted)])
-        near = rows.join(hit, _bucket("__key", buckets) == F.col("__bucket"), "left_semi").distinct()
-        return near.withColumn("__a", F.lit(is_a))
+        near = df.select(F.col(key).alias("__key"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(wanted)])
+        return near.distinct().withColumn("__a", F.lit(is_a))
 
     aggs, tests = [F.max("__a").alias("in_a"), F.min("__a").alias("only_a")], []
     for i, _ in enumerate(wanted):
@@ -84,7 +105,7 @@ def diff_copies(a: DataFrame, b: DataFrame, key: str, columns: list[str] | None
             aggs += [F.min(F.when(mine, v)).alias(f"{s}{i}_0"), F.max(F.when(mine, v)).alias(f"{s}{i}_1"), F.count_if(mine & v.isNull()).alias(f"{s}{i}_2"), F.sum(low).alias(f"{s}{i}_3"), F.sum(high).alias(f"{s}{i}_4")]
         same = [F.col(f"a{i}_{k}").eqNullSafe(F.col(f"b{i}_{k}")) for k in range(5)]
         tests.append(~(same[0] & same[1] & same[2] & same[3] & same[4]))
-    per_key = side(a, True).unionByName(side(b, False)).groupBy("__key").agg(*aggs)
+    per_key = side(x, True).unionByName(side(y, False)).groupBy("__key").agg(*aggs)
     found = F.when(F.col("only_a"), F.array(F.struct(F.lit(f"only_in_{name_a}").alias("diff"), F.lit("").alias("field_name")))).when(
         ~F.col("in_a"), F.array(F.struct(F.lit(f"only_in_{name_b}").alias("diff"), F.lit("").alias("field_name")))
     )
