@@ -8,7 +8,7 @@ places where records of one template differ, so they are masked and become the t
   and some in another, is a template: what people write for one field isn't met word for word in the other. Error pages,
   script notices, prompts and default texts are such templates, whatever they say; no text of theirs is listed here.
 * Other words of the same templates. The words of the templates against those of all other segments give each word a
-  log-odds (a word that no template has, one shared value). A segment is aligned with them as a whole or by its best
+  log-odds (a word that no template has, or that stands beside none of its neighbours there, one shared value). A segment is aligned with them as a whole or by its best
   beginning or end, so a template whose slots hold rare words, or that runs on into real text, is found by its other words.
 * Slots. A slot is residue if it retains the name of a variable, a default or a blank. Names are learned: a name that
   marks of several styles hold is a variable's, and one that stands alone as the whole segment in both fields a default.
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -54,7 +54,7 @@ _DIGITS = r"[0-9](?:[0-9a-f]|[.,:][0-9])*"
 NUMBER = rf"\b[a-f]{{1,6}}{_DIGITS}|{_DIGITS}"
 ASKS = r"\?[\"”»’)]?\s"
 SEGMENT = r"[\n\r\x{2028}\x{2029}。！？]+|\s\|\s|[.!][\"”»’)]?\s|\*{2,}|\s>\s"
-WORDS = r"[^\pL\pM\pN▢?_\n]+"
+WORDS = r"[^\pL\pM\pN▢?\n]+"
 #: what is a word by itself
 ALONE = r"([\x{3040}-\x{30ff}\x{3400}-\x{9fff}?])"
 
@@ -69,6 +69,8 @@ WORD_SHARE = 0.0005
 #: How much likelier, in nats, the best beginning or end of a segment must be to come from a template than a whole segment,
 #: beside the logarithm of the number of places that a text offers.
 MARGIN = 3.0
+#: Fewer words at a beginning or an end say nothing: any text may begin with them.
+LEAST_WORDS = 4
 
 
 def _lists(parent: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
@@ -105,7 +107,7 @@ def frames_of(values: pa.Array) -> tuple[pa.ListArray, list[list[str]]]:
 
 def _wordy(frame: Column) -> Column:
     """Frames of fewer words (or East Asian letters) are met in any field by chance; questions are no template."""
-    return frame.rlike(r"\p{L}{2,} (?:.* )?\p{L}{2,}|(?:[\x{3040}-\x{30ff}\x{3400}-\x{9fff}] +){3}|\x{25a2} (?:.* )?\x{25a2}") & ~frame.endswith("?")
+    return frame.rlike(r"\p{L}{2,} (?:.* )?\p{L}{2,}|(?:[\x{3040}-\x{30ff}\x{3400}-\x{9fff}] +){3}|\x{25a2} (?:.* )?(?:\x{25a2}|\p{L}{3,})|\p{L}{3,} (?:.* )?\x{25a2}") & ~frame.endswith("?")
 
 
 def framed(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
@@ -142,9 +144,28 @@ class Lexicon(NamedTuple):
     weight: list[float]
     other: float
     least: float
+    pairs: list[str] = []  # of neighbours in templates, one space between
 
+    def weigher(self) -> Callable[[pa.Array, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """A function from tokens and their segments to the weights of words alone and of words beside their neighbours."""
+        vocabulary, n = pa.array(self.words, pa.string()), len(self.words)
+        weights, place = np.array([*self.weight, self.other]), {w: i for i, w in enumerate(self.words)}
+        met = np.array(sorted(place[a] * n + place[b] for a, b in (p.split(" ") for p in self.pairs) if a in place and b in place), np.int64)
 
-def make_lexicon(inside: dict[str, int], total: dict[str, int], n_inside: int, n_total: int, segments: tuple[int, int]) -> Lexicon:
+        def weigh(token: pa.Array, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = pc.fill_null(pc.index_in(token, value_set=vocabulary), n).to_numpy().astype(np.int64)
+            beside = np.zeros(len(at), bool)
+            if len(at) > 1 and len(met):
+                pair = at[:-1] * n + at[1:]
+                seen = (at[:-1] < n) & (at[1:] < n) & (segment[1:] == segment[:-1]) & (met[np.minimum(np.searchsorted(met, pair), len(met) - 1)] == pair)
+                beside[:-1] |= seen
+                beside[1:] |= seen
+            return weights[at], np.where(beside, weights[at], np.minimum(weights[at], self.other))
+
+        return weigh
+
+
+def make_lexicon(inside: dict[str, int], total: dict[str, int], n_inside: int, n_total: int, segments: tuple[int, int], pairs: list[str]) -> Lexicon:
     """``inside`` and ``total`` count the vocabulary's words in templates and in all segments, ``n_*`` all words there;
     ``segments`` are the numbers of template segments and of all."""
     words = sorted(inside)
@@ -154,7 +175,7 @@ def make_lexicon(inside: dict[str, int], total: dict[str, int], n_inside: int, n
     rest_out = outside - sum(max(0, total.get(w, 0) - inside[w]) for w in words) + 1
     other = min(-1.0, math.log(rest_in / n_inside) - math.log(rest_out / outside))
     prior = math.log(max(1, segments[0])) - math.log(max(1, segments[1] - segments[0]))
-    return Lexicon(words, weight, other, -prior)
+    return Lexicon(words, weight, other, -prior, pairs)
 
 
 def _tokens(frames: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -165,7 +186,7 @@ def _tokens(frames: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 def span_scores(weight: np.ndarray, segment: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each segment the sum of its weights, and the greatest sum of a beginning or an end of it."""
+    """Of each segment the sum of its weights, and the greatest sum of a beginning or an end of ``LEAST_WORDS`` or more."""
     whole, best = np.full(n, -np.inf), np.full(n, -np.inf)
     if len(weight):
         first = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
@@ -174,7 +195,12 @@ def span_scores(weight: np.ndarray, segment: np.ndarray, n: int) -> tuple[np.nda
         before = np.r_[0.0, upto][first]
         end = np.r_[first[1:], len(weight)] - 1
         whole[of] = upto[end] - before
-        best[of] = np.maximum(np.maximum.reduceat(upto, first) - before, upto[end] - np.minimum.reduceat(np.r_[0.0, upto[:-1]], first))
+        size = end - first + 1
+        after = np.arange(len(weight)) - np.repeat(first, size) + 1  # words of the beginning that ends here
+        left = np.repeat(size, size) - after + 1  # words of the end that begins here
+        lead = np.maximum.reduceat(np.where(after >= LEAST_WORDS, upto, -np.inf), first) - before
+        tail = upto[end] - np.minimum.reduceat(np.where(left >= LEAST_WORDS, np.r_[0.0, upto[:-1]], np.inf), first)
+        best[of] = np.maximum(lead, tail)
     return whole, best
 
 
@@ -223,6 +249,9 @@ def _vocabulary(rows: DataFrame, hashes: DataFrame) -> Lexicon | None:
     least = max(MIN_ALIGNED, WORD_SHARE * works)
     counts = {r["word"]: r["n"] for r in word.where(F.col("works") >= least).select("word", "n").toLocalIterator()}
     words = sorted(counts)
+    w = F.split("frame", " ")
+    pair = inside.select("work_id", F.explode(F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))).alias("pair"))
+    pairs = [r["pair"] for r in pair.groupBy("pair").agg(F.count_distinct("work_id").alias("works")).where(F.col("works") >= least).toLocalIterator()]
     sent = spark.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +268,7 @@ def _vocabulary(rows: DataFrame, hashes: DataFrame) -> Lexicon | None:
     # one row for each word of the vocabulary and two for the totals
     every = {r["at"]: r["n"] for r in rows.select("frames").mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()}
     total = {words[k]: n for k, n in every.items() if k >= 0}
-    return make_lexicon(counts, total, n_in, every[-1], (n_seg, every[-2]))
+    return make_lexicon(counts, total, n_in, every[-1], (n_seg, every[-2]), pairs)
 
 
 def variables(rows: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
@@ -274,17 +303,16 @@ def residue_evidence(df: DataFrame, id_col: str, fields: list[str], min_aligned:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = sent.value
-        vocabulary = pa.array(lex.words if lex else [], pa.string())
-        weights = np.array([*(lex.weight if lex else []), lex.other if lex else -1.0])
+        weigh = lex.weigher() if lex else None
         for b in batches:
             row, token, segment = _tokens(b.column(2))
             kinds = {"filler": np.unique(row[_filler(token, segment, len(row))])}
             if lex:
-                at = pc.fill_null(pc.index_in(token, value_set=vocabulary), len(weights) - 1).to_numpy()
                 asks = np.zeros(len(row), bool)
                 asks[segment[pc.equal(token, "?").to_numpy(zero_copy_only=False)]] = True
                 size = np.bincount(row[segment], minlength=b.num_rows)
-                whole, part = span_scores(weights[at], segment, len(row))
+                alone, beside = weigh(token, segment)
+                whole, part = span_scores(alone, segment, len(row))[0], span_scores(beside, segment, len(row))[1]
                 said = np.bincount(segment, pc.match_substring_regex(token, r"\p{L}").to_numpy(zero_copy_only=False), len(row)) > 0  # a slot alone says nothing
                 kinds["span"] = np.unique(row[said & ((whole > lex.least) | (part > lex.least + MARGIN + np.log(np.maximum(1, size[row])))) & ~asks])
             for kind, k in kinds.items():
