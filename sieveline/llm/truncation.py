@@ -1,13 +1,22 @@
 """Texts cut off by field limits or in mid-transfer (problem 9).
 
-Method: two kinds of evidence. First, lengths: for each source and unit (characters, UTF-8 bytes, words) a log-normal
-length distribution is fitted by maximum likelihood in which values at a candidate limit are right-censored, and the
-excess of values at the limit over the fit is the posterior of a value there to have been cut. Second, endings: how
-often the last words (up to four) of a text end a sentence, line or list item elsewhere in the corpus. Only the words that
-end some text are counted, each by itself, however many there are: a filter in front of the shuffle lets all of them and
-few others pass, counts are added up with map-side combining and joined to the texts. A text that ends
-in a mark put after a cut (an ellipsis, ``[...]``, closing tags) is judged by what stands before the mark, since complete
-texts end in such marks too. Both kinds combine as odds.
+Method: for each source and unit (characters, UTF-8 bytes, words) a log-normal length distribution is fitted by maximum
+likelihood in which values at a candidate limit are right-censored. A length is a limit if the number of values there
+can't be chance under that fit and the lengths beside it (a likelihood ratio, without a least pile, until no further
+limit is found). The excess of the values at a limit over the fit is the censoring posterior of a value there.
+
+The posterior is combined with the text's ending. An ending has a kind (prose, a heading, a list; with a mark put after a
+cut or without, since complete texts end in such marks, too) and a shape: how often its last words (up to four) end a
+sentence, line or list item elsewhere in the corpus, an open bracket or sign, a broken character. What a shape says
+isn't set by hand. Its share among complete texts is that among the texts that end in a full stop, looked at without it
+(of headings and lists, that among those at no limit); its share among cut texts is learned from the documents at limits,
+each by its posterior. For every place (a step of the censoring posterior, or no limit) and kind the share of cut texts is then
+the one of greatest likelihood, with the censoring posterior as its prior; of prose without a full stop at a limit it
+follows from the complete texts there and how often those at no limit lack theirs. All by expectation maximisation over counts. A document is cut if its odds from place, kind and shape exceed one.
+
+Only the words that end some text are counted, each by itself, however many there are: a filter in front of the shuffle
+lets all of them and few others pass, counts are added up with map-side combining and joined to the texts. What comes to
+the driver is the table of counts by place, kind and shape (at most ``PLACES`` places by some hundreds of kinds and shapes).
 
 Defined results: null, empty and blank texts are not cut. A text that ends in a full stop, question or exclamation mark
 is complete, wherever its length lies. A document of null source has only its ending judged against the limits of the
@@ -18,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
@@ -25,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +45,8 @@ GRAMS = 4
 #: Bits of the filter of grams to count: about so many for each, within bounds. Too few cost shuffled rows, never a count.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
 PROBES = (6, 35)
-#: Values of one length above which, and over how many times their expectation, a length is a candidate limit.
-MIN_PILE, MIN_EXCESS, MAX_LIMITS = 8, 6.0, 4
+#: Chance of a false limit among all lengths of one source and unit.
+FALSE_LIMIT = 1e-3
 UNITS = ("chars", "bytes", "words")
 #: How far below the limit a cut value may lie: a space cut off, a character of several bytes left out.
 SLACK = {"chars": 1, "bytes": 3, "words": 0}
@@ -49,17 +59,18 @@ TOKEN = re.compile(r"[㐀-鿿぀-ヿ]|[^\W\d_㐀-鿿぀-ヿ]+|\d+(?:[.,]\d+)*|[\
 LIST_HEAD = re.compile(r"\s*[^\W\d_]+(?: [^\W\d_]+)?\s?[:：]\s")
 SEPARATOR = re.compile(r"\s?[,;|•·]\s?|\s[-–—]\s")
 ITEM_WORDS = 5
+#: Characters a word on average above which a text isn't parted by spaces.
+MOST_LETTERS = 20
 HAS_STOP = re.compile(r"[.!?。！？…](?=[\"'”’»)\]]*(?:\s|$|[㐀-鿿぀-ヿ]))")
 TEXT_END, PROSE, HEADING, LIST = "\x01", "\x02", "\x03", "\x04"
 CONTROLS = re.compile("[\x01-\x04]")
 OPEN_END = re.compile(r"[,;:(\[{=<+/&%–—\-]$|\($")
 
 
-#: Least odds of a text without a full stop that is exactly as long as a limit: one cut just before its stop is likelier
-#: than a complete one that lacks its stop and has this length by chance.
-AT_LIMIT = 0.1
-#: A text of one line without a full stop is a bare title far more often than a cut first sentence.
-HEADING_ODDS = 0.15
+#: Places that documents fall into by their censoring posterior: those at no limit, and steps of its log-odds.
+FREE, PLACES = 0, 12
+#: Pseudo-documents by which the share of cut texts at a place is that of its censoring posterior until some are seen.
+BELIEF = 2.0
 MASK = (1 << 64) - 1
 MIX = 0x9E3779B97F4A7C15
 KIND = {PROSE: 0x51ED270B, HEADING: 0x2545F491, LIST: 0x6C8E9CF5}
@@ -219,20 +230,10 @@ def ending_counts(df: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame
 # -- lengths --------------------------------------------------------------------------------------------------------
 
 
-def _core(text_col: str) -> Column:
-    """The text without its mark; the pattern is tried only on texts that end as a mark does."""
-    text = F.col(text_col)
-    end = F.rtrim(text, F.lit(" \t\n\r\f\x0b"))
-    may = F.right(end, F.lit(1)).isin("…", "]", ")", ">") | (F.right(end, F.lit(3)) == "...")
-    return F.when(may, F.regexp_replace(text, MARK, "")).otherwise(text)
-
-
-def length_histogram(df: DataFrame, source_col: str, text_col: str) -> DataFrame:
+def length_histogram(rows: DataFrame) -> DataFrame:
     """``source, unit, length, n`` of the texts without their marks; native, combined map-side."""
-    core = _core(text_col)
-    sizes = {"chars": F.length(core), "bytes": F.octet_length(core), "words": F.size(F.split(F.trim(core), r"\s+"))}
-    rows = df.where(F.length(F.trim(text_col)) > 0).select(F.col(source_col).alias("source"), F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), c.cast("long").alias("length")) for u, c in sizes.items()])).alias("s"))
-    return rows.groupBy("source", "s.unit", "s.length").agg(F.count(F.lit(1)).alias("n"))
+    sizes = [F.struct(F.lit(u).alias("unit"), F.col("_sizes")[2 * i].alias("length")) for i, u in enumerate(UNITS)]
+    return rows.where("_sizes is not null").select("source", F.explode(F.array(*sizes)).alias("s")).where("s.length is not null").groupBy("source", "s.unit", "s.length").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_censored(length: np.ndarray, n: np.ndarray, limits: list[tuple[int, int]]) -> tuple[float, float]:
@@ -261,43 +262,50 @@ def fit_censored(length: np.ndarray, n: np.ndarray, limits: list[tuple[int, int]
     return mu, sd
 
 
-def find_limits(length: np.ndarray, n: np.ndarray, unit: str) -> list[tuple[int, float]]:
-    """Limits of one source and unit with the posterior of a value there to have been cut."""
-    order = np.argsort(length)
-    length, n = length[order], n[order]
-    slack = SLACK[unit]
-    found: list[tuple[int, int]] = []
+def _normal_cdf(x: np.ndarray) -> np.ndarray:
+    return np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in x.tolist()])
 
-    def expected(low: int, high: int, mu: float, sd: float) -> float:
-        cdf = lambda v: 0.5 * math.erfc(-(math.log(max(v, 0.5)) - mu) / sd / math.sqrt(2))
-        return float(n.sum()) * max(1e-9, cdf(high + 0.5) - cdf(low - 0.5))
 
-    def in_window(low: int, high: int) -> int:
-        return int(n[(length >= low) & (length <= high)].sum())
+def find_limits(length: np.ndarray, n: np.ndarray, unit: str, alpha: float = FALSE_LIMIT) -> list[tuple[int, float]]:
+    """Limits of one source and unit with the posterior of a value there to have been cut.
 
-    for _ in range(MAX_LIMITS):
+    One sort and running sums; each limit found costs one more pass over the distinct lengths.
+    """
+    if not len(length):
+        return []
+    order = np.argsort(length)
+    length, n = length[order].astype(np.int64), n[order].astype(np.int64)
+    slack, total = SLACK[unit], float(n.sum())
+    upto = np.r_[0, np.cumsum(n)]
+
+    def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return upto[np.searchsorted(length, high, "right")] - upto[np.searchsorted(length, low, "left")]
+
+    def fitted(low: np.ndarray, high: np.ndarray, mu: float, sd: float) -> np.ndarray:
+        cdf = lambda v: _normal_cdf((np.log(np.maximum(v, 0.5)) - mu) / sd)
+        return total * (cdf(high + 0.5) - cdf(low - 0.5))
+
+    got = between(length - slack, length).astype(float)
+    # the neighbourhood speaks for natural lengths, too: a pile must stand out of what lies just below and above it
+    start = np.ceil(0.9 * length).astype(np.int64)
+    below = between(start, length - slack - 1) * (slack + 1) / np.maximum(1, length - slack - start)
+    above = between(length + 1, length + 2 * (slack + 1)) / 2
+    found: list[tuple[int, int]] = []
+    while True:
         mu, sd = fit_censored(length, n, found)
-        best, score = None, MIN_EXCESS
-        for v, k in zip(length.tolist(), n.tolist()):
-            if k < 2 or v < 20 or any(low - slack <= v <= high + slack for low, high in found):
-                continue
-            got = in_window(v - slack, v)
-            # the neighbourhood speaks for natural lengths, too: a pile must stand out of what lies just below it
-            near = in_window(int(v * 0.9), v - slack - 1) / max(1.0, v * 0.1) * (slack + 1)
-            over = in_window(v + 1, v + max(2, slack + 1))
-            e = max(expected(v - slack, v, mu, sd), near, over, 0.3)
-            if got >= MIN_PILE and got / e > score:
-                best, score = v, got / e
-        if best is None:
+        e = np.maximum.reduce([fitted(length - slack, length, mu, sd), below, above, np.full(len(length), 0.1)])
+        gain = np.where(got > e, got * np.log(np.maximum(got, 1) / e) - (got - e), 0.0)
+        for low, high in found:
+            gain[(length >= low - slack) & (length <= high + slack)] = 0.0
+        best = int(gain.argmax())
+        if gain[best] <= math.log(len(length) / alpha):
             break
-        found.append((best - slack, best))
-    if not found:
-        return []
-    mu, sd = fit_censored(length, n, found)
+        found.append((int(length[best]) - slack, int(length[best])))
     out = []
     for low, high in found:
-        got = in_window(low, high)
-        out.append((high, max(0.0, 1 - expected(low, high, mu, sd) / max(got, 1))))
+        here = float(between(np.array([low]), np.array([high]))[0])
+        natural = max(float(fitted(np.array([low]), np.array([high]), mu, sd)[0]), float(between(np.array([high + 1]), np.array([high + 2 * (slack + 1)]))[0]) / 2)
+        out.append((high, min(1.0, max(0.0, 1 - natural / here))))
     return out
 
 
@@ -323,67 +331,118 @@ class Open(NamedTuple):
     chain: list[int]
     prose: int
     kind: str
-    terminal: bool
+    number: bool
     own: bool
+    marked: bool
 
 
-def ending_odds(text: str, final: Mapping[int, int], met: Mapping[int, int]) -> float | None:
-    """Odds that a text was cut, from its ending alone; None if it ends as a complete text does."""
-    e = ending(text)
-    return looked_up(e, final, met) if isinstance(e, Open) else e
+#: State of texts that end as complete ones do.
+WHOLE = "whole"
+NAMES = {PROSE: "prose", HEADING: "heading", LIST: "list"}
 
 
-def ending(text: str) -> float | Open | None:
-    """Odds that a text was cut, None if it ends as a complete text does; where they depend on the corpus, what to look up."""
+def ending(text: str) -> tuple[str | None, Open | None]:
+    """State of a text's ending (``whole``, or kind and shape), and what to look up: of an open ending, whose state is
+    None, to know its shape; of a whole one of prose, to know the shapes of complete texts."""
     body = text.rstrip()
-    marked = MARK_RE.search(body)
+    marked = MARK_RE.search(body) is not None
     core = MARK_RE.sub("", body).rstrip() if marked else body
     if not core:
-        return None
-    if "�" in core[-2:]:
-        return 50.0
+        return WHOLE, None
+    sign = "marked " if marked else ""
+    if "\ufffd" in core[-2:]:
+        return f"{sign}prose: broken", None
     bare = core.rstrip(CLOSING)
     last = (bare or core)[-1]
+    whole = number = False
     if last in TERMINAL:
-        if not (last == "." and re.search(r"\d\.$", core)):
-            return None
-        bare = bare[:-1]  # a number cut at its point, or a sentence ending in a number
+        number = last == "." and re.search(r"\d\.$", core) is not None  # cut at its point, or a sentence ending in a number
+        whole = not number
+        bare = bare.rstrip(TERMINAL + CLOSING)
     elif core[-1] in ")]}」』】）\"”»" and _closed(core):
-        return None
-    if OPEN_END.search(core) and last != "%":
-        return 30.0
-    line = core[core.rfind("\n") + 1 :]
-    if line.count("(") > line.count(")") and "(" in line[-60:]:
-        return 20.0
-    marked = _marked(bare)
-    kind = marked[max(marked.rfind(k) for k in (PROSE, HEADING, LIST))]
-    tail = TOKEN.findall(marked[max(marked.rfind(k) for k in (PROSE, HEADING, LIST)) + 1 :])
+        return WHOLE, None
+    elif OPEN_END.search(core) and last != "%":
+        return f"{sign}prose: open", None
+    if not whole and (line := core[core.rfind("\n") + 1 :]).count("(") > line.count(")"):
+        return f"{sign}prose: bracket", None
+    lines = _marked(bare)
+    at = max(lines.rfind(k) for k in (PROSE, HEADING, LIST))
+    if at < 0:
+        return WHOLE, None
+    kind = lines[at]
+    if whole and (kind != PROSE or marked):
+        return WHOLE, None
     words: list[str] = []
-    for t in tail:
+    for t in TOKEN.findall(lines[at + 1 :]):
         if t in CODE:
             if CODE[t] == 5 or (CODE[t] == 6 and kind == LIST):
                 words = []
         else:
             words.append(t)
     if not words:
-        return None
-    own = kind != PROSE and last not in TERMINAL  # such an ending was counted as final when the table was made
-    return Open(_chain(words, kind), _chain(words[-1:], PROSE)[0], kind, last in TERMINAL, own)
+        return WHOLE, None
+    own = kind != PROSE or last in TERMINAL  # such an ending was counted as final when the table was made
+    return WHOLE if whole else None, Open(_chain(words, kind), _chain(words[-1:], PROSE)[0], kind, number, own, marked)
 
 
-def looked_up(e: Open, final: Mapping[int, int], met: Mapping[int, int]) -> float:
+def looked_up(e: Open, final: Mapping[int, int], met: Mapping[int, int]) -> str:
+    """Kind and shape of an open ending: the number of last words met before, and the log2 odds that they go on."""
+    name = ("marked " if e.marked else "") + NAMES[e.kind] + (" number" if e.number else "")
     for g in range(len(e.chain), 0, -1):
         m, f = met.get(e.chain[g - 1], 0), final.get(e.chain[g - 1], 0)
         if e.own and f and m:
             m, f = m - 1, f - 1
         if m >= (2 if g > 1 else 1):
-            q = (f + 0.05) / (m + 0.1)
-            if g == 1 and len(e.chain) > 1 and e.kind == PROSE:
-                q *= 0.3  # the word is known, but never after the words before it
-            return (1 - q) / max(q, 1e-3) * (0.2 if e.terminal else HEADING_ODDS if e.kind == HEADING else 1.0)
-    if e.kind == PROSE:
-        return 12.0  # a word never met is broken off
-    return (1.5 if met.get(e.prose, 0) > 0 else 14.0) * (HEADING_ODDS if e.kind == HEADING else 1.0)
+            q = (f + 0.5) / (m + 1)
+            part = " in part" if g == 1 and len(e.chain) > 1 else ""  # the word is known, but never after the words before it
+            return f"{name}: {'words' if g > 1 else 'word'}{part} {max(-6, min(6, round(math.log2((1 - q) / q))))}"
+    return f"{name}: {'elsewhere' if e.kind != PROSE and met.get(e.prose, 0) > 0 else 'new'}"
+
+
+def fit_odds(counts: dict[tuple[int, str], int], complete: dict[str, int], stopped: dict[int, int], posterior: dict[int, float]) -> dict[tuple[int, str], float]:
+    """Odds that a document is cut for every (place, kind and shape) met, by expectation maximisation.
+
+    ``complete`` counts the shapes of texts that end in a full stop, ``stopped`` such texts by place. ``posterior`` has the censoring posterior of every
+    place but ``FREE``, whose prior is the share of all documents that the others explain.
+    """
+    names = sorted({c for _, c in counts})
+    if not names:
+        return {}
+    places = sorted({p for p, _ in counts})
+    kinds = sorted({c.partition(": ")[0] for c in names})
+    shapes = sorted({c.partition(": ")[2] for c in names} | {c.partition(": ")[2] for c in complete})
+    n = np.array([[[counts.get((p, f"{k}: {s}"), 0) for s in shapes] for k in kinds] for p in places], float)
+    whole = np.array([sum(v for c, v in complete.items() if c.partition(": ")[2] == s) for s in shapes], float)
+    even = np.full(len(shapes), 1 / len(shapes))
+    prose = np.array(["prose" in k for k in kinds])
+    free = np.array([p == FREE for p in places])
+    prior = np.array([posterior.get(p, 0.5) for p in places])
+    rest = np.where(prose[:, None], (whole + even) / (whole.sum() + 1), (n[free].sum(axis=0) + even) / (n[free].sum(axis=(0, 2))[:, None] + 1))
+    at_limit = n[~free][:, prose].sum(axis=(0, 1)) if (~free).any() else n[:, prose].sum(axis=(0, 1))
+    gone = (at_limit + even) / (at_limit.sum() + 1)
+    rate = np.repeat(prior[:, None], len(kinds), axis=1)
+    lacks = np.array([k in ("prose", "marked prose") for k in kinds])  # their missing full stop is evidence itself
+    ended = np.array([stopped.get(p, 0) for p in places], float)
+    for _ in range(200):
+        a = rate[:, :, None] * gone
+        r = a / (a + (1 - rate[:, :, None]) * rest)
+        cut_n = n * r
+        of_limits = (cut_n[~free][:, prose] if (~free).any() else cut_n[:, prose]).sum(axis=(0, 1))
+        new = (of_limits + even) / (of_limits.sum() + 1)
+        moved = np.abs(new - gone).sum()
+        gone = new
+        left = (n - cut_n)[free].sum(axis=0)
+        rest = np.where(prose[:, None], rest, (left + even) / (left.sum(axis=1)[:, None] + 1))
+        size = n.sum(axis=2)
+        rate = (cut_n.sum(axis=2) + BELIEF * prior[:, None]) / (size + BELIEF)
+        if ended[free].sum():
+            unstopped = left.sum(axis=1) / ended[free].sum()  # complete texts without a full stop for one with it
+            expected = np.minimum(1, (ended[:, None] * unstopped + 0.5 / ended[free].sum()) / np.maximum(size, 1))
+            rate = np.where(lacks & ~free[:, None], np.minimum(1 - expected, 1 - 1e-6), rate)
+        if moved < 1e-9:
+            break
+    odds = rate[:, :, None] * gone / np.maximum((1 - rate[:, :, None]) * rest, 1e-300)
+    return {(p, f"{k}: {s}"): float(odds[i, j, m]) for i, p in enumerate(places) for j, k in enumerate(kinds) for m, s in enumerate(shapes) if n[i, j, m]}
 
 
 def _closed(core: str) -> bool:
@@ -396,71 +455,92 @@ def _closed(core: str) -> bool:
 def cut_documents(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """``<id_col>, source, cut boolean, odds double`` of every row, also of those without text."""
     full = widen(df.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), F.col(text_col).alias("text")))
+    placed = _placed(full, id_col)
+    table = placed.where("_class is not null or _whole").groupBy("_place", "_class", "_whole").agg(F.count(F.lit(1)).alias("n")).collect()
+    complete, stopped = Counter(), Counter()
+    for r in table:
+        if r["_whole"]:
+            stopped[r["_place"]] += r["n"]
+            if r["_class"]:
+                complete[r["_class"]] += r["n"]
+    odds = fit_odds({(r["_place"], r["_class"]): r["n"] for r in table if not r["_whole"]}, complete, stopped, {p: _of_place(p) for p in range(1, PLACES)})
+    known = df.sparkSession.createDataFrame([(p, c, False, o) for (p, c), o in odds.items()], "_place int, _class string, _whole boolean, _odds double")
+    # at most PLACES times the number of classes, which are combinations of a few properties
+    judged = placed.join(F.broadcast(known), ["_place", "_class", "_whole"], "left")
+    return judged.select(id_col, "source", (F.coalesce("_odds", F.lit(0.0)) > 1).alias("cut"), F.coalesce("_odds", F.lit(0.0)).alias("odds"))
+
+
+def _placed(full: DataFrame, id_col: str) -> DataFrame:
+    """``<id_col>, source, _place, _class, _whole`` of every row, written once; ``_class`` is the kind and shape, null of a row
+    without text and of a whole ending whose words can't be looked up."""
     rows = _endings(full, id_col)
-    grams = rows.select("_row", F.explode(F.array_append("_chain", F.col("_prose"))).alias("hash"))
+    grams = rows.where("_chain is not null").select("_row", F.explode(F.array_append("_chain", F.col("_prose"))).alias("hash"))
     counts = ending_counts(full, "text", wanted_filter(grams))
     # the counts of each row's grams, by the number that the row was given when it was written
     counted = grams.join(counts, "hash").groupBy("_row").agg(F.collect_list(F.struct("hash", "final", "met")).alias("_counts"))
-    limits = cut(source_limits(length_histogram(full, "source", "text")))
+    limits = cut(source_limits(length_histogram(rows)))
     # one row for each source; joined by the engine, which broadcasts it if its measured size allows
     per_source = limits.groupBy("source").agg(F.collect_list(F.struct("unit", "limit", "posterior")).alias("_limits"))
     rows = rows.join(counted, "_row", "left").join(per_source.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")), "left")
-    rows = rows.select(id_col, "source", "_odds", "_chain", "_prose", "_kind", "_terminal", "_own", "_sizes", "_stopped", "_counts", "_limits")
-    schema = T.StructType([full.schema[id_col], full.schema["source"], T.StructField("cut", T.BooleanType()), T.StructField("odds", T.DoubleType())])
+    rows = rows.select(id_col, "source", "_state", "_chain", "_prose", "_kind", "_number", "_own", "_marked", "_sizes", "_counts", "_limits")
+    schema = T.StructType([full.schema[id_col], full.schema["source"], T.StructField("_place", T.IntegerType()), T.StructField("_class", T.StringType()), T.StructField("_whole", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            odds = []
-            for o, chain, prose, kind, terminal, own, sizes, stopped, counts, limits in zip(*(c.to_pylist() for c in b.columns[2:])):
+            place, name, whole = [], [], []
+            for state, chain, prose, kind, number, own, marked, sizes, counts, limits in zip(*(c.to_pylist() for c in b.columns[2:])):
+                whole.append(state == WHOLE)
                 if chain is not None:
-                    final, met = {c["hash"]: c["final"] for c in counts or []}, {c["hash"]: c["met"] for c in counts or []}
-                    o = looked_up(Open(chain, prose, kind, terminal, own), final, met)
-                if o is not None:
-                    at_limit, exact = censoring_odds(sizes, limits or [])
-                    if exact and not stopped:
-                        o = max(o, AT_LIMIT)
-                    o *= at_limit
-                odds.append(o or 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o > 1 for o in odds], pa.bool_()), pa.array(odds, pa.float64())], names=[f.name for f in schema])
+                    state = looked_up(Open(chain, prose, kind, number, own, marked), {c["hash"]: c["final"] for c in counts or []}, {c["hash"]: c["met"] for c in counts or []})
+                name.append(None if state == WHOLE else state)
+                place.append(FREE if state is None else place_of(censoring_posterior(sizes, limits or [])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(place, pa.int32()), pa.array(name, pa.string()), pa.array(whole, pa.bool_())], names=[f.name for f in schema])
 
-    return rows.mapInArrow(run, schema)
+    return written(rows.mapInArrow(run, schema), "placed")
 
 
 def _endings(full: DataFrame, id_col: str) -> DataFrame:
     """All that the judgement of a row needs of its text, written once with a number for each row."""
-    own = T.StructType.fromDDL("_odds double, _chain array<bigint>, _prose bigint, _kind string, _terminal boolean, _own boolean, _sizes array<bigint>, _stopped boolean")
+    own = T.StructType.fromDDL("_state string, _chain array<bigint>, _prose bigint, _kind string, _number boolean, _own boolean, _marked boolean, _sizes array<bigint>")
     schema = T.StructType([full.schema[id_col], full.schema["source"], *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
             for text in b.column(2).to_pylist():
-                e = ending(text) if text and text.strip() else None
-                known = (None, *e) if isinstance(e, Open) else (e, None, None, None, None, None)
-                found.append((*known, None, None) if e is None else (*known, *text_sizes(text)))
+                if not text or not text.strip():
+                    found.append((None,) * len(own))
+                    continue
+                state, e = ending(text)
+                found.append((state, *(e or (None,) * 6), text_sizes(text)))
             columns = zip(*found) if found else [[]] * len(own)
-            types = [pa.float64(), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.bool_()]
+            types = [pa.string(), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=[f.name for f in schema])
 
     return written(full.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "endings")
 
 
-def text_sizes(text: str) -> tuple[list[int], bool]:
-    """The text's size in each unit, without its mark and with it; whether it ends in a full stop before the mark."""
+def text_sizes(text: str) -> list[int | None]:
+    """The text's size in each unit, without its mark and with it; a text hardly parted by spaces has no number of words."""
     core = MARK_RE.sub("", text)
-    return [len(core), len(text), len(core.encode()), len(text.encode()), len(core.split()), len(text.split())], core.rstrip()[-1:] in TERMINAL
+    words = len(core.split())
+    parted = len(core) <= MOST_LETTERS * words
+    return [len(core), len(text), len(core.encode()), len(text.encode()), words if parted else None, len(text.split()) if parted else None]
 
 
-def censoring_odds(sizes: list[int], limits: list[dict]) -> tuple[float, bool]:
-    """Odds from the length, of the posterior at the limit where the text's length lies, or those of any other length;
-    and whether the text without a mark is exactly as long as a limit."""
+def censoring_posterior(sizes: list[int | None], limits: list[dict]) -> float:
+    """The greatest posterior of the limits at which a size of the text lies; 0 at none."""
     size = dict(zip(UNITS, zip(sizes[::2], sizes[1::2])))
-    best, exact = 0.0, False
-    for x in limits:
-        for v in size[x["unit"]]:
-            if x["limit"] - SLACK[x["unit"]] <= v <= x["limit"]:
-                best = max(best, x["posterior"])
-        # a limit in bytes leaves out the character that it would split
-        spare = SLACK["bytes"] if x["unit"] == "bytes" else 0
-        exact |= x["limit"] - spare <= size[x["unit"]][0] <= x["limit"] and x["posterior"] > 0.9
-    return (min(20.0, max(0.5, best / max(1 - best, 0.01))) if best else 0.6), exact
+    return max((x["posterior"] for x in limits for v in size[x["unit"]] if v is not None and x["limit"] - SLACK[x["unit"]] <= v <= x["limit"]), default=0.0)
+
+
+def place_of(posterior: float) -> int:
+    """Step of the posterior's log-odds, from 1; ``FREE`` if it is 0."""
+    if posterior <= 0:
+        return FREE
+    x = math.log(max(posterior, 1e-6) / max(1 - posterior, 1e-6))
+    return max(1, min(PLACES - 1, round(x) + 5))
+
+
+def _of_place(place: int) -> float:
+    return 1 / (1 + math.exp(-(place - 5)))

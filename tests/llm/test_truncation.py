@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from sieveline.llm.truncation import Endings, cut_documents, ending_odds, find_limits, fit_censored
+from sieveline.llm.truncation import FREE, WHOLE, Endings, _placed, cut_documents, ending, find_limits, fit_censored, fit_odds, looked_up, place_of
 
 SUBJECTS = ["The river", "A small survey", "Every station", "The new sensor"]
 VERBS = ["rose by", "was measured near", "fell slightly below", "has been linked to"]
@@ -22,27 +22,58 @@ def test_censored_fit_recovers_the_distribution():
     mu, sd = fit_censored(length, n, [(600, 600)])
     assert abs(mu - 6) < 0.02 and abs(sd - 0.5) < 0.02
     found = dict(find_limits(length, n, "chars"))
-    assert set(found) <= {600, 601} and all(p > 0.9 for p in found.values()) and found
+    assert set(found) == {600} and found[600] > 0.9
     assert find_limits(*np.unique(np.exp(rng.normal(6, 0.5, 5000)).astype(int), return_counts=True), "words") == []
 
 
+def test_limits_of_any_number_and_length():
+    rng = np.random.default_rng(4)
+    x = np.exp(rng.normal(4, 1.0, 40_000)).astype(int) + 1
+    true = [12, 90, 160, 300, 520, 900]
+    for low, high in zip(true, [*true[1:], 10**9]):
+        some = (x > low) & (x < high) & (rng.random(len(x)) < 0.3)
+        x[some] = low
+    assert {v for v, p in find_limits(*np.unique(x, return_counts=True), "words")} == set(true)
+    assert find_limits(np.zeros(0, int), np.zeros(0, int), "chars") == []
+    few = np.r_[rng.permutation(np.arange(30, 400))[:100], [200] * 12]
+    assert {v for v, _ in find_limits(*np.unique(few, return_counts=True), "words")} == {200}
+
+
 def test_endings():
     rnd = random.Random(1)
     e = Endings()
     e.add([" ".join(sentence(rnd) for _ in range(5)) for _ in range(300)])
-    judge = lambda t: (ending_odds(t, e.final, e.met) or 0.0) > 1
+
+    def shape(t):
+        state, o = ending(t)
+        return state or looked_up(o, e.final, e.met)
+
+    def steps(t):
+        return int(shape(t).rpartition(" ")[2])
+
     whole = " ".join(sentence(rnd) for _ in range(3))
-    assert not judge(whole) and not judge(whole[:-1])  # without its full stop it is complete, too
-    assert judge(whole + " The river rose") and judge(whole + " The riv") and judge(whole + " Every station was measured near the")
-    assert judge(whole + " The new sensor was meas…") and judge(whole + " The river fell sl [...]</p>")
-    assert not judge(whole[:-1] + "…") and not judge("") and not judge("  \n")
-    assert judge("Br�") and judge(whole + " The river,")
+    assert shape(whole) == WHOLE and steps(whole[:-1]) < -2  # without its full stop its words still end a sentence
+    assert steps(whole + " The river rose") > 2 and steps(whole + " Every station was measured near the") > 2
+    assert shape(whole + " The riv") == "prose: new"
+    assert shape(whole[:-1] + ".…") == shape("") == shape("  \n") == WHOLE
+    assert shape("Br�") == "prose: broken" and shape(whole + " The river,") == "prose: open" and shape(whole + " The river ( " + "x" * 80) == "prose: bracket"
+    assert shape(whole + " The river, [...]") == "marked prose: open"
+    assert looked_up(ending(whole)[1], e.final, e.met).startswith("prose: words -")  # complete texts tell how those look
+
+
+def test_odds_are_learned_from_the_places():
+    counts = {(FREE, "prose: new"): 5, (FREE, "prose: words -6"): 8, (FREE, "heading: words -2"): 80, (11, "prose: new"): 60, (11, "prose: words -6"): 2, (3, "heading: words -2"): 9}
+    complete, stopped = {"prose: words -6": 700, "prose: words -2": 200}, {FREE: 900, 11: 2}
+    odds = fit_odds(counts, complete, stopped, {11: 0.98, 3: 0.2})
+    assert odds[11, "prose: new"] > 10 and odds[FREE, "prose: new"] > 1 and odds[FREE, "prose: words -6"] < 0.2 < 1 < odds[11, "prose: words -6"] and odds[FREE, "heading: words -2"] < 0.05
+    assert fit_odds({}, {}, {}, {}) == {} and all(math.isfinite(v) for v in odds.values())
+    assert place_of(0.0) == FREE and 1 <= place_of(1e-9) < place_of(0.5) < place_of(1.0)
 
 
 def test_operator(spark, rows):
     rnd = random.Random(2)
     data, truth = [], {}
-    for i in range(600):
+    for i in range(1500):
         t = " ".join(sentence(rnd) for _ in range(rnd.randint(1, 12)))
         source = ["short", "free", None][i % 3]
         whole = t
@@ -50,14 +81,15 @@ def test_operator(spark, rows):
             t = t[:200]
         truth[i] = t != whole and not t.rstrip().endswith(".")
         data.append((i, source, t, True))
-    data += [(1000, "free", None, None), (1001, "free", "", None), (1002, "free", " \n", None)]
+    data += [(2000, "free", None, None), (2001, "free", "", None), (2002, "free", " \n", None)]
     df = spark.createDataFrame(data, "doc_id bigint, source string, text string, cut boolean")
-    got = {r["doc_id"]: r["cut"] for r in cut_documents(df, "doc_id", "source", "text").collect()}
-    assert len(got) == len(data) and not any(got[i] for i in (1000, 1001, 1002))
+    judged = cut_documents(df, "doc_id", "source", "text").collect()
+    got = {r["doc_id"]: r["cut"] for r in judged}
+    assert len(got) == len(data) and not any(got[i] for i in (2000, 2001, 2002))
     wrong = [i for i in truth if truth[i] != got[i]]
     assert len(wrong) <= 0.02 * sum(truth.values()) + 2
+    assert math.isfinite(sum(r["odds"] for r in judged))
     assert cut_documents(df.limit(0), "doc_id", "source", "text").count() == 0
-    assert math.isfinite(sum(r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()))
 
 
 def test_grams_are_counted_exactly_however_many(spark, monkeypatch):
@@ -67,8 +99,9 @@ def test_grams_are_counted_exactly_however_many(spark, monkeypatch):
     data = [(i, "s", ". ".join(" ".join(word() for _ in range(rnd.randint(3, 9))) for _ in range(20)) + ".") for i in range(2500)]
     data += [(10_000 + i, "t", "Rain fell. " * rnd.randint(1, 400) + f"Then {word()} {word()} broke") for i in range(300)]
     df = spark.createDataFrame(data, "doc_id bigint, source string, text string")
-    got = {r["doc_id"]: r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()}
-    assert {round(got[i], 6) for i in got if i >= 10_000} == {7.2}  # a word never met
+    classes = lambda: {r["doc_id"]: (r["_place"], r["_class"], r["_whole"]) for r in _placed(df.select("doc_id", "source", "text"), "doc_id").collect()}
+    got = classes()
+    assert {got[i][1] for i in got if i >= 10_000} == {"prose: new"}  # all end in a word never met
     monkeypatch.setattr("sieveline.llm.truncation.MOST_BITS", 1 << 10)  # a full filter changes no result
     monkeypatch.setattr("sieveline.llm.truncation.LEAST_BITS", 1 << 10)
-    assert {r["doc_id"]: r["odds"] for r in cut_documents(df, "doc_id", "source", "text").collect()} == got
+    assert classes() == got
