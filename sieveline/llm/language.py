@@ -1,14 +1,16 @@
 """Languages of texts and of their segments, with a confidence (problem 2).
 
-Method: cross-parsing entropy. For each language a suffix automaton holds labelled text. A text is cut greedily into
-phrases, each the longest match that the automaton gives; a text in the automaton's language needs few of them. The
-cost of a language is its number of phrases times log2 of the size of its labelled text, and the language of least cost
-wins. Phrases don't run over word boundaries (a word is parsed with its boundaries), so the cost of a word is worked
-out once and looked up afterwards, and a segment's cost is a sum over its words, made for a whole batch in numpy.
+Method: cross-parsing entropy. For each language a suffix automaton holds running labelled text. A segment is cut
+greedily into phrases, each the longest match that the automaton gives, across words and spaces; a segment in the
+automaton's language needs few of them. The cost of a language is its number of phrases times log2 of the size of its
+labelled text, over that of a full one, and the language of least cost wins. The automata of the languages that share a
+script are tables of transitions, and all segments of a batch are parsed side by side in numpy, a character a step, the
+longest first. Where a script has one language (Korean, Russian), that is the language.
 
 The labels of the corpus are partly wrong. The model starts from a short text of our own for each language; a bounded
-sample of labelled rows (``SAMPLE_ROWS``) then gives the words of those segments whose label agrees with that start,
-of each language the ``WORDS`` most frequent. Only these word lists (at most 12 x ``WORDS`` words) go to the workers.
+sample of labelled rows (at most ``SAMPLE_ROWS``, those of the lowest hash) then gives the running text of the segments
+whose label agrees with that start, of each language the first ``TEXT_CHARS`` characters. Only these texts (at most
+12 x ``TEXT_CHARS`` characters) go to the workers.
 
 Defined results: a null, empty or letterless text has no language. A garbled text is repaired first. Segments of under
 ``MIN_LETTERS`` letters, under three words or of a margin under ``MIN_MARGIN`` phrases have no language of their own. Whole texts are
@@ -20,7 +22,6 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,8 @@ from .encoding import as_fields, garble
 from .lookalike import forms
 
 LANGS = ["en", "de", "fr", "es", "pt", "it", "nl", "pl", "ru", "ko", "ja", "zh"]
-SAMPLE_ROWS, WORDS = 5_000, 3_000
-MIN_LETTERS, MIN_MARGIN, WHOLE_MARGIN, STRANGE = 8, 1.5, 0.4, 2.5
-CACHE_WORDS = 300_000
+SAMPLE_ROWS, TEXT_CHARS = 5_000, 16_000
+MIN_LETTERS, MIN_MARGIN, WHOLE_MARGIN, STRANGE = 8, 1.5, 0.4, 0.55
 MIXED = re.compile("[Ͱ-ԯ](?:(?=[A-Za-z])|(?<=[A-Za-z].))")
 PART_ROWS = 2_000
 
@@ -46,19 +46,20 @@ NOTATIONS = {
 }
 CANONICAL = {n: k for k, v in NOTATIONS.items() for n in [k, *v.split()]}
 
+#: A few lines of everyday prose for each language, to tell which labels can be trusted.
 START = {
-    "en": "the results of this study show that there was no difference between the two groups after many weeks and that further work is needed to see whether the method can be used for other places. we examined how the quality of water has changed with age and found it to be lower than before, which was not described by earlier authors. our data were obtained from a total of many samples and analysed with new measurements; these findings suggest that it should be considered when planning work in schools and on farms. its effect on the growth and role of each part is a marker at the site. evidence from older adults near the river, while both have been linked to outcomes. review letter news reply editorial to about how more effects during under over through",
-    "de": "die ergebnisse dieser untersuchung zeigen, dass sich der wert nach mehreren wochen deutlich verändert hat und es keinen unterschied zwischen den gruppen gibt. ziel der arbeit war es, das wachstum in der umgebung über einige monate zu untersuchen. dazu wurden viele proben gesammelt und mit einem neuen verfahren ausgewertet, außerdem müssen künftige messungen größere höhenunterschiede berücksichtigen. bisher wurde sie nur selten beschrieben, jedoch konnte kein zusammenhang mit dem alter nachgewiesen werden. für die praxis ergeben sich daraus empfehlungen; wir haben die beiden miteinander verglichen. wie auf eine nicht auch bei einer wird ist sind ein im zur zum vom über unter von durch beobachtungen lage wirkt reihe",
-    "fr": "les résultats de cette étude montrent que la qualité de l'eau varie fortement selon la saison et qu'il n'y a aucune différence significative entre les groupes après plusieurs semaines. nous avons étudié la croissance près de la ville pendant des mois, et les données ont été complétées par une enquête où l'été fut très sec. ces données suggèrent que l'effet dépend de l'âge des sujets. le taux moyen a augmenté au cours de la période. on ne sait pas encore si un essai peut être utilisé dans d'autres régions. au total, des échantillons ont été analysés avec du matériel. comment influence une comparaison observations sur dans pour par plus est sont ce qui ou aux leur série",
-    "es": "los resultados de este estudio muestran que la calidad del agua cambia mucho según la estación y que no se encontraron diferencias significativas entre los grupos después de varias semanas. el objetivo de este trabajo fue estudiar el crecimiento durante unos meses; se analizaron muchas muestras mediante una encuesta. estos datos sugieren que el efecto depende de la edad de los sujetos. el valor medio aumentó a lo largo del período. es necesario saber si un ensayo también sirve en otras regiones. además, la población recibió más atención que los años anteriores. se compararon las zonas cercanas. cómo influye relación entre sobre con por para una al como alrededores serie",
-    "pt": "os resultados deste estudo mostram que a qualidade da água muda muito conforme a estação e que não foram encontradas diferenças significativas entre os grupos após várias semanas. o objetivo deste trabalho foi avaliar o crescimento durante alguns meses; foram analisadas muitas amostras por meio de um inquérito. esses dados sugerem que o efeito depende da idade dos indivíduos. o valor médio aumentou durante o período em questão. ainda é preciso saber se um ensaio também serve para outras regiões. além disso, a população recebeu mais atenção nas estações anteriores. foram comparadas as zonas próximas. como influencia relação entre avaliação sobre com uma nas nos ao dos das observações em série",
-    "it": "i risultati di questo studio mostrano che la qualità dell'acqua cambia molto nel corso della stagione e che non sono emerse differenze significative tra i gruppi dopo alcune settimane. lo scopo di questo lavoro era studiare la crescita durante dei mesi; sono stati analizzati molti campioni con un'indagine. questi dati suggeriscono che l'effetto dipende dall'età dei soggetti. il valore medio è aumentato nel periodo. resta da capire se una prova sia utile anche in altre regioni. la città è più umida perché il vento non è costante e la quantità è già nota. abbiamo confrontato le zone. come modifica osservazioni su del delle degli alla nei dintorni mediante per gli sulla serie",
-    "nl": "uit de resultaten van dit onderzoek blijkt dat de kwaliteit van het water sterk verschilt van jaar tot jaar en dat er na enkele weken geen verschil meer te zien was tussen de groepen. het doel was om de groei bij de stad gedurende maanden te volgen. in totaal werden veel monsters met een proef onderzocht. het is nog niet duidelijk of een enquête ook elders bruikbaar is. de coördinaten worden één keer per dag geüpload. wij hebben ze met elkaar vergeleken. deze gegevens wijzen erop dat het effect afhangt van de leeftijd. hoe en met elkaar samenhangen metingen in de omgeving naar door voor zijn werd wordt ook bij uit reeks",
-    "pl": "wyniki wskazują, że jakość wody zależy od pory roku i po kilku tygodniach nie stwierdzono istotnych różnic między grupami. celem pracy było zbadanie, jak zmienia się wzrost w okolicy miasta przez wiele miesięcy. łącznie przebadano próbek przy użyciu nowej metody. nie wiadomo jeszcze, czy użycie ankiety sprawdzi się gdzie indziej. porównano, jak zmieniają się w czasie. te dane sugerują, że efekt zależy od wieku badanych. związek cech takich jak oraz zastosowanie badanie z czy wpływa na inne cechy do za pod nad są jest był była to tego które seria",
-    "ru": "результаты показывают, что качество воды сильно зависит от времени года и через несколько недель различий между группами не найдено. целью работы было выяснить, как меняется рост в течение месяцев. всего было изучено много образцов с помощью новых измерений. пока неясно, можно ли применять данные в других районах. мы сравнили их на соседних участках. эти данные ещё предстоит проверить на большем объёме. о том, от чего зависит сравнительное исследование опыт серия из для при по это он она они был была было были к у за и не на с",
-    "ko": "연구 결과 수질은 계절에 따라 크게 달라지는 것으로 나타났다. 몇 주가 지난 뒤에는 집단 사이에 차이가 없었다. 앞으로 다른 지역에서도 방법을 쓸 수 있는지 확인해야 한다. 이 연구는 지역에서 개월 동안 변화를 살펴보았다. 관계를 비교하여 분석하였다. 에 미치는 영향에 대한 비교 고찰 자료 이용한 장기 관찰 관한",
-    "ja": "この研究の結果、水質は季節によって大きく変わることがわかった。数週間後には群の間に差が見られなかった。今後はほかの地域でも方法が使えるかどうかを確かめる必要がある。における変化についての調査を用いた長期観察が与える影響に関する比較研究資料です。これらのデータを分析した。",
-    "zh": "结果表明，水质随季节变化很大。几周后各组之间没有差异。今后需要确认该方法是否可以用于其他地区。本研究用几个月的时间研究了变化。文中对两者之间的关系进行了比较。基于统计模型的地区变化研究，对的影响及其比较分析，长期观测报告资料。这些数据说明在不同的情况下",
+    "en": "when my grandmother moved into the little house behind the bakery she brought only two suitcases and an old clock that had never been repaired. nobody could remember who gave it to her, but it was always standing on the shelf between the window and the door. she used to say that a room without a clock is like a street without people. every morning we walked to school together, and if there was enough time she would tell us what the town looked like before the railway came. i think they were happier than they knew, although their winters must have been long and cold. you should have seen how those neighbours helped each other whenever somebody fell ill. some of them still write letters, because this is how it has always been done, more or less, from one year to another, with or without us. how do our children, their friends and its many uses change over time and under what conditions, within or through which we are not able to see",
+    "de": "als meine großmutter in das kleine haus hinter der bäckerei zog, brachte sie nur zwei koffer und eine alte uhr mit, die niemand jemals repariert hatte. keiner wusste mehr, wer sie ihr geschenkt hatte, aber sie stand immer auf dem regal neben dem fenster. sie sagte oft, ein zimmer ohne uhr sei wie eine straße ohne menschen. jeden morgen gingen wir zusammen zur schule, und wenn wir noch genug zeit hatten, erzählte sie uns, wie die stadt aussah, bevor die eisenbahn kam. ich glaube, dass die leute damals glücklicher waren, obwohl ihre winter lang und kalt gewesen sein müssen. man hätte sehen sollen, wie sich die nachbarn gegenseitig halfen, wenn jemand krank wurde. einige von ihnen schreiben noch heute briefe, weil das schon immer so gemacht worden ist, mal mehr, mal weniger, von einem jahr zum anderen, mit uns oder ohne uns. können wir daher auch unter solchen bedingungen durch eine neue messung zeigen, ob sich etwas im vergleich verändert",
+    "fr": "quand ma grand-mère est venue habiter la petite maison derrière la boulangerie, elle n'avait que deux valises et une vieille horloge que personne n'avait jamais réparée. on ne savait plus qui la lui avait donnée, mais elle restait toujours sur l'étagère, entre la fenêtre et la porte. elle disait souvent qu'une chambre sans horloge est comme une rue sans passants. chaque matin nous allions ensemble à l'école et, s'il nous restait assez de temps, elle nous racontait comment était la ville avant l'arrivée du chemin de fer. je crois que les gens étaient plus heureux qu'ils ne le pensaient, même si leurs hivers devaient être longs et froids. il fallait voir comme ces voisins s'aidaient les uns les autres dès que quelqu'un tombait malade. certains d'entre eux écrivent encore des lettres, parce que cela s'est toujours fait ainsi, plus ou moins, d'une année à l'autre, avec ou sans nous. cette façon de faire est-elle utile aux enfants, et peut-on la comparer avec celle du pays voisin",
+    "es": "cuando mi abuela se mudó a la casita que está detrás de la panadería, solo trajo dos maletas y un reloj viejo que nadie había arreglado nunca. ya no sabíamos quién se lo había regalado, pero siempre estaba en el estante, entre la ventana y la puerta. ella decía que una habitación sin reloj es como una calle sin gente. todas las mañanas íbamos juntos a la escuela y, si nos quedaba tiempo, nos contaba cómo era el pueblo antes de que llegara el ferrocarril. creo que eran más felices de lo que pensaban, aunque sus inviernos debían de ser largos y fríos. había que ver cómo se ayudaban los vecinos cuando alguno caía enfermo. algunos de ellos todavía escriben cartas, porque así se ha hecho siempre, más o menos, de un año a otro, con nosotros o sin nosotros. es posible que esto también sirva para los niños, y se puede comparar con lo que hacen en el país vecino mediante una nueva medición",
+    "pt": "quando a minha avó se mudou para a casinha que fica atrás da padaria, trouxe apenas duas malas e um relógio velho que ninguém tinha consertado. já não sabíamos quem lho tinha oferecido, mas ele estava sempre na prateleira, entre a janela e a porta. ela dizia que um quarto sem relógio é como uma rua sem gente. todas as manhãs íamos juntos à escola e, se ainda houvesse tempo, ela contava-nos como era a vila antes de chegar o comboio. acho que as pessoas eram mais felizes do que pensavam, embora os seus invernos devessem ser longos e frios. era preciso ver como os vizinhos se ajudavam quando alguém ficava doente. alguns deles ainda escrevem cartas, porque sempre se fez assim, mais ou menos, de um ano para o outro, conosco ou sem nós. será que isso também serve para as crianças, e não se pode comparar com aquilo que fazem no país vizinho por meio de uma nova medição",
+    "it": "quando mia nonna venne ad abitare nella casetta dietro il forno, portò con sé soltanto due valigie e un vecchio orologio che nessuno aveva mai riparato. non si sapeva più chi glielo avesse regalato, ma stava sempre sullo scaffale, tra la finestra e la porta. diceva che una stanza senza orologio è come una strada senza gente. ogni mattina andavamo insieme a scuola e, se c'era ancora tempo, ci raccontava com'era il paese prima che arrivasse la ferrovia. credo che fossero più felici di quanto pensassero, anche se i loro inverni dovevano essere lunghi e freddi. bisognava vedere come i vicini si aiutavano quando qualcuno si ammalava. alcuni di loro scrivono ancora delle lettere, perché si è sempre fatto così, più o meno, da un anno all'altro, con noi o senza di noi. questo può servire anche ai bambini, e lo si può confrontare con quello che fanno gli altri nel paese vicino per mezzo di una nuova misura",
+    "nl": "toen mijn grootmoeder in het huisje achter de bakkerij ging wonen, bracht ze alleen twee koffers mee en een oude klok die nog nooit iemand had gemaakt. niemand wist meer van wie ze die gekregen had, maar hij stond altijd op de plank tussen het raam en de deur. ze zei vaak dat een kamer zonder klok net een straat zonder mensen is. elke ochtend liepen we samen naar school en als er nog genoeg tijd over was, vertelde ze ons hoe het dorp eruitzag voordat de spoorweg kwam. ik denk dat zij gelukkiger waren dan ze zelf wisten, hoewel hun winters lang en koud moeten zijn geweest. je had moeten zien hoe die buren elkaar hielpen zodra er iemand ziek werd. sommigen van hen schrijven nog steeds brieven, omdat het nu eenmaal altijd zo gedaan is, min of meer, van het ene jaar op het andere, met of zonder ons. kunnen wij dit ook gebruiken voor onze kinderen, en is het mogelijk om een nieuwe meting te vergelijken met wat men bij de buren doet",
+    "pl": "kiedy moja babcia wprowadziła się do małego domu za piekarnią, przywiozła tylko dwie walizki i stary zegar, którego nikt nigdy nie naprawił. nie pamiętaliśmy już, kto go jej podarował, ale zawsze stał na półce między oknem a drzwiami. mówiła, że pokój bez zegara jest jak ulica bez ludzi. każdego ranka chodziliśmy razem do szkoły, a jeśli starczyło czasu, opowiadała nam, jak wyglądało miasteczko, zanim zbudowano kolej. myślę, że byli szczęśliwsi, niż im się wydawało, chociaż ich zimy musiały być długie i mroźne. trzeba było widzieć, jak sąsiedzi pomagali sobie nawzajem, gdy ktoś zachorował. niektórzy z nich wciąż piszą listy, ponieważ tak się zawsze robiło, mniej lub bardziej, z roku na rok, z nami albo bez nas. czy można to również wykorzystać dla dzieci i porównać z tym, co robią w sąsiednim kraju przy pomocy nowych pomiarów, oraz od czego zależy ich wpływ na te zmiany",
+    "ru": "когда моя бабушка переехала в маленький дом за пекарней, она привезла с собой только два чемодана и старые часы, которые никто никогда не чинил. уже никто не помнил, кто их подарил, но они всегда стояли на полке между окном и дверью.",
+    "ko": "할머니가 빵집 뒤의 작은 집으로 이사하실 때 가방 두 개와 낡은 시계 하나만 가져오셨다. 누가 그 시계를 주었는지는 아무도 기억하지 못했지만 언제나 창문 옆 선반 위에 놓여 있었다.",
+    "ja": "祖母がパン屋の裏にある小さな家へ引っ越したとき、持ってきたのは二つの鞄と、だれも直したことのない古い時計だけだった。それをだれにもらったのかはもう覚えていなかったが、時計はいつも窓と戸の間の棚に置かれていた。時計のない部屋は人のいない通りのようなものだとよく言っていた。毎朝いっしょに学校まで歩き、時間があれば鉄道が来る前の町の様子を話してくれた。",
+    "zh": "祖母搬到面包店后面的小房子时，只带来了两个箱子和一个从来没有人修过的旧钟。谁也不记得是谁送给她的，但是它总是放在窗户和门之间的架子上。她常说，没有钟的房间就像没有人的街道。每天早上我们一起走路去上学，如果还有时间，她就给我们讲铁路修到这里以前镇上是什么样子。我觉得他们比自己知道的要快乐，虽然那时的冬天一定又长又冷。",
 }
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -69,6 +70,7 @@ TEXT_END = "\x01"
 SPLIT = {True: re.compile(TITLE_PART), False: re.compile(SENTENCE)}
 TOKEN = {True: re.compile(rf"[^\W\d_]+|\x01|{TITLE_PART}"), False: re.compile(rf"[^\W\d_]+|\x01|{SENTENCE}")}
 MARKS = "=/|[]()\n\r  .!?…。！？"
+MARKING = frozenset([TEXT_END, *MARKS])
 INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 ODD_FORMS = re.compile("[\\xad\\u200b-\\u200d\\u2060\\ufeff\\u0300-\\u036f\\uff01-\\uff5e\\ufb00-\\ufb06]")
 
@@ -129,74 +131,114 @@ class SuffixAutomaton:
         return out
 
 
-def _script(word: str) -> str:
-    c = word[0]
-    if c <= "ʯ" or "Ḁ" <= c <= "ỿ":
-        return "latin"
-    if "Ѐ" <= c <= "ԯ":
-        return "cyrillic"
-    if "가" <= c <= "힣" or "ᄀ" <= c <= "ᇿ":
-        return "hangul"
-    if "぀" <= c <= "ヿ" or "㐀" <= c <= "鿿" or c == "々":
-        return "han"
-    return "other"
+LATIN, HAN = range(8), range(10, 12)
+#: Code of a character that no automaton of the script holds.
+UNKNOWN = 0
 
 
-OF_SCRIPT = {"latin": range(8), "cyrillic": [8], "hangul": [9], "han": [10, 11], "other": []}
+class Tables:
+    """Automata of several languages as one array of transitions, and the parse of many segments side by side.
+
+    A state is the place of its row in the array, so a step is one lookup; -1 ends a phrase. A character that a language
+    doesn't hold is a phrase and starts none.
+    """
+
+    def __init__(self, automata: list[SuffixAutomaton]) -> None:
+        letters = sorted({c for a in automata for t in a.next for c in t})
+        self.code = np.full(1 << 16, UNKNOWN, np.int16)
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        size = len(letters) + 1
+        rows = sum(len(a.next) for a in automata)
+        self.to = np.full(rows * size, -1, np.int32)
+        self.root = np.zeros(len(automata), np.int32)
+        at = 0
+        place = {c: i + 1 for i, c in enumerate(letters)}
+        for k, a in enumerate(automata):
+            self.root[k] = at * size
+            for state, steps in enumerate(a.next):
+                for c, to in steps.items():
+                    self.to[(at + state) * size + place[c]] = (at + to) * size
+            at += len(a.next)
+        first = self.to[self.root[:, None] + np.arange(size)]
+        self.first = np.where(first < 0, self.root[:, None], first)
+
+    def phrases(self, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Phrases of each span in each language: (span, language)."""
+        order = np.argsort(begin - end, kind="stable")  # the longest first
+        begin, size = begin[order], (end - begin)[order]
+        counts = np.zeros((len(self.root), len(begin)), np.int32)
+        state = np.repeat(self.root[:, None], len(begin), axis=1)
+        alive = len(begin) - np.searchsorted(size[::-1], np.arange(1, (size[0] if len(size) else 0) + 1), "left")
+        for t, k in enumerate(alive.tolist()):
+            c = codes[begin[:k] + t]
+            to = self.to.take(state[:, :k] + c, mode="clip")
+            dead = to < 0
+            counts[:, :k] += dead
+            np.copyto(to, self.first[:, c], where=dead)
+            state[:, :k] = to
+        out = np.empty((len(begin), len(self.root)), np.int32)
+        out[order] = counts.T + 1
+        return out
+
+
+def _letters_of(text: str) -> np.ndarray:
+    """Code points of a text, those above the basic plane as 0."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(points < 1 << 16, points, 0)
 
 
 class Model:
-    """Automata of all languages and the costs of the words met so far, in phrases normalised to an equal text size."""
-
-    def __init__(self, words: dict[str, list[str]]) -> None:
-        self.automata = [SuffixAutomaton("_" + "_".join(words[k]) + "_") for k in LANGS]
-        self.scale = [a.bits / 15.0 for a in self.automata]
-        self._forget()
-
-    def _forget(self) -> None:
-        # the first two entries are the end of a text and of a segment
-        self.known: dict[str, int] = {TEXT_END: 0} | dict.fromkeys(MARKS, 1)
-        self.size = 2
-        self.costs = np.zeros((1 << 12, len(LANGS)), np.float32)
-        self.letters = np.zeros(1 << 12, np.int32)
-
-    def _learn(self, word: str) -> int:
-        n = self.size
-        if n == len(self.costs):
-            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        script = _script(word)
-        row = np.full(len(LANGS), 1.0 + 2 * len(word), np.float32)
-        for k in OF_SCRIPT[script]:
-            row[k] = self.automata[k].phrases(f"_{word}_" if script != "han" else word) * self.scale[k]
-        self.costs[n] = row if script != "other" else 0
-        self.letters[n] = len(word) * (3 if script in ("han", "hangul") else 1)
-        self.known[word] = n
-        self.size += 1
-        return n
+    """Automata of all languages over running text, and costs of segments in phrases normalised to a full text."""
+
+    def __init__(self, texts: dict[str, str]) -> None:
+        held = {k: f" {texts[k]} " for k in (*range(8), *range(10, 12)) for k in [LANGS[k]]}
+        automata = {k: SuffixAutomaton(t) for k, t in held.items()}
+        full = math.log2(TEXT_CHARS)
+        self.scale = np.array([automata[k].bits / full if k in automata else 1.0 for k in LANGS])
+        self.latin = Tables([automata[LANGS[k]] for k in LATIN])
+        self.han = [automata[LANGS[k]] for k in HAN]
+        script = np.zeros(1 << 16, np.int8)  # 1 Latin, 2 Cyrillic, 3 Hangul, 4 Han and kana
+        for low, high, number in ((0x41, 0x2B0, 1), (0x1E00, 0x1F00, 1), (0x400, 0x530, 2), (0xAC00, 0xD7A4, 3), (0x1100, 0x1200, 3), (0x3040, 0x3100, 4), (0x3400, 0xA000, 4), (0x3005, 0x3006, 4)):
+            script[low:high] = number
+        self.script = script
 
     def parse(self, texts: list[str], titles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All segments of all texts in one sweep: (text number, cost of each language, letters, words).
+        """All segments of all texts: (text number, cost of each language, letters, words).
 
         A syllable or ideograph counts as three letters. Segments without a word are left out.
         """
-        if self.size > CACHE_WORDS:
-            self._forget()
         tokens = TOKEN[titles].findall(TEXT_END.join([*texts, ""]).lower())
-        index = list(map(self.known.get, tokens))
-        if None in index:
-            index = [self._learn(t) if i is None and t not in self.known else self.known[t] for t, i in zip(tokens, index)]
-        at = np.array(index, np.int64)
-        mark = at < 2
+        if not tokens:
+            return np.zeros(0, np.int64), np.zeros((0, len(LANGS))), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        joined = f" {' '.join(tokens)} "
+        points = _letters_of(joined)
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        start = np.cumsum(size + 1) - size  # of each token in the joined text
+        mark = np.fromiter(map(MARKING.__contains__, tokens), bool, len(tokens))
+        last = np.fromiter(map(TEXT_END.__eq__, tokens), bool, len(tokens))
         ends = np.flatnonzero(mark)
-        upto = np.zeros((len(at) + 1, len(LANGS)), np.float64)
-        np.cumsum(self.costs[at], axis=0, out=upto[1:])
-        letters, words = np.r_[0, np.cumsum(self.letters[at])], np.r_[0, np.cumsum(~mark)]
-        begin = np.r_[0, ends[:-1] + 1]
-        number = np.r_[0, np.cumsum(at[ends] == 0)[:-1]]
-        some = ends > begin
-        begin, ends, number = begin[some], ends[some], number[some]
-        return number, upto[ends] - upto[begin], letters[ends] - letters[begin], words[ends] - words[begin]
+        begins = np.r_[0, ends[:-1] + 1]
+        number = np.r_[0, np.cumsum(last[ends])[:-1]]
+        some = ends > begins
+        begins, ends, number = begins[some], ends[some], number[some]
+        # a segment with the spaces about it
+        low, high = start[begins] - 1, start[ends]
+        of = self.script[points]
+        letters = np.zeros((5, len(low)), np.int64)
+        for k in range(1, 5):
+            upto = np.r_[0, np.cumsum(of == k)]
+            letters[k] = upto[high] - upto[low]
+        main = letters.argmax(axis=0)
+        far = 2.0 * letters.sum(axis=0)[:, None] + 1
+        cost = np.repeat(far, len(LANGS), axis=1)
+        latin = np.flatnonzero(main == 1)
+        cost[latin, :8] = self.latin.phrases(self.latin.code[points], low[latin], high[latin])
+        cost[main == 2, LANGS.index("ru")] = 1
+        cost[main == 3, LANGS.index("ko")] = 1
+        for i in np.flatnonzero(main == 4).tolist():
+            piece = joined[low[i] : high[i]].replace(" ", "")
+            cost[i, 10:] = [a.phrases(piece) for a in self.han]
+        return number, cost * self.scale, letters[1] + letters[2] + 3 * (letters[3] + letters[4]), ends - begins
 
     @staticmethod
     def decide(cost: np.ndarray, letters: np.ndarray, words: np.ndarray, margin: float = MIN_MARGIN) -> tuple[np.ndarray, np.ndarray]:
@@ -213,13 +255,13 @@ class Model:
     def label(self, texts: list[str], titles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """(text number, language, confidence, letters) of each segment with a word, and the texts as they were parsed.
 
-        A text with a segment that no language explains well (``STRANGE`` phrases a word) may be garbled: it is
+        A text with a segment that no language explains well (``STRANGE`` phrases a letter) may be garbled: it is
         repaired if so, and parsed again.
         """
         raw, texts = texts, [_plain(t) for t in texts]
         number, cost, letters, words = self.parse(texts, titles)
         best, confidence = self.decide(cost, letters, words)
-        odd = np.unique(number[(cost.min(axis=1, initial=np.inf) > STRANGE * words) | (best < 0)]) if len(cost) else []
+        odd = np.unique(number[(cost.min(axis=1, initial=np.inf) > STRANGE * letters) | (best < 0)]) if len(cost) else []
         fixed = {int(k): _plain(back) for k in odd for back in [garble().restore(raw[k])[0]] if back != raw[k]}
         if fixed:
             keep = ~np.isin(number, list(fixed))
@@ -271,55 +313,57 @@ def pieces(text: str, titles: bool) -> list[str]:
     return [p.strip() for p in SPLIT[titles].split(text) if WORD.search(p.lower())]
 
 
-def start_words() -> dict[str, list[str]]:
-    return {k: sorted(set(WORD.findall(START[k].lower()))) for k in LANGS}
+def start_texts() -> dict[str, str]:
+    return {k: " ".join(WORD.findall(START[k])) for k in LANGS}
 
 
-def learn_words(rows: list[tuple[str | None, str | None, str]]) -> dict[str, list[str]]:
-    """Word lists from (label, text, field) rows: words of segments whose label agrees with what is known so far; twice over."""
-    words = start_words()
-    texts: dict[bool, list[tuple[int, str]]] = {True: [], False: []}
+def learn_texts(rows: list[tuple[str | None, str | None, str]]) -> dict[str, str]:
+    """Running text of each language from (label, text, field) rows: the segments whose label agrees with what is known
+    so far, in the order of the rows, before the start; twice over."""
+    texts = start_texts()
+    sample: dict[bool, list[tuple[int, str]]] = {True: [], False: []}
     for label, text, field in rows:
         lang = canonical_label(label)
         if lang and text and not garble().is_garbled(text):
-            texts[_is_title(field)].append((LANGS.index(lang), _plain(text)))
+            sample[_is_title(field)].append((LANGS.index(lang), _plain(text)))
     for _ in range(2):
-        model = Model(words)
-        count: dict[str, Counter] = defaultdict(Counter)
-        for titles, labelled in texts.items():
+        model = Model(texts)
+        parts: dict[str, list[str]] = {k: [] for k in LANGS}
+        for titles, labelled in sample.items():
             number, cost, letters, n_words = model.parse([t for _, t in labelled], titles)
             best, confidence = model.decide(cost, letters, n_words)
             segments = [p for _, t in labelled for p in pieces(t, titles)]
             for k, b, c, p in zip(number, best, confidence, segments):
                 if b == labelled[k][0] and c > 0.9:
-                    count[LANGS[b]].update(WORD.findall(p.lower()))
-        seen_in = Counter(w for k in count for w in count[k])
-        # a word of half of all languages is a name
-        words = {k: list(dict.fromkeys([w for w, n in count[k].most_common(WORDS) if n > 1 and seen_in[w] < 5] + start_words()[k])) for k in LANGS}
-    return words
-
-
-def fit(df: DataFrame, label_col: str, fields: list[str], rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:
-    """Word lists learned from a bounded sample of labelled rows: at most ``rows`` rows, taken by a hash of their content."""
-    total = max(1, df.count())
-    share = min(1.0, rows / total)
-    place = F.pmod(F.xxhash64(F.lit("fit"), label_col, *fields), F.lit(1 << 20))
+                    parts[LANGS[b]].append(" ".join(WORD.findall(p.lower())))
+        start = start_texts()
+        for k in LANGS:
+            running = " ".join([*parts[k], start[k]])
+            texts[k] = running if len(running) <= TEXT_CHARS else running[:TEXT_CHARS].rpartition(" ")[0]
+    return texts
+
+
+def fit(df: DataFrame, label_col: str, fields: list[str], rows: int = SAMPLE_ROWS) -> dict[str, str]:
+    """Texts learned from a bounded sample of labelled rows: the ``rows`` rows of the lowest hash of their content, so the
+    same rows whatever their order; only as much of their text as a language's ``TEXT_CHARS`` goes to the driver."""
+    place = F.xxhash64(F.lit("fit"), label_col, *fields)
     known = F.lower(F.regexp_extract(F.trim(F.col(label_col)), r"^[^-_]+", 0)).isin(list(CANONICAL))
-    sample = df.select(label_col, *fields).where(known & (place <= int(share * (1 << 20)))).limit(rows).collect()
-    return learn_words([(r[label_col], r[f], f) for r in sample for f in fields])
+    some = [F.substring(f, 1, TEXT_CHARS).alias(f) for f in fields]
+    sample = df.where(known).select(label_col, *some, place.alias("__place")).orderBy("__place", label_col, *fields).limit(rows).collect()
+    return learn_texts([(r[label_col], r[f], f) for r in sample for f in fields])
 
 
 _models: dict[str, Model] = {}
 
 
-def _model(key: str, words: dict[str, list[str]]) -> Model:
+def _model(key: str, words: dict[str, str]) -> Model:
     if key not in _models:
         _models.clear()
         _models[key] = Model(words)
     return _models[key]
 
 
-def label_segments(df: DataFrame, id_col: str, fields: list[str], words: dict[str, list[str]], *extra: str) -> DataFrame:
+def label_segments(df: DataFrame, id_col: str, fields: list[str], words: dict[str, str], *extra: str) -> DataFrame:
     """``work_id, <extra>, field_name, segments``: the segments of each text with language and confidence; no shuffle.
 
     ``segments`` is an array of (seg_no, lang, confidence, letters, segment); lang is null where it can't be told.
@@ -358,7 +402,7 @@ def _by_kind(batch: pa.RecordBatch, field_at: int) -> Iterator[tuple[pa.RecordBa
             yield batch.take(pa.array(at[k : k + PART_ROWS])), kind
 
 
-def mislabelled(df: DataFrame, id_col: str, fields: list[str], label_col: str, words: dict[str, list[str]], min_chars: int = 25) -> DataFrame:
+def mislabelled(df: DataFrame, id_col: str, fields: list[str], label_col: str, words: dict[str, str], min_chars: int = 25) -> DataFrame:
     """``work_id, field_name, langs`` of the fields whose languages aren't exactly the one that the label names.
 
     The comparison is made in the worker, so only the cases come back to the JVM.

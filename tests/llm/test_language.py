@@ -1,8 +1,12 @@
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sieveline.llm.language import LANGS, Model, SuffixAutomaton, canonical_label, fit, label_segments, mislabelled, start_words
+import numpy as np
+
+from sieveline.llm.language import LANGS, START, Model, SuffixAutomaton, Tables, canonical_label, fit, label_segments, mislabelled, start_texts
 
 
 @settings(max_examples=80, deadline=None)
@@ -19,6 +23,46 @@ def test_phrases_against_brute_force(text, query):
     assert a.phrases(query) == n
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", min_size=1, max_size=25), min_size=2, max_size=3), st.lists(st.text("abc", min_size=1, max_size=20), max_size=8))
+def test_tables_parse_as_the_automata_do(texts, queries):
+    automata = [SuffixAutomaton(t) for t in texts]
+    tables = Tables(automata)
+    joined = "".join(queries)
+    end = np.cumsum([len(q) for q in queries]).astype(np.int64)
+    begin = end - np.array([len(q) for q in queries], np.int64)
+    codes = tables.code[np.array([ord(c) for c in joined], np.int64)]
+    got = tables.phrases(codes, begin, end)
+    for q, row in zip(queries, got):
+        for t, k in zip(texts, row):
+            n, i = 1, 0
+            held = ""
+            for c in q:
+                if held + c in t:
+                    held += c
+                else:
+                    n, held = n + 1, c if c in t else ""
+            assert k == n
+
+
+def test_the_start_shares_no_run_with_the_data():
+    """Four words in a row, or eight letters where words aren't parted, of the start are in no title or abstract."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    path = "/root/testdata/sf0.01/bib_store.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    t = pq.read_table(path, columns=["title_display", "abstract_display"])
+    corpus = " ".join(v.lower() for c in t.columns for v in c.to_pylist() if v)
+    words = " ".join(re.findall(r"[^\W\d_]+", corpus))
+    for lang, start in START.items():
+        w = re.findall(r"[^\W\d_]+", start)
+        runs = ["".join(w)[i : i + 8] for i in range(len("".join(w)) - 7)] if lang in ("ja", "zh") else [f" {' '.join(w[i : i + 4])} " for i in range(len(w) - 3)]
+        assert [r for r in runs if r in (corpus if lang in ("ja", "zh") else words)] == []
+
+
 @pytest.mark.parametrize("label,lang", [("en", "en"), ("EN", "en"), ("en_GB", "en"), ("pt-BR", "pt"), ("deu", "de"), ("ger", "de"), ("English", "en"), ("chi", "zh"), ("zh-CN", "zh"), ("la", None), ("mul", None), ("", None), (None, None), ("xx", None), ("en, fr", None), ("und", None)])
 def test_labels(label, lang):
     assert canonical_label(label) == lang
@@ -28,7 +72,7 @@ HELD_OUT = {"en": "The harbour was closed because of the storm and the ships had
 
 
 def test_held_out_sentences_with_the_start_alone():
-    model = Model(start_words())
+    model = Model(start_texts())
     number, best, confidence, _, _ = model.label(list(HELD_OUT.values()), False)
     first = {}
     for n, b, c in zip(number, best, confidence):
