@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ from .lookalike import forms
 LANGS = ["en", "de", "fr", "es", "pt", "it", "nl", "pl", "ru", "ko", "ja", "zh"]
 SAMPLE_ROWS, TEXT_CHARS = 5_000, 16_000
 MIN_LETTERS, MIN_MARGIN, WHOLE_MARGIN, STRANGE = 8, 1.5, 0.4, 0.55
+#: Phrases by which the start must prefer another language to contradict a label.
+DOUBT = 4.0
 MIXED = re.compile("[Ͱ-ԯ](?:(?=[A-Za-z])|(?<=[A-Za-z].))")
 PART_ROWS = 2_000
 
@@ -318,29 +320,56 @@ def start_texts() -> dict[str, str]:
 
 
 def learn_texts(rows: list[tuple[str | None, str | None, str]]) -> dict[str, str]:
-    """Running text of each language from (label, text, field) rows: the segments whose label agrees with what is known
-    so far, in the order of the rows, before the start; twice over."""
-    texts = start_texts()
-    sample: dict[bool, list[tuple[int, str]]] = {True: [], False: []}
-    for label, text, field in rows:
+    """Running text of each language from (label, text, field) rows: the segments whose label can be trusted, in the order
+    of the rows and each once, before the start.
+
+    At first a label is trusted unless the start clearly contradicts it (by more than ``DOUBT`` phrases). Then either half
+    of the rows is judged by what the other half has taught, so that no wrong label speaks for itself; twice over.
+    """
+    sample: dict[bool, list[tuple[int, str, int]]] = {True: [], False: []}
+    for row, (label, text, field) in enumerate(rows):
         lang = canonical_label(label)
         if lang and text and not garble().is_garbled(text):
-            sample[_is_title(field)].append((LANGS.index(lang), _plain(text)))
+            sample[_is_title(field)].append((LANGS.index(lang), _plain(text), row))
+    segments = {t: [(k, p) for k, (_, text, _) in enumerate(labelled) for p in pieces(text, t)] for t, labelled in sample.items()}
+    # the half and the labelled language of each segment
+    parsed = {t: (np.array([labelled[k][2] // 2 % 2 for k, _ in segments[t]], np.int64), np.array([labelled[k][0] for k, _ in segments[t]], np.int64)) for t, labelled in sample.items()}
+
+    def told(judge: Callable[[Model, bool], np.ndarray], models: list[Model]) -> list[dict[str, str]]:
+        """Texts of the halves and of both: the segments that the models of the halves trust."""
+        parts: list[dict[str, dict[str, int]]] = [{k: {} for k in LANGS} for _ in range(3)]
+        for t, labelled in sample.items():
+            half, lang = parsed[t]
+            trusted = np.zeros(len(half), bool)
+            for h in range(2):
+                trusted |= (half == h) & judge(models[h], t)
+            for i in np.flatnonzero(trusted).tolist():
+                k, piece = segments[t][i]
+                words = " ".join(WORD.findall(piece.lower()))
+                for where in (parts[half[i]], parts[2]):
+                    where[LANGS[lang[i]]].setdefault(words, labelled[k][2])
+        start, out = start_texts(), []
+        for part in parts:
+            running = {k: " ".join([*sorted(part[k], key=part[k].get), start[k]]) for k in LANGS}
+            out.append({k: r if len(r) <= TEXT_CHARS else r[:TEXT_CHARS].rpartition(" ")[0] for k, r in running.items()})
+        return out
+
+    def cost_of(model: Model, t: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        _, cost, letters, words = model.parse([text for _, text, _ in sample[t]], t)
+        return cost, letters, words
+
+    def at_first(model: Model, t: bool) -> np.ndarray:
+        cost, _, words = cost_of(model, t)
+        return (words > 0) & (cost[np.arange(len(cost)), parsed[t][1]] <= cost.min(axis=1, initial=np.inf) + DOUBT)
+
+    def later(model: Model, t: bool) -> np.ndarray:
+        best, confidence = model.decide(*cost_of(model, t))
+        return (best == parsed[t][1]) & (confidence > 0.9)
+
+    texts = told(at_first, [Model(start_texts())] * 2)
     for _ in range(2):
-        model = Model(texts)
-        parts: dict[str, list[str]] = {k: [] for k in LANGS}
-        for titles, labelled in sample.items():
-            number, cost, letters, n_words = model.parse([t for _, t in labelled], titles)
-            best, confidence = model.decide(cost, letters, n_words)
-            segments = [p for _, t in labelled for p in pieces(t, titles)]
-            for k, b, c, p in zip(number, best, confidence, segments):
-                if b == labelled[k][0] and c > 0.9:
-                    parts[LANGS[b]].append(" ".join(WORD.findall(p.lower())))
-        start = start_texts()
-        for k in LANGS:
-            running = " ".join([*parts[k], start[k]])
-            texts[k] = running if len(running) <= TEXT_CHARS else running[:TEXT_CHARS].rpartition(" ")[0]
-    return texts
+        texts = told(later, [Model(texts[1]), Model(texts[0])])
+    return texts[2]
 
 
 def fit(df: DataFrame, label_col: str, fields: list[str], rows: int = SAMPLE_ROWS) -> dict[str, str]:
