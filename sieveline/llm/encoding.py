@@ -1,15 +1,21 @@
 """Text decoded with the wrong character encoding (problem 1).
 
-Method: the garbled sequences of all pairs (true encoding, wrong decoder) are precomputed: for multi-byte encodings the
-decoded bytes of each character of a repertoire, for single-byte pairs the images of accented letters. A multi-pattern
-automaton finds the first kind; the second kind consists of single characters that are right elsewhere, so an image
-counts only in a place where its own meaning is impossible (a closing quote between two lower-case letters). Only
-matched spans are replaced, and text around them stays as it is. Longer runs of a legacy multi-byte text are decoded
-as a whole. Replacement is repeated for text that was garbled more than once.
-
-Defined results: null, empty and clean texts are not garbled and are returned unchanged. A replacement character or a
-question mark inside a word is garbled but beyond repair: what can be restored is restored, and ``complete`` is false.
-The whole text is examined, however long. Rows delivered twice give one result per distinct (id, field).
+Method: the garbled sequences of all pairs (true encoding, wrong decoder) are precomputed and put into one multi-pattern
+automaton: the decoded bytes of each character of a repertoire for multi-byte encodings, the images of accented letters
+for single-byte pairs, of Cyrillic letters in pairs, of the heads of three-byte characters read by East Asian decoders, and
+what a decoder leaves of bytes it doesn't know. A text without any of them is clean. A sequence that is impossible in
+itself is proof; one that is right elsewhere (a single sign, two letters) only names a place, and counts only where its own
+meaning is impossible (a closing quote between two lower-case letters, three accented letters in a row).
+
+Only matched spans are replaced, and text around them stays as it is: single sequences and signs by themselves, runs of a
+legacy multi-byte text as a whole, Cyrillic words only if they or the words beside them show the evidence and are likelier
+read otherwise. Replacement is repeated for text that was garbled more than once.
+
+Two classes come out. Text whose bytes are all there is restored. Text *beyond repair* (a replacement character, a
+question mark inside a word) is found, but what can be restored is restored, and ``complete`` is false.
+
+Defined results: null, empty and clean texts are not garbled and are returned unchanged. The whole text is examined,
+however long. Rows delivered twice give one result per distinct (id, field).
 """
 
 from __future__ import annotations
@@ -39,6 +45,8 @@ SIGNS = "".join(chr(i) for i in [*range(0xA0, 0xC0), 0xD7, 0xF7, *range(0x2010,
 GREEK = "".join(chr(i) for i in range(0x391, 0x3CA) if chr(i).isalpha())
 CYRILLIC = "".join(chr(i) for i in [0x401, *range(0x410, 0x450), 0x451])
 RUSSIAN = set(CYRILLIC)
+CAPITALS = set("АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ")
+EAST_ASIAN_STOP = re.compile("[。！？；，、]")
 
 
 def _decode(raw: bytes, codec: str) -> str:
@@ -96,10 +104,6 @@ class Garble:
                 continue
             if any("｡" <= c <= "ﾟ" for c in bad):
                 self.sequences.setdefault(bad, {}).setdefault("shift_jis", ch)
-        self.automaton = ahocorasick.Automaton()
-        for bad in self.sequences:
-            self.automaton.add_word(bad, bad)
-        self.automaton.make_automaton()
 
         # single-byte pairs: the image of each accented letter
         self.images: dict[tuple[str, str], dict[str, str]] = {}
@@ -148,10 +152,7 @@ class Garble:
         w = cls(wide)
         self.wide_in_latin = re.compile(f"{w}(?:(?<=[A-Za-z0-9].)|(?=[a-z])|(?<=[0-9] .)(?=[ A-Z])|(?<=[a-z] .)(?= [a-z0-9])|(?<= .)(?=[0-9]))")
         self.certain = re.compile("[\x80-\x9f�]")
-        self.lost = re.compile(r"\?(?:(?<=[A-Za-zÀ-ÿ]\?)(?=[a-zß-ÿ])(?!\w+=)|(?<=\(\?)(?=\d)|(?:(?<=\s\?)|(?<=^\?))(?=[a-z]{3})|(?<=\d\?)(?=\d+ \?C))")
-        self.first_chars = {b[0] for b in self.sequences}
-        self.capitals = set("АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ")
-        self.lost_chars = {chr(i) for i in range(0x80, 0xA0)} | {"�"}
+        self.lost = re.compile(r"\?(?:(?<=[A-Za-zÀ-ÿ]\?)(?=[a-zß-ÿ])(?!\w+=)|(?<=\(\?)(?=\d)|(?:(?<=\s\?)|(?<=^\?))(?=[a-z]{3})|(?<=\d\?)(?=\d))")
         self.case_flip = re.compile("(?<![А-Яа-яЁё])[а-яё][А-ЯЁ]{2,}|[А-ЯЁ]{2}[а-яё][А-ЯЁ]|[а-яё][А-ЯЁ]{2,}[а-яё]")
         high = re.escape("".join(sorted({_byte(b, codec) for codec in ("cp1252", "latin_1", "cp1250", "cp437", "cp850", "mac_roman") for b in range(128, 256)})))
         self.run = re.compile(f"[{high}]{{3,}}")
@@ -161,13 +162,41 @@ class Garble:
         self.accents = re.compile("[À-ÖØ-öø-ÿ]{3}")
         self.entity = re.compile("(?:&(?:[A-Za-z]+[0-9]*|#[0-9]+);){2,}")
         self.wide_run = re.compile("[^\\x00-\\x7f]{6,}")
+        self.cyrillic_word = re.compile("[Ѐ-џ]+")
+        self._build()
+
+    def _build(self) -> None:
+        """The automaton; a value is the kind of a sequence and the sequence. Longer kinds take the place of shorter ones."""
+        words: dict[str, str] = {c: "lost" for c in [*map(chr, range(0x80, 0xA0)), "�"]}
+        words |= dict.fromkeys(self.image_chars, "image") | dict.fromkeys(self.wide, "wide")
+        # Cyrillic read with another Cyrillic decoder: a capital and a small letter change case
+        words |= dict.fromkeys((a.lower() + b for a in CAPITALS for b in CAPITALS), "flip")
+        # two bytes of a legacy encoding, read with a single-byte decoder
+        for codec in ("cp1252", "latin_1", "cp1250", "cp437", "cp850", "mac_roman"):
+            high = [_byte(b, codec) for b in range(128, 256)]
+            words |= dict.fromkeys((a + b for a in high for b in high), "legacy")
+        # three-byte characters and kana read with an East Asian decoder: what their first two bytes become
+        for codec in WIDE_FOR_UTF8:
+            heads = [bytes([a, b]) for a in range(0xE2, 0xF0) for b in range(0x80, 0xC0)] + [c.encode("shift_jis") for c in map(chr, range(0x3041, 0x3094))]
+            for raw in heads:
+                try:
+                    words.setdefault(raw.decode(codec), "head")
+                except UnicodeDecodeError:
+                    continue
+        words |= dict.fromkeys(self.sequences, "sequence")
+        self.automaton = ahocorasick.Automaton()
+        for word, kind in words.items():
+            self.automaton.add_word(word, (kind, word))
+        self.automaton.make_automaton()
 
     # -- detection ------------------------------------------------------------------------------------------------
 
     def hits(self, s: str) -> list[tuple[int, str]]:
         """Leftmost longest garbled sequences: (start, sequence)."""
         out: list[tuple[int, str]] = []
-        for end, bad in self.automaton.iter(s):
+        for end, (kind, bad) in self.automaton.iter(s):
+            if kind != "sequence":
+                continue
             start = end - len(bad) + 1
             while out and out[-1][0] >= start and len(out[-1][1]) < len(bad):
                 out.pop()
@@ -186,9 +215,11 @@ class Garble:
         return False
 
     def _round_trip(self, s: str) -> bool:
-        """Whether the longest run of East Asian characters has bytes that are nearly all right UTF-8 in themselves."""
-        run = max(self.wide_run.findall(s), key=len, default="")
-        if not any("⺀" <= c <= "힣" for c in run[:8]):
+        """Whether some run of East Asian characters has bytes that are nearly all right UTF-8 in themselves."""
+        return any(self._as_utf8(part) for run in self.wide_run.findall(s) for part in EAST_ASIAN_STOP.split(run))
+
+    def _as_utf8(self, run: str) -> bool:
+        if len(run) < 6 or not any("⺀" <= c <= "힣" for c in run):
             return False
         for codec in WIDE_FOR_UTF8[:3]:
             raw = run.encode(codec, "ignore")
@@ -215,24 +246,40 @@ class Garble:
                 return t
         return run
 
-    def is_garbled(self, s: str | None) -> bool:
+    def evidence(self, s: str | None) -> str | None:
+        """The kind of sequence that shows a text to be garbled, None of a clean one.
+
+        The automaton names the kinds met and their places; a kind that may be right elsewhere is checked where it stands.
+        """
         if not s:
-            return False
+            return None
         if not s.isascii():
-            chars = set(s)
-            if chars & self.lost_chars:
-                return True
-            if chars & self.first_chars and (found := self.hits(s)):
+            met: dict[str, list[int]] = {}
+            for end, (kind, word) in self.automaton.iter(s):
+                if kind == "lost":
+                    return "lost"
+                met.setdefault(kind, []).append(end - len(word) + 1)
+            if "sequence" in met:
+                found = self.hits(s)
                 soft = [b for _, b in found if any(c in RUSSIAN for c in b) or all(o in CYRILLIC + GREEK for o in self.sequences[b].values())]
                 if len(found) > len(soft) or len(soft) > 1:
-                    return True
-            if chars & self.image_chars and self.image_in_place.search(s) or self._legacy_run(s) or chars & self.capitals and self.case_flip.search(s):
-                return True
-            if chars & self.wide.keys() and self.wide_in_latin.search(s) or self._round_trip(s):
-                return True
+                    return "sequence"
+            if any(self.image_in_place.match(s, i) for i in met.get("image", ())):
+                return "image"
+            if "legacy" in met and self._legacy_run(s):
+                return "legacy"
+            if "flip" in met and self.case_flip.search(s):
+                return "flip"
+            if any(self.wide_in_latin.match(s, i) for i in met.get("wide", ())):
+                return "wide"
+            if "head" in met and self._round_trip(s):
+                return "head"
         if "&" in s and (m := self.entity.search(s)) and not (t := html.unescape(m.group())).isascii() and (self.hits(t) or self.certain.search(t) or self._legacy_run(t)):
-            return True
-        return "?" in s and "://" not in s and self.lost.search(s) is not None
+            return "entity"
+        return "lost" if "?" in s and "://" not in s and self.lost.search(s) is not None else None
+
+    def is_garbled(self, s: str | None) -> bool:
+        return self.evidence(s) is not None
 
     # -- restoration ----------------------------------------------------------------------------------------------
 
@@ -327,24 +374,39 @@ class Garble:
 
         s = self.wide_run.sub(lambda m: self._wide_for_wide(m.group()), s)
         s = re.sub("[⺀-鿿가-힣]{2,}", run, s) if self._round_trip(s) or self.wide_in_latin.search(s) else s
-        for head, tail in (("鈥檚", "’s"), ("鈥�", "”"), ("鈥渉", "“h")):
-            s = s.replace(head, tail) if self.wide_in_latin.search(s) else s
         return self.wide_in_latin.sub(back, s)
 
     def _cyrillic(self, s: str) -> str:
+        """Cyrillic words read with another Cyrillic decoder: those with a case that no word has, and the words beside them
+        (with nothing but ASCII between) that are likelier, too, once read otherwise."""
         if not self.case_flip.search(s):
             return s
 
-        def odd(t: str) -> float:  # the commonest letters of Russian decide between readings that are both free of flips
-            return self._cost(t) - 0.05 * sum(c in "оеаинтсрвл" for c in t)
+        def odd(word: str) -> float:  # the commonest letters of Russian, against capitals within a word
+            return 2.0 * sum(b in CAPITALS for b in word[1:]) - sum(c in "оеаинтсрвл" for c in word)
 
-        best, cost = s, odd(s)
+        words = [(m.start(), m.end()) for m in self.cyrillic_word.finditer(s)]
+        shown = [self.case_flip.search(s[a:b]) is not None for a, b in words]
+        best, gain = s, 0.0
         for wrong in SINGLE_CYRILLIC:
             for true in SINGLE_CYRILLIC:
-                if true != wrong:
-                    t = re.sub("[Ѐ-џ]+", lambda m: _try(m.group(), wrong, true), s)  # noqa: B023
-                    if (c := odd(t)) < cost:
-                        best, cost = t, c
+                if true == wrong:
+                    continue
+                read = [_try(s[a:b], wrong, true) for a, b in words]
+                better = [odd(s[a:b]) - odd(t) for (a, b), t in zip(words, read)]
+                take = [f and g > 0 for f, g in zip(shown, better)]
+                for order in (range(1, len(words)), range(len(words) - 2, -1, -1)):
+                    for i in order:
+                        j = i - 1 if order.step > 0 else i + 1
+                        if not take[i] and take[j] and better[i] > 0 and s[min(words[i][1], words[j][1]) : max(words[i][0], words[j][0])].isascii():
+                            take[i] = True
+                if (g := sum(x for x, t in zip(better, take) if t)) > gain:
+                    out, upto = [], 0
+                    for (a, b), t, some in zip(words, read, take):
+                        if some:
+                            out += [s[upto:a], t]
+                            upto = b
+                    best, gain = "".join([*out, s[upto:]]), g
         return best
 
     def restore(self, s: str | None) -> tuple[str | None, bool]:

@@ -42,6 +42,30 @@ def test_other_scripts(true, wrong, text):
     assert G.is_garbled(bad) and G.restore(bad)[0] == text
 
 
+RIGHT = ["Результаты показывают, что качество воды", "Größere Höhenunterschiede in Göldern", "통계 모형을 이용한 지역", "その結果、根の成長は季節によって変わる", "La façade naïve"]
+
+
+@pytest.mark.parametrize("right", RIGHT)
+@pytest.mark.parametrize("true,wrong,text", [("utf-8", "cp1252", "São Teravo façade"), ("koi8_r", "cp1251", "Температура воды зависит от глубины"), ("cp1251", "koi8_r", "Температура воды зависит от глубины"), ("utf-8", "latin_1", "数据说明水质随季节变化"), ("utf-8", "mac_roman", "Łubrany and Señaza")])
+def test_text_outside_the_spans_is_untouched(right, true, wrong, text):
+    from sieveline.llm.encoding import _decode
+
+    bad = _decode(text.encode(true), wrong)
+    for whole, back in ((f"{right} / {bad}", f"{right} / "), (f"{bad} / {right}", f" / {right}")):
+        got = G.restore(whole)[0]
+        assert got.startswith(back) or got.endswith(back)
+
+
+def test_every_run_is_examined():
+    bad = "数据说明水质随季节变化".encode().decode("gbk", "ignore")
+    long = "本研究用几个月的时间研究了土壤湿度的变化情况与水流速度之间的关系进行了比较"
+    assert G.evidence(f"{long}。{bad}") and G.evidence(f"{bad}。{long}") and not G.evidence(long)
+
+
+def test_evidence_is_named():
+    assert [G.evidence(t) for t in ("GÃ¶ldern", "Br�ck", "le taux a augment‚ ou d‚jà", "тЕЪХМШФБФЩ", "clean")] == ["sequence", "lost", "image", "flip", None]
+
+
 def test_single_byte_pair():
     assert G.restore("le taux a augment‚ de la p‚riode, les donn‚es")[0].count("é") >= 2
 
