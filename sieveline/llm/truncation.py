@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,17 +86,54 @@ def _listed(line: str) -> bool:
     return all(len(i.split()) <= ITEM_WORDS for i in items)
 
 
+def _unmarked(text: str) -> str:
+    """A text without the mark after its end; the pattern is tried only where a text ends like one."""
+    end = text.rstrip()
+    return MARK_RE.sub("", text) if end[-1:] in "…])>" or end.endswith("...") else text
+
+
+def _kind(line: str, first: bool) -> str:
+    return LIST if _listed(line) else HEADING if first and not HAS_STOP.search(line) else PROSE
+
+
 def _marked(text: str) -> str:
     """A text without the mark after its end, each line led by its kind: prose, a heading (a first line without a full
     stop), a list of items."""
-    text = MARK_RE.sub("", CONTROLS.sub(" ", text).rstrip())
+    text = _unmarked(CONTROLS.sub(" ", text).rstrip())
     out = []
     for line in text.lower().split("\n"):
         if line.strip():
-            out += [LIST if _listed(line) else PROSE if out or HAS_STOP.search(line) else HEADING, line, "\n"]
+            out += [_kind(line, not out), line, "\n"]
     return "".join(out)
 
 
+def _last_line(text: str) -> tuple[str, str]:
+    """Kind and text of the last line that isn't blank."""
+    text = CONTROLS.sub(" ", text).rstrip()
+    at = text.rfind("\n")
+    line = text[at + 1 :].lower()
+    return _kind(line, not text[: max(at, 0)].strip()), line
+
+
+def _last_words(line: str, kind: str) -> list[str]:
+    """The last words (``GRAMS`` or more, if there are) since a full stop, or since a sign between items."""
+    size = 256
+    while True:
+        tail = line[-size:]
+        tokens = TOKEN.findall(tail)
+        words: list[str] = []
+        whole = len(tail) == len(line)
+        for t in tokens if whole else tokens[1:]:  # the first may be the rest of a word
+            if t in CODE:
+                if CODE[t] == 5 or (CODE[t] == 6 and kind == LIST):
+                    words, whole = [], True
+            else:
+                words.append(t)
+        if whole or len(words) >= GRAMS:
+            return words
+        size *= 4
+
+
 def _word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest("0" if word[0].isdigit() else word) >> 1
 
@@ -345,8 +382,8 @@ def ending(text: str) -> tuple[str | None, Open | None]:
     """State of a text's ending (``whole``, or kind and shape), and what to look up: of an open ending, whose state is
     None, to know its shape; of a whole one of prose, to know the shapes of complete texts."""
     body = text.rstrip()
-    marked = MARK_RE.search(body) is not None
-    core = MARK_RE.sub("", body).rstrip() if marked else body
+    core = _unmarked(body).rstrip()
+    marked = len(core) < len(body)
     if not core:
         return WHOLE, None
     sign = "marked " if marked else ""
@@ -365,20 +402,12 @@ def ending(text: str) -> tuple[str | None, Open | None]:
         return f"{sign}prose: open", None
     if not whole and (line := core[core.rfind("\n") + 1 :]).count("(") > line.count(")"):
         return f"{sign}prose: bracket", None
-    lines = _marked(bare)
-    at = max(lines.rfind(k) for k in (PROSE, HEADING, LIST))
-    if at < 0:
+    if not bare.strip():
         return WHOLE, None
-    kind = lines[at]
+    kind, line = _last_line(_unmarked(bare))
     if whole and (kind != PROSE or marked):
         return WHOLE, None
-    words: list[str] = []
-    for t in TOKEN.findall(lines[at + 1 :]):
-        if t in CODE:
-            if CODE[t] == 5 or (CODE[t] == 6 and kind == LIST):
-                words = []
-        else:
-            words.append(t)
+    words = _last_words(line, kind)
     if not words:
         return WHOLE, None
     own = kind != PROSE or last in TERMINAL  # such an ending was counted as final when the table was made
@@ -474,29 +503,49 @@ def _placed(full: DataFrame, id_col: str) -> DataFrame:
     """``<id_col>, source, _place, _class, _whole`` of every row, written once; ``_class`` is the kind and shape, null of a row
     without text and of a whole ending whose words can't be looked up."""
     rows = _endings(full, id_col)
-    grams = rows.where("_chain is not null").select("_row", F.explode(F.array_append("_chain", F.col("_prose"))).alias("hash"))
+    grams = rows.where("_chain is not null").select("_row", F.posexplode(F.array_append("_chain", F.col("_prose"))).alias("_at", "hash"), F.size("_chain").alias("_size"))
     counts = ending_counts(full, "text", wanted_filter(grams))
-    # the counts of each row's grams, by the number that the row was given when it was written
-    counted = grams.join(counts, "hash").groupBy("_row").agg(F.collect_list(F.struct("hash", "final", "met")).alias("_counts"))
+    # the counts of each row's grams, by the number that the row was given when it was written; -1 is the last word in prose
+    at = F.when(F.col("_at") == F.col("_size"), -1).otherwise(F.col("_at"))
+    each = [F.max(F.when(at == i, F.col(c))).alias(f"_{c}{i}") for i in (-1, *range(GRAMS)) for c in ("final", "met")]
+    counted = grams.join(counts, "hash").groupBy("_row").agg(*each)
     limits = cut(source_limits(length_histogram(rows)))
     # one row for each source; joined by the engine, which broadcasts it if its measured size allows
     per_source = limits.groupBy("source").agg(F.collect_list(F.struct("unit", "limit", "posterior")).alias("_limits"))
     rows = rows.join(counted, "_row", "left").join(per_source.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")), "left")
-    rows = rows.select(id_col, "source", "_state", "_chain", "_prose", "_kind", "_number", "_own", "_marked", "_sizes", "_counts", "_limits")
-    schema = T.StructType([full.schema[id_col], full.schema["source"], T.StructField("_place", T.IntegerType()), T.StructField("_class", T.StringType()), T.StructField("_whole", T.BooleanType())])
+    whole = F.coalesce(F.col("_state") == WHOLE, F.lit(False))
+    name = F.when(F.col("_chain").isNotNull(), _shape_column()).when(~whole, F.col("_state"))
+    out = rows.select(id_col, "source", _place_column().alias("_place"), name.alias("_class"), whole.alias("_whole"))
+    return written(out, "placed")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            place, name, whole = [], [], []
-            for state, chain, prose, kind, number, own, marked, sizes, counts, limits in zip(*(c.to_pylist() for c in b.columns[2:])):
-                whole.append(state == WHOLE)
-                if chain is not None:
-                    state = looked_up(Open(chain, prose, kind, number, own, marked), {c["hash"]: c["final"] for c in counts or []}, {c["hash"]: c["met"] for c in counts or []})
-                name.append(None if state == WHOLE else state)
-                place.append(FREE if state is None else place_of(censoring_posterior(sizes, limits or [])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(place, pa.int32()), pa.array(name, pa.string()), pa.array(whole, pa.bool_())], names=[f.name for f in schema])
 
-    return written(rows.mapInArrow(run, schema), "placed")
+def _shape_column() -> Column:
+    """``looked_up`` as an expression of the JVM."""
+    name = F.concat(F.when(F.col("_marked"), "marked ").otherwise(""), F.col("_kind"), F.when(F.col("_number"), " number").otherwise(""), F.lit(": "))
+    shape = F.when((F.col("_kind") != NAMES[PROSE]) & (F.coalesce("_met-1", F.lit(0)) > 0), "elsewhere").otherwise("new")
+    for g in range(1, GRAMS + 1):
+        m, f = F.coalesce(f"_met{g - 1}", F.lit(0)), F.coalesce(f"_final{g - 1}", F.lit(0))
+        own = F.when(F.col("_own") & (f > 0) & (m > 0), 1).otherwise(0)
+        m, f = m - own, f - own
+        steps = F.greatest(F.lit(-6), F.least(F.lit(6), F.rint(F.log2((m - f + 0.5) / (f + 0.5))))).cast("int").cast("string")
+        part = F.when(F.size("_chain") > 1, "word in part ").otherwise("word ") if g == 1 else F.lit("words ")
+        shape = F.when(m >= (2 if g > 1 else 1), F.concat(part, steps)).otherwise(shape)
+    return F.concat(name, shape)
+
+
+def _place_column() -> Column:
+    """``place_of`` the ``censoring_posterior`` as an expression of the JVM."""
+
+    def met(x: Column) -> Column:
+        hit = F.lit(False)
+        for i, u in enumerate(UNITS):
+            for size in (F.col("_sizes")[2 * i], F.col("_sizes")[2 * i + 1]):
+                hit = hit | ((x["unit"] == u) & F.coalesce(size.between(x["limit"] - SLACK[u], x["limit"]), F.lit(False)))
+        return F.when(hit, x["posterior"]).otherwise(F.lit(0.0))
+
+    p = F.coalesce(F.array_max(F.transform("_limits", met)), F.lit(0.0))
+    step = F.rint(F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))) + 5
+    return F.when(F.col("_sizes").isNull() | (p <= 0), FREE).otherwise(F.greatest(F.lit(1), F.least(F.lit(PLACES - 1), step.cast("int")))).cast("int")
 
 
 def _endings(full: DataFrame, id_col: str) -> DataFrame:
@@ -512,7 +561,7 @@ def _endings(full: DataFrame, id_col: str) -> DataFrame:
                     found.append((None,) * len(own))
                     continue
                 state, e = ending(text)
-                found.append((state, *(e or (None,) * 6), text_sizes(text)))
+                found.append((state, *((e.chain, e.prose, NAMES[e.kind], *e[3:]) if e else (None,) * 6), text_sizes(text)))
             columns = zip(*found) if found else [[]] * len(own)
             types = [pa.string(), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=[f.name for f in schema])
@@ -522,7 +571,7 @@ def _endings(full: DataFrame, id_col: str) -> DataFrame:
 
 def text_sizes(text: str) -> list[int | None]:
     """The text's size in each unit, without its mark and with it; a text hardly parted by spaces has no number of words."""
-    core = MARK_RE.sub("", text)
+    core = _unmarked(text)
     words = len(core.split())
     parted = len(core) <= MOST_LETTERS * words
     return [len(core), len(text), len(core.encode()), len(text.encode()), words if parted else None, len(text.split()) if parted else None]
