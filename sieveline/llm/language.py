@@ -141,8 +141,8 @@ UNKNOWN = 0
 class Tables:
     """Automata of several languages as one array of transitions, and the parse of many segments side by side.
 
-    A state is the place of its row in the array, so a step is one lookup; -1 ends a phrase. A character that a language
-    doesn't hold is a phrase and starts none.
+    A state is the place of its row in the array, so a step is one lookup; a negative number ends a phrase and begins the
+    next one. A character that a language doesn't hold is a phrase and starts none.
     """
 
     def __init__(self, automata: list[SuffixAutomaton]) -> None:
@@ -161,25 +161,31 @@ class Tables:
                 for c, to in steps.items():
                     self.to[(at + state) * size + place[c]] = (at + to) * size
             at += len(a.next)
+        # where a phrase ends the table holds, with all bits turned, the state in which the next one begins
         first = self.to[self.root[:, None] + np.arange(size)]
-        self.first = np.where(first < 0, self.root[:, None], first)
+        first = np.where(first < 0, self.root[:, None], first).astype(np.int32)
+        begin = self.root // size
+        for k, (low, high) in enumerate(zip(begin, [*begin[1:], rows])):
+            part = self.to[low * size : high * size].reshape(-1, size)
+            np.copyto(part, ~first[k], where=part < 0)
 
     def phrases(self, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Phrases of each span in each language: (span, language)."""
         order = np.argsort(begin - end, kind="stable")  # the longest first
         begin, size = begin[order], (end - begin)[order]
-        counts = np.zeros((len(self.root), len(begin)), np.int32)
-        state = np.repeat(self.root[:, None], len(begin), axis=1)
+        counts = np.zeros((len(begin), len(self.root)), np.int32)
+        state = np.repeat(self.root[None, :], len(begin), axis=0)
+        spare, ends = np.empty_like(state), np.empty_like(state)
         alive = len(begin) - np.searchsorted(size[::-1], np.arange(1, (size[0] if len(size) else 0) + 1), "left")
         for t, k in enumerate(alive.tolist()):
-            c = codes[begin[:k] + t]
-            to = self.to.take(state[:, :k] + c, mode="clip")
-            dead = to < 0
-            counts[:, :k] += dead
-            np.copyto(to, self.first[:, c], where=dead)
-            state[:, :k] = to
-        out = np.empty((len(begin), len(self.root)), np.int32)
-        out[order] = counts.T + 1
+            now, to, dead = state[:k], spare[:k], ends[:k]
+            now += codes[begin[:k] + t][:, None]
+            np.take(self.to, now, out=to, mode="clip")
+            np.right_shift(to, 31, out=dead)  # -1 where a phrase ends
+            np.bitwise_xor(to, dead, out=now)
+            counts[:k] -= dead
+        out = np.empty_like(counts)
+        out[order] = counts + 1
         return out
 
 
