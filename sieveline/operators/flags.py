@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from ..runtime import by_key
 def primary_members(membership: DataFrame) -> DataFrame:
     """One row per work: its smallest nano. Rows without work or nano are no membership."""
     m = membership.where(F.col("work_id").isNotNull() & F.col("effective_nano_id").isNotNull())
-    return by_key(m.select("work_id", "effective_nano_id"), "work_id").groupBy("work_id").agg(F.min("effective_nano_id").alias("nano_id"))
+    return m.groupBy("work_id").agg(F.min("effective_nano_id").alias("nano_id"))
 
 
 def latest_works(bib: DataFrame, *columns: str) -> DataFrame:
@@ -30,6 +33,23 @@ def title_members(membership: DataFrame, bib: DataFrame, *more: str) -> DataFram
     return joined.select("work_id", "nano_id", F.coalesce("title_display", F.lit("")).alias("title"), *more)
 
 
+def matched_works(bib: DataFrame) -> DataFrame:
+    """``work_id, title`` of the works whose title some rule hits.
+
+    Titles are matched here, once for each work and before any join, so members without bibliography (whose empty title
+    no rule hits) and works delivered or filed more than once cost nothing; only hits reach the joins.
+    """
+    rows = by_key(bib.select("work_id", "loaded_at", "title_display"), "work_id")
+    works = latest_works(rows, "title_display").select("work_id", F.coalesce("title_display", F.lit("")).alias("title"))
+    hit = functools.reduce(operator.or_, [matches("title", rules.V2), *[matches("title", p) for p in rules.V3.values()]])
+    return works.where(F.length("title") > 0).where(hit)
+
+
+def hit_members(membership: DataFrame, bib: DataFrame) -> DataFrame:
+    """``work_id, nano_id, title`` of the members that some rule hits: all that flags are made of."""
+    return primary_members(membership).join(matched_works(bib), "work_id")
+
+
 def type_array(title: Column, patterns: dict[str, str] = rules.V3, exclude: dict[str, str] = rules.V3_EXCLUDE) -> Column:
     """Ids of all rules that match, in catalogue order: one projection for the whole catalogue."""
     hits = [F.when(matches(title, p) & ~matches(title, exclude[k]) if k in exclude else matches(title, p), F.lit(k)) for k, p in patterns.items()]

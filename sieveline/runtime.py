@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that setting is absent (tests, local mode) a temporary folder of this machine is set.
+    Only where that setting is absent and the session is local (tests) a temporary folder of this machine is set; on a
+    cluster its executors couldn't read it, so that is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -22,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(path)
         return path
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="sieveline-"))
     return sc.getCheckpointDir()
 
@@ -39,9 +42,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/sieveline-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def forget(spark: SparkSession) -> int:
+    """Remove the folders written so far, once no result that reads them is needed; returns how many."""
+    n = len(_written)
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that starts with ``stem`` and doesn't clash (case-insensitively) with one of ``df``."""
     taken = {c.lower() for c in df.columns}
@@ -65,10 +81,15 @@ def by_key(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(width(df.sparkSession), *keys)
 
 
+#: Scans of more splits are never spread, however many cores there are: each split is at most ``maxPartitionBytes``.
+SPREAD_SPLITS = 16
+
+
 def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores where its files give fewer splits than there are cores; else ``df`` as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+    """Spread a small scan over all cores: a shuffle of at most ``SPREAD_SPLITS`` splits (2 GB as Spark is set by default),
+    and none of a larger scan, whose splits are work enough."""
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < min(cores, SPREAD_SPLITS) else df
 
 
 _shipped: set[str] = set()
