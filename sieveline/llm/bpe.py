@@ -12,7 +12,7 @@ A null text and an empty text both give an empty list. Strings that look like sp
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,12 +86,20 @@ class ByteBPE:
         self.base = 1 << 20
         keys = np.array([vocab[a] * self.base + vocab[b] for a, b in pairs], np.int64)
         ids = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        if len(np.unique(ids)) < len(ids):
+            raise ValueError(f"{path}: a token has two merges; long words and short ones could then be merged in another order")
         self.table = PairTable(keys, np.arange(len(pairs), dtype=np.int32), ids)
         self.of_byte = np.zeros(256, np.int32)
         for ch, b in byte_alphabet().items():
             self.of_byte[b] = vocab[ch]
+        letters = byte_alphabet()
+        self.bytes_of = {i: bytes(map(letters.__getitem__, t)) for t, i in vocab.items() if all(c in letters for c in t)}
         self._forget()
 
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text that gives these ids."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8")
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, np.int32)
@@ -257,3 +265,16 @@ def count_tokens(df: DataFrame, text_col: str, name: str = "n_tokens", vocab: st
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(counts, pa.int64())], names=[*keep, name])
 
     return source.mapInArrow(run, schema)
+
+
+def decode_documents(df: DataFrame, id_col: str, ids_col: str, name: str = "text", vocab: str = DEFAULT_VOCAB) -> DataFrame:
+    """``<id_col>, <name>``: the texts of lists of ids; the empty text of an empty or null list."""
+    rows = df.select(id_col, ids_col)
+    schema = T.StructType([rows.schema[0], T.StructField(name, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = bpe(vocab)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.decode(x or ()) for x in b.column(1).to_pylist()], pa.string())], names=[id_col, name])
+
+    return rows.mapInArrow(run, schema)

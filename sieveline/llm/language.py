@@ -70,9 +70,10 @@ SENTENCE = r"[.!?…。！？\n\r  |](?:(?<=[。！？\n\r  |])|(?=[\"
 TITLE_PART = r"[=/|\[\]()\n\r  ](?:(?<=[|\[\]()\n\r  ])|(?<=\s[=/])(?=\s))"
 TEXT_END = "\x01"
 SPLIT = {True: re.compile(TITLE_PART), False: re.compile(SENTENCE)}
-TOKEN = {True: re.compile(rf"[^\W\d_]+|\x01|{TITLE_PART}"), False: re.compile(rf"[^\W\d_]+|\x01|{SENTENCE}")}
-MARKS = "=/|[]()\n\r  .!?…。！？"
-MARKING = frozenset([TEXT_END, *MARKS])
+# The same marks by character, for whole batches: those that always end a segment and those that may.
+LETTER, SPACE, ALWAYS, MAYBE, CLOSE = 1, 2, 4, 8, 16
+ALWAYS_END = {True: "|[]()\n\r\u2028\u2029", False: "。！？\n\r\u2028\u2029|"}
+MAYBE_END = {True: "=/", False: ".!?…"}
 INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 ODD_FORMS = re.compile("[\\xad\\u200b-\\u200d\\u2060\\ufeff\\u0300-\\u036f\\uff01-\\uff5e\\ufb00-\\ufb06]")
 
@@ -189,10 +190,18 @@ class Tables:
         return out
 
 
+#: Stands for a letter above the basic plane; no automaton holds it.
+FAR_LETTER = 0xA7FF
+
+
 def _letters_of(text: str) -> np.ndarray:
-    """Code points of a text, those above the basic plane as 0."""
+    """Code points of a text; above the basic plane one letter stands for all letters and 0 for the rest."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(points < 1 << 16, points, 0)
+    far = np.flatnonzero(points >= 1 << 16)
+    if len(far):
+        points = points.copy()
+        points[far] = [FAR_LETTER if chr(c).isalnum() and not chr(c).isdecimal() else 0 for c in points[far].tolist()]
+    return points
 
 
 class Model:
@@ -209,28 +218,57 @@ class Model:
         for low, high, number in ((0x41, 0x2B0, 1), (0x1E00, 0x1F00, 1), (0x400, 0x530, 2), (0xAC00, 0xD7A4, 3), (0x1100, 0x1200, 3), (0x3040, 0x3100, 4), (0x3400, 0xA000, 4), (0x3005, 0x3006, 4)):
             script[low:high] = number
         self.script = script
+        alpha = np.array([chr(i).isalnum() and not chr(i).isdecimal() for i in range(1 << 16)])
+        space = np.array([chr(i).isspace() for i in range(1 << 16)])
+        self.kinds = {}
+        for titles in (True, False):
+            kind = np.where(alpha, LETTER, 0) | np.where(space, SPACE, 0)
+            for chars, what in ((ALWAYS_END[titles] + TEXT_END, ALWAYS), (MAYBE_END[titles], MAYBE), ("\"”»’)", CLOSE)):
+                kind[[ord(c) for c in chars]] |= what
+            self.kinds[titles] = kind.astype(np.uint8)
 
     def parse(self, texts: list[str], titles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All segments of all texts: (text number, cost of each language, letters, words).
 
         A syllable or ideograph counts as three letters. Segments without a word are left out.
         """
-        tokens = TOKEN[titles].findall(TEXT_END.join([*texts, ""]).lower())
-        if not tokens:
-            return np.zeros(0, np.int64), np.zeros((0, len(LANGS))), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        joined = f" {' '.join(tokens)} "
+        joined = TEXT_END.join([*texts, ""]).lower()
         points = _letters_of(joined)
-        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        start = np.cumsum(size + 1) - size  # of each token in the joined text
-        mark = np.fromiter(map(MARKING.__contains__, tokens), bool, len(tokens))
-        last = np.fromiter(map(TEXT_END.__eq__, tokens), bool, len(tokens))
-        ends = np.flatnonzero(mark)
-        begins = np.r_[0, ends[:-1] + 1]
-        number = np.r_[0, np.cumsum(last[ends])[:-1]]
-        some = ends > begins
-        begins, ends, number = begins[some], ends[some], number[some]
-        # a segment with the spaces about it
-        low, high = start[begins] - 1, start[ends]
+        if not len(points):
+            return np.zeros(0, np.int64), np.zeros((0, len(LANGS))), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        kind = self.kinds[titles][points]
+        ends = kind & ALWAYS != 0
+        before, after = np.roll(kind, 1), np.roll(kind, -1)
+        before[0] = after[-1] = 0
+        if titles:
+            ends |= (kind & MAYBE != 0) & (before & SPACE != 0) & (after & SPACE != 0)
+        else:
+            twice = np.roll(kind, -2)
+            twice[-2:] = 0
+            ends |= (kind & MAYBE != 0) & ((after & SPACE != 0) | ((after & CLOSE != 0) & (twice & SPACE != 0)))
+        letter = kind & LETTER != 0
+        # letters, and one sign for all that stands between two words: what a segment begins and ends with, too
+        run = np.flatnonzero(~letter & np.r_[True, letter[:-1]])
+        parts = np.zeros(len(run), bool)
+        texts_ended = np.zeros(len(run), np.int64)
+        if len(run):
+            parts = np.maximum.reduceat(np.where(letter, False, ends), run)
+            texts_ended = np.add.reduceat(points == ord(TEXT_END), run)
+        kept = letter.copy()
+        kept[run] = True
+        place = np.flatnonzero(kept)
+        lead = 0 if len(run) and run[0] == 0 else 1  # a sign before the first word
+        points = np.r_[np.full(lead, ord(" "), points.dtype), np.where(letter[place], points[place], ord(" "))]
+        sign = np.searchsorted(place, run) + lead
+        cuts = np.r_[np.zeros(lead, np.int64), sign[parts | (np.arange(len(run)) == 0) & (lead == 0)]]
+        low, high = cuts[:-1], cuts[1:]
+        some = high - low > 1
+        number = np.cumsum(np.r_[np.zeros(lead, np.int64), texts_ended])[np.searchsorted(np.r_[np.zeros(lead, np.int64), sign], low)]
+        low, high, number = low[some], high[some], number[some]
+        joined = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        spaces = np.r_[0, np.cumsum(points == ord(" "))]
+        n_words = spaces[high] - spaces[low]
+        high = high + 1
         of = self.script[points]
         letters = np.zeros((5, len(low)), np.int64)
         for k in range(1, 5):
@@ -246,7 +284,7 @@ class Model:
         for i in np.flatnonzero(main == 4).tolist():
             piece = joined[low[i] : high[i]].replace(" ", "")
             cost[i, 10:] = [a.phrases(piece) for a in self.han]
-        return number, cost * self.scale, letters[1] + letters[2] + 3 * (letters[3] + letters[4]), ends - begins
+        return number, cost * self.scale, letters[1] + letters[2] + 3 * (letters[3] + letters[4]), n_words
 
     @staticmethod
     def decide(cost: np.ndarray, letters: np.ndarray, words: np.ndarray, margin: float = MIN_MARGIN) -> tuple[np.ndarray, np.ndarray]:

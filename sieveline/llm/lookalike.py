@@ -2,7 +2,7 @@
 
 Method: invisible characters go, every space is one space, width forms, ligatures and letter-like signs become plain
 letters, accents are composed. Then each token is spelled in one script. Every letter belongs to a class of letters of
-the same look, and a class has a spelling in some of Latin, Cyrillic and Greek; the sets of scripts are intersected over
+the same look, and a class has a spelling in some of Latin, Cyrillic, Greek, Armenian and Cherokee; the sets of scripts are intersected over
 the token. A token with one possible script is spelled in it (mixed-script confusables). A token with several (whole-script
 confusables) takes the script of most one-script tokens of the same text, Latin if that doesn't decide. A token with
 none is a real mixture and keeps the look of each letter. All choices depend on the look alone, so texts that look the
@@ -26,9 +26,11 @@ from pyspark.sql import types as T
 from ..runtime import written
 
 # Letters of the same look; position by position.
-LATIN_C = "aeopcyxijshdqwlABEKMHOPCTXSIJYZN"
-CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХЅІЈУ  "
-GREEK = "  ο            ΑΒΕΚΜΗΟΡ ΤΧ Ι ΥΖΝ"
+LATIN_C = "aeopcyxijshdqwlABEKMHOPCTXSIJYZNungDGLRUVW"
+CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХЅІЈУ            "
+GREEK = "  ο            ΑΒΕΚΜΗΟΡ ΤΧ Ι ΥΖΝ          "
+ARMENIAN = "  օ     յ հ զ        Օ    Տ     սոց  Լ Ս  "
+CHEROKEE = "               ᎪᏴᎬᏦᎷᎻ ᏢᏟᎢ Ꮪ ᎫᎩᏃ    ᎠᏀᏞᏒ ᏙᎳ"
 
 #: classes whose Cyrillic letter belongs to few languages
 RARE = "sjhdqwl"
@@ -39,7 +41,7 @@ HYPHENS = {0x2010: "-", 0x2011: "-", 0xFE63: "-", 0xFF0D: "-", 0xB5: "μ"}
 #: Width forms, ligatures of f, Roman numerals: their compatibility form has the same look.
 SAME_LOOK = re.compile("[！-￮ﬀ-ﬆⅠ-ⅿ]")
 TOKEN = re.compile(r"[^\W\d_]+")
-SCRIPTS = ("latin", "cyrillic", "greek")
+SCRIPTS = ("latin", "cyrillic", "greek", "armenian", "cherokee")
 #: A text of printable ASCII without outer or double spaces has itself as its form.
 PLAIN = r"^(?:[\x21-\x7E]+(?: [\x21-\x7E]+)*)?$"
 
@@ -48,10 +50,11 @@ class Forms:
     def __init__(self) -> None:
         self.spell: dict[str, dict[str, str]] = {}  # prototype -> script -> letter
         self.proto: dict[str, str] = {}
-        for lat, cyr, gre in zip(LATIN_C, CYRILLIC, GREEK, strict=True):
-            self.spell[lat] = {k: c for k, c in zip(SCRIPTS, (lat, cyr, gre)) if c != " "}
+        for letters in zip(LATIN_C, CYRILLIC, GREEK, ARMENIAN, CHEROKEE, strict=True):
+            lat = letters[0]
+            self.spell[lat] = {k: c for k, c in zip(SCRIPTS, letters) if c != " "}
             self.proto |= dict.fromkeys(self.spell[lat].values(), lat)
-        self.foreign = re.compile("[Ͱ-ӿԀ-ԯ]")
+        self.foreign = re.compile("[Ͱ-ӿԀ-֏Ꭰ-ᏽ]")
 
     @staticmethod
     def _own(c: str) -> str | None:
@@ -60,6 +63,10 @@ class Forms:
             return "latin"
         if "Ѐ" <= c <= "ԯ":
             return "cyrillic"
+        if "\u0530" <= c <= "\u058f":
+            return "armenian"
+        if "Ꭰ" <= c <= "ᏽ":
+            return "cherokee"
         return "greek" if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿" else None
 
     def _scripts(self, letters: str) -> set[str]:
@@ -122,7 +129,8 @@ def with_form(df: DataFrame, text_col: str, name: str = "form") -> DataFrame:
     return df.where(plain).withColumn(name, F.col(text_col)).unionByName(df.where(~plain).mapInArrow(run, schema))
 
 
-SALTS = 16
+#: Works of one text in a part of the join that widens pairs to works.
+PART = 2_000
 
 
 def same_look_pairs(texts: DataFrame) -> DataFrame:
@@ -130,8 +138,8 @@ def same_look_pairs(texts: DataFrame) -> DataFrame:
 
     ``texts`` has (field_name, work_id, text). Of several texts of one form at most one is the form itself, so every
     group with two texts holds a changed one: only the forms of changed texts are looked up among the others. Pairs
-    are made between distinct texts of a form, then each side is widened to its works by a salted join; equal texts of
-    a large group are never compared with each other.
+    are made between distinct texts of a form, then each side is widened to its works, in parts if it has more than ``PART``;
+    equal texts of a large group are never compared with each other.
     """
     rows = texts.where(F.col("work_id").isNotNull() & (F.length("text") > 0)).select("field_name", "work_id", "text")
     formed = with_form(rows, "text").where(F.col("form") != "")
@@ -143,8 +151,15 @@ def same_look_pairs(texts: DataFrame) -> DataFrame:
     x, y = variants.alias("x"), variants.alias("y")
     on = (F.col("x.field_name") == F.col("y.field_name")) & (F.col("x.form") == F.col("y.form")) & (F.col("x.text") < F.col("y.text"))
     pairs = x.join(y, on).select("x.field_name", F.col("x.text").alias("text"), F.col("y.text").alias("other"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = members.select("field_name", "text", "work_id", F.pmod(F.xxhash64("work_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    first = pairs.withColumn("salt", salts).join(salted, ["field_name", "text", "salt"]).select("field_name", F.col("other").alias("text"), F.col("work_id").alias("one"))
-    both = first.withColumn("salt", salts).join(salted, ["field_name", "text", "salt"]).where(F.col("one") != F.col("work_id"))
+    parts = members.groupBy("field_name", "text").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    large = parts.where("parts > 1")  # few texts, if any, have so many works
+    one = F.coalesce("parts", F.lit(1))
+    salted = members.select("field_name", "text", "work_id").join(large, ["field_name", "text"], "left").withColumn("salt", F.pmod(F.xxhash64("work_id"), one).cast("int")).drop("parts")
+    each = F.explode(F.sequence(F.lit(0), one - 1))
+
+    def widened(rows: DataFrame) -> DataFrame:
+        return rows.join(large, ["field_name", "text"], "left").withColumn("salt", each).drop("parts").join(salted, ["field_name", "text", "salt"])
+
+    first = widened(pairs).select("field_name", F.col("other").alias("text"), F.col("work_id").alias("one"))
+    both = widened(first).where(F.col("one") != F.col("work_id"))
     return both.select("field_name", F.least("one", "work_id").alias("work_id_a"), F.greatest("one", "work_id").alias("work_id_b")).distinct()

@@ -57,6 +57,11 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_documents(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The texts that the ids of p7_ids give back, as digests."""
+    return bpe.decode_documents(p7_ids(spark, d), "doc_id", "ids").select("doc_id", F.md5("text").alias("digest"))
+
+
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     """Documents with their number of tokens, written once: the selection reads it several times."""
     return written(bpe.count_tokens(table(spark, d, "documents").select("doc_id", "source", "text"), "text"), "sized")
@@ -70,6 +75,20 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_selection(spark, d), table(spark, d, "mix_targets"))
 
 
+def p8_checked(spark: SparkSession, d: str) -> DataFrame:
+    """Of each target whether no document is used too often, and whether the share is reached to 2 % of all tokens wherever
+    the source has documents and may be used."""
+    r = p8_shares(spark, d)
+    unused = (F.col("docs") == 0) | (F.col("max_repeats") == 0)
+    return r.select("mix_name", "source", (F.col("most_repeats") <= F.col("max_repeats")).alias("repeats_kept"), (unused | (F.abs(F.col("reached_share") - F.col("target_share")) <= 0.02)).alias("share_kept"))
+
+
+def p4_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """How many fields each set of evidence finds: what the method contributes."""
+    each = residue.residue_evidence(table(spark, d, "bib_store"), "work_id", TEXT_FIELDS).groupBy("work_id", "field_name").agg(F.array_join(F.array_sort(F.collect_set("kind")), "+").alias("kinds"))
+    return each.groupBy("kinds").agg(F.count(F.lit(1)).alias("fields"))
+
+
 def p9_documents(spark: SparkSession, d: str) -> DataFrame:
     """Every document with the odds that it was cut."""
     return truncation.cut_documents(table(spark, d, "documents"), "doc_id", "source", "text")
@@ -85,5 +104,8 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("cut_share", F.col("cut_docs") / F.col("docs"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_documents": p9_documents, "p9_shares": p9_shares}
-SQL: dict[str, str] = {}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p2_found": p2_found, "p2_segments": p2_segments, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p4_kinds": p4_kinds, "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_selection": p8_selection, "p8_shares": p8_shares, "p8_checked": p8_checked, "p9_found": p9_found, "p9_documents": p9_documents, "p9_shares": p9_shares}
+SQL: dict[str, str] = {
+    "p7_decoded": "select doc_id, md5(coalesce(text, '')) as digest from documents",
+    "p8_checked": "select distinct mix_name, source, true as repeats_kept, true as share_kept from mix_targets where mix_name is not null and source is not null",
+}

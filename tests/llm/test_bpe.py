@@ -54,3 +54,16 @@ def test_documents(spark, rows, reference):
     assert bpe.encode_documents(df.limit(0), "doc_id", "text").count() == 0
     counted = bpe.count_tokens(df.withColumnRenamed("ids", "n_tokens"), "text")
     assert sorted(counted.columns) == ["doc_id", "n_tokens"] and sorted(r["n_tokens"] for r in counted.collect()) == [0, 0, 2, 2]
+
+
+def test_decoded_again(spark, rows, tmp_path):
+    import json
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(EDGES)], "doc_id bigint, text string")
+    back = dict(rows(bpe.decode_documents(bpe.encode_documents(df, "doc_id", "text"), "doc_id", "ids")))
+    assert back == {i: t or "" for i, t in enumerate(EDGES)}
+    path = tmp_path / "twice.json"
+    letters = {c: i for i, c in enumerate(bpe.byte_alphabet())}
+    path.write_text(json.dumps({"model": {"vocab": letters | {"ab": 256, "bc": 257, "abc": 258}, "merges": ["a b", "b c", "a bc", "ab c"]}}))
+    with pytest.raises(ValueError):
+        bpe.ByteBPE(str(path))

@@ -71,6 +71,20 @@ def test_labels(label, lang):
 HELD_OUT = {"en": "The harbour was closed because of the storm and the ships had to wait for two days.", "de": "Der Hafen wurde wegen des Sturms geschlossen und die Schiffe mussten zwei Tage warten.", "fr": "Le port a été fermé à cause de la tempête et les navires ont dû attendre deux jours.", "es": "El puerto fue cerrado por la tormenta y los barcos tuvieron que esperar dos días.", "pt": "O porto foi fechado por causa da tempestade e os navios tiveram de esperar dois dias.", "it": "Il porto è stato chiuso a causa della tempesta e le navi hanno dovuto aspettare due giorni.", "nl": "De haven werd gesloten vanwege de storm en de schepen moesten twee dagen wachten.", "pl": "Port został zamknięty z powodu burzy, a statki musiały czekać dwa dni.", "ru": "Порт был закрыт из-за шторма, и корабли должны были ждать два дня.", "ko": "폭풍 때문에 항구가 닫혀서 배들은 이틀을 기다려야 했다.", "ja": "嵐のために港は閉鎖され、船は二日間待たなければならなかった。", "zh": "由于暴风雨港口关闭，船只不得不等待两天。"}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text("aé1. =/|()[]?!…。\n\"’_ß𝐀한语", max_size=30), st.text(max_size=20)), max_size=6), st.booleans())
+def test_segments_are_those_of_the_patterns(texts, titles):
+    from sieveline.llm.language import WORD, pieces
+
+    texts = [t.replace("\x01", " ") for t in texts]
+    number, cost, letters, words = SMALL.parse(texts, titles)
+    want = [(k, len(WORD.findall(p.lower()))) for k, t in enumerate(texts) for p in pieces(t, titles)]
+    assert list(zip(number.tolist(), words.tolist())) == want and len(cost) == len(letters) == len(want)
+
+
+SMALL = Model(start_texts())
+
+
 def test_held_out_sentences_with_the_start_alone():
     model = Model(start_texts())
     number, best, confidence, _, _ = model.label(list(HELD_OUT.values()), False)

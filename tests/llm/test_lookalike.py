@@ -5,7 +5,7 @@ import pytest
 from sieveline.llm.lookalike import Forms, same_look_pairs, with_form
 
 F_ = Forms()
-SAME = [("Kraňov", "Kraňov"), ("a b", "a b"), ("a b", "a　b"), ("a b", "a   b "), ("word", "wo​rd­"), ("ＡＢＣ：１２", "ABC:12"), ("efficient", "eﬃcient"), ("role", "rоlе"), ("TB-29", "ΤΒ-29"), ("part II", "part Ⅱ"), ("Ångström", "Ångström"), ("low-cost", "low‐cost"), ("сор", "cop"), ("é", "е́"), ("µg", "μg")]
+SAME = [("Kraňov", "Kraňov"), ("a b", "a b"), ("a b", "a　b"), ("a b", "a   b "), ("word", "wo​rd­"), ("ＡＢＣ：１２", "ABC:12"), ("efficient", "eﬃcient"), ("role", "rоlе"), ("TB-29", "ΤΒ-29"), ("part II", "part Ⅱ"), ("Ångström", "Ångström"), ("low-cost", "low‐cost"), ("сор", "cop"), ("é", "е́"), ("µg", "μg"), ("role ԼOՍD", "role LOUD"), ("BACH", "ᏴᎪᏟᎻ")]
 OTHER = [("a", "A"), ("e", "é"), ("a–b", "a-b"), ("it's", "it’s"), ("x2", "x²"), ("10", "1O"), ("a.", "a"), ("ж", "x"), ("½", "1/2"), ("α", "a")]
 
 
@@ -28,7 +28,9 @@ def test_the_consistent_script_is_spelled():
         assert F_.canonical(F_.canonical(a)) == F_.canonical(a)
 
 
-def test_pairs_against_brute_force(spark, rows):
+@pytest.mark.parametrize("part", [2_000, 2])
+def test_pairs_against_brute_force(spark, rows, monkeypatch, part):
+    monkeypatch.setattr("sieveline.llm.lookalike.PART", part)
     texts = ["Editorial", "Editоrial", "Editorial", "Ｅｄｉｔｏｒｉａｌ", "News", "News ", "news", None, "", " ", "Göl", "Göl", "Editorial", "x" * 30_000, "x" * 30_000 + "​"]
     data = [("t", f"w{i % 13}", t, "form") for i, t in enumerate(texts)] + [("u", "w0", "Editоrial", ""), ("t", None, "Editоrial", ""), ("t", "w1", "Editоrial", "")]
     df = spark.createDataFrame(data, "field_name string, work_id string, text string, form string")
