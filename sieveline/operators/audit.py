@@ -57,8 +57,8 @@ def ordered_sample(hits: DataFrame, per_type: int = config.AUDIT_PER_TYPE) -> Da
     return first.withColumn("place", F.row_number().over(place)).select("work_id", "type", "place")
 
 
-def blind_audit(hits: DataFrame, batches: list[list[str]], per_type: int = config.AUDIT_PER_TYPE) -> DataFrame:
-    """A work is drawn at most once over all types, in the order of the batches.
+def blind_audit(hits: DataFrame, batches: list[list[str]], per_type: int = config.AUDIT_PER_TYPE, strict: bool = False) -> DataFrame:
+    """A work is drawn at most once over all types, in the order of the batches; ``strict`` raises if a type falls short.
 
     The rule is sequential over types. Each type needs at most ``per_type`` times the number of types candidates,
     which is a bounded list, so it is settled on the driver.
@@ -72,6 +72,8 @@ def blind_audit(hits: DataFrame, batches: list[list[str]], per_type: int = confi
     for number, batch in enumerate(batches, 1):
         for t in batch:
             mine = [w for w in queue[t] if w not in taken][:per_type]
+            if strict and len(mine) < per_type:
+                raise ValueError(f"{t} has {len(mine)} works left of {per_type}")
             taken.update(mine)
             out += [(w, t, number) for w in mine]
     return hits.sparkSession.createDataFrame(out, "work_id string, type string, batch int")

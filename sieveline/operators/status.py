@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -48,16 +48,15 @@ def apply_overrides(states: DataFrame, overrides: DataFrame) -> DataFrame:
     return both.withColumn("status", F.coalesce("manual", "status_auto")).drop("manual")
 
 
+def assert_contract(checked: DataFrame) -> None:
+    """Raises unless packs and members agree: they would be of different versions."""
+    r = checked.first()
+    if not r["agrees"]:
+        raise ValueError(f"packs hold {r['packed']} works, members without exclusions are {r['kept']}")
+
+
 def size_contract(packs: DataFrame, members: DataFrame, excluded: DataFrame) -> DataFrame:
     """Sum of pack sizes against members less exclusions, and whether they agree."""
     a = packs.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("packed"))
     b = members.join(excluded.select("work_id").distinct(), "work_id", "left_anti").agg(F.count(F.lit(1)).alias("kept"))
     return a.join(b).withColumn("agrees", F.col("packed") == F.col("kept"))
-
-
-def top_strands(strands: DataFrame, cap: int) -> DataFrame:
-    """The ``cap`` largest strands of each nano, ties by id; 0 keeps all."""
-    if cap <= 0:
-        return strands
-    order = Window.partitionBy("nano_id").orderBy(F.desc("n"), "cid")
-    return strands.withColumn("place", F.row_number().over(order)).where(F.col("place") <= cap).drop("place")

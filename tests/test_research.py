@@ -54,6 +54,20 @@ def test_words_forms_and_totals(spark, rows):
     assert len(rules.CANDIDATES) == 19 and len(rules.AUDIT_FORMS) == 15 and len(rules.SUBFORMS) == 7 and not rules.CANDIDATES["editors_picks", "editors_picks"][1]
 
 
+def test_contracts_raise(spark):
+    from sieveline.operators import status
+
+    members = spark.createDataFrame([("a", 1), ("b", 1)], "work_id string, nano_id int")
+    packs = spark.createDataFrame([(1, 2)], "nano_id int, size bigint")
+    status.assert_contract(status.size_contract(packs, members, members.limit(0)))
+    with pytest.raises(ValueError):
+        status.assert_contract(status.size_contract(packs, members, members.limit(1)))
+    hits = spark.createDataFrame([("a", ["news"], False)], "work_id string, types array<string>, v2_hit boolean")
+    assert audit.blind_audit(hits, [["news"]], 2).count() == 1
+    with pytest.raises(ValueError):
+        audit.blind_audit(hits, [["news"]], 2, strict=True)
+
+
 def test_units(spark, rows):
     packs = spark.createDataFrame([(1, 10, True), (2, 10, False), (3, 4, False), (4, 9, False)], "nano_id bigint, size bigint, junk_candidate boolean")
     ratio = spark.createDataFrame([(1, 60.0), (2, 1.0), (3, 35.0)], "nano_id bigint, pct_mem_jd double")
