@@ -1,9 +1,10 @@
 """Text decoded with the wrong character encoding (problem 1).
 
-Method: the garbled sequences of all pairs (true encoding, wrong decoder) are precomputed and put into one multi-pattern
-automaton: the decoded bytes of each character of a repertoire for multi-byte encodings, the images of accented letters
+Method: the garbled sequences of all pairs (true encoding, wrong decoder) are precomputed for multi-pattern
+automata: the decoded bytes of each character of a repertoire for multi-byte encodings, the images of accented letters
 for single-byte pairs, of Cyrillic letters in pairs, of the heads of three-byte characters read by East Asian decoders, and
-what a decoder leaves of bytes it doesn't know. A text without any of them is clean. A sequence that is impossible in
+what a decoder leaves of bytes it doesn't know. Sequences of several characters are matched by automata over the runs that
+aren't ASCII, those of one character by sets. A text without any of them is clean. A sequence that is impossible in
 itself is proof; one that is right elsewhere (a single sign, two letters) only names a place, and counts only where its own
 meaning is impossible (a closing quote between two lower-case letters, three accented letters in a row).
 
@@ -46,6 +47,7 @@ GREEK = "".join(chr(i) for i in range(0x391, 0x3CA) if chr(i).isalpha())
 CYRILLIC = "".join(chr(i) for i in [0x401, *range(0x410, 0x450), 0x451])
 RUSSIAN = set(CYRILLIC)
 CAPITALS = set("АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ")
+NOT_ASCII = re.compile("[^\\x00-\\x7f]+")
 EAST_ASIAN_STOP = re.compile("[。！？；，、]")
 
 
@@ -166,42 +168,43 @@ class Garble:
         self._build()
 
     def _build(self) -> None:
-        """The automaton; a value is the kind of a sequence and the sequence. Longer kinds take the place of shorter ones."""
-        words: dict[str, str] = {c: "lost" for c in [*map(chr, range(0x80, 0xA0)), "�"]}
-        words |= dict.fromkeys(self.image_chars, "image") | dict.fromkeys(self.wide, "wide")
-        # Cyrillic read with another Cyrillic decoder: a capital and a small letter change case
-        words |= dict.fromkeys((a.lower() + b for a in CAPITALS for b in CAPITALS), "flip")
-        # two bytes of a legacy encoding, read with a single-byte decoder
-        for codec in ("cp1252", "latin_1", "cp1250", "cp437", "cp850", "mac_roman"):
-            high = [_byte(b, codec) for b in range(128, 256)]
-            words |= dict.fromkeys((a + b for a in high for b in high), "legacy")
+        """The automata and the sets of single characters."""
+        self.lost_chars = {*map(chr, range(0x80, 0xA0)), "�"}
         # three-byte characters and kana read with an East Asian decoder: what their first two bytes become
+        self.heads = set()
         for codec in WIDE_FOR_UTF8:
-            heads = [bytes([a, b]) for a in range(0xE2, 0xF0) for b in range(0x80, 0xC0)] + [c.encode("shift_jis") for c in map(chr, range(0x3041, 0x3094))]
-            for raw in heads:
+            for raw in [bytes([a, b]) for a in range(0xE2, 0xF0) for b in range(0x80, 0xC0)] + [c.encode("shift_jis") for c in map(chr, range(0x3041, 0x3094))]:
                 try:
-                    words.setdefault(raw.decode(codec), "head")
+                    self.heads.add(raw.decode(codec))
                 except UnicodeDecodeError:
                     continue
-        words |= dict.fromkeys(self.sequences, "sequence")
-        self.automaton = ahocorasick.Automaton()
+        # Cyrillic read with another Cyrillic decoder: a capital and a small letter change case
+        words = dict.fromkeys((a.lower() + b for a in CAPITALS for b in CAPITALS), "flip")
+        # two bytes of a legacy encoding, read with a single-byte decoder
+        for codec in ("cp1252", "latin_1", "cp1250", "cp437", "cp850", "mac_roman"):
+            high = [c for c in (_byte(b, codec) for b in range(128, 256)) if c not in self.lost_chars]
+            words |= dict.fromkeys((a + b for a in high for b in high), "legacy")
+        self.automaton, self.pairs = ahocorasick.Automaton(), ahocorasick.Automaton()
+        for word in self.sequences:
+            self.automaton.add_word(word, word)
         for word, kind in words.items():
-            self.automaton.add_word(word, (kind, word))
+            self.pairs.add_word(word, kind)
         self.automaton.make_automaton()
+        self.pairs.make_automaton()
+        self.first_chars, self.pair_chars = {w[0] for w in self.sequences}, {w[0] for w in words}
 
     # -- detection ------------------------------------------------------------------------------------------------
 
     def hits(self, s: str) -> list[tuple[int, str]]:
         """Leftmost longest garbled sequences: (start, sequence)."""
         out: list[tuple[int, str]] = []
-        for end, (kind, bad) in self.automaton.iter(s):
-            if kind != "sequence":
-                continue
-            start = end - len(bad) + 1
-            while out and out[-1][0] >= start and len(out[-1][1]) < len(bad):
-                out.pop()
-            if not out or start >= out[-1][0] + len(out[-1][1]):
-                out.append((start, bad))
+        for run in NOT_ASCII.finditer(s):
+            for end, bad in self.automaton.iter(run.group()):
+                start = run.start() + end - len(bad) + 1
+                while out and out[-1][0] >= start and len(out[-1][1]) < len(bad):
+                    out.pop()
+                if not out or start >= out[-1][0] + len(out[-1][1]):
+                    out.append((start, bad))
         return out
 
     def _legacy_run(self, s: str) -> bool:
@@ -249,30 +252,29 @@ class Garble:
     def evidence(self, s: str | None) -> str | None:
         """The kind of sequence that shows a text to be garbled, None of a clean one.
 
-        The automaton names the kinds met and their places; a kind that may be right elsewhere is checked where it stands.
+        Automata and sets name the kinds met; a kind that may be right elsewhere is checked where it stands.
         """
         if not s:
             return None
         if not s.isascii():
-            met: dict[str, list[int]] = {}
-            for end, (kind, word) in self.automaton.iter(s):
-                if kind == "lost":
-                    return "lost"
-                met.setdefault(kind, []).append(end - len(word) + 1)
-            if "sequence" in met:
-                found = self.hits(s)
+            chars = set(s)
+            if chars & self.lost_chars:
+                return "lost"
+            if chars & self.first_chars and (found := self.hits(s)):
                 soft = [b for _, b in found if any(c in RUSSIAN for c in b) or all(o in CYRILLIC + GREEK for o in self.sequences[b].values())]
                 if len(found) > len(soft) or len(soft) > 1:
                     return "sequence"
-            if any(self.image_in_place.match(s, i) for i in met.get("image", ())):
+            if chars & self.image_chars and self.image_in_place.search(s):
                 return "image"
-            if "legacy" in met and self._legacy_run(s):
-                return "legacy"
-            if "flip" in met and self.case_flip.search(s):
-                return "flip"
-            if any(self.wide_in_latin.match(s, i) for i in met.get("wide", ())):
+            if chars & self.pair_chars:
+                met = {kind for run in NOT_ASCII.findall(s) if len(run) > 1 for _, kind in self.pairs.iter(run)}
+                if "legacy" in met and self._legacy_run(s):
+                    return "legacy"
+                if "flip" in met and self.case_flip.search(s):
+                    return "flip"
+            if chars & self.wide.keys() and self.wide_in_latin.search(s):
                 return "wide"
-            if "head" in met and self._round_trip(s):
+            if chars & self.heads and self._round_trip(s):
                 return "head"
         if "&" in s and (m := self.entity.search(s)) and not (t := html.unescape(m.group())).isascii() and (self.hits(t) or self.certain.search(t) or self._legacy_run(t)):
             return "entity"
