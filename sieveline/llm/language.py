@@ -422,7 +422,15 @@ def fit(df: DataFrame, label_col: str, fields: list[str], rows: int = SAMPLE_ROW
     place = F.xxhash64(F.lit("fit"), label_col, *fields)
     known = F.lower(F.regexp_extract(F.trim(F.col(label_col)), r"^[^-_]+", 0)).isin(list(CANONICAL))
     some = [F.substring(f, 1, TEXT_CHARS).alias(f) for f in fields]
-    sample = df.where(known).select(label_col, *some, place.alias("__place")).orderBy("__place", label_col, *fields).limit(rows).collect()
+    labelled = df.where(known)
+    total = labelled.count()
+    placed = labelled.withColumn("__place", place)
+    lowest = lambda rows_: rows_.select(label_col, *some, "__place").orderBy("__place", label_col, *fields).limit(rows).collect()
+    # the rows of the lowest hash are sought below a bound that half as many again should pass, so that hardly any is sorted
+    bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, 1.5 * rows / max(1, total)) * (1 << 64)))
+    sample = lowest(placed.where(F.col("__place") <= bound))
+    if len(sample) < min(rows, total):
+        sample = lowest(placed)
     return learn_texts([(r[label_col], r[f], f) for r in sample for f in fields])
 
 
