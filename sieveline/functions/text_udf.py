@@ -24,10 +24,20 @@ FEATURES = T.StructType(
 )
 
 
+_ASCII = {c: " " for c in range(128) if not chr(c).isalnum()}
+
+
+def words_of(s: str | None) -> list[str]:
+    """NFKC, lower case, cut at every run of non-word characters or underscores."""
+    if not s or s.isascii():
+        return (s or "").lower().translate(_ASCII).split()
+    return re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", s).lower()).split()
+
+
 @F.pandas_udf(T.StringType())
 def nfkc_words(texts: pd.Series) -> pd.Series:
-    """NFKC, lower case, every run of non-word characters or underscores one space."""
-    return texts.map(lambda s: " ".join(re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", s or "").lower()).split()))
+    """The words of each text with one space between them."""
+    return texts.map(lambda s: " ".join(words_of(s)))
 
 
 @lru_cache(maxsize=1 << 16)
