@@ -300,17 +300,16 @@ class Garble:
                     except UnicodeDecodeError:
                         continue
 
+        def likelier(run: str, true: tuple[str, ...], share: float) -> str:
+            costs = {t: self._cost(t) for t in dict.fromkeys(options(run, true))}  # most runs have no reading
+            t = min(costs, key=costs.get, default=run)
+            return t if costs and costs[t] < share * self._cost(run) else run
+
         def utf8(m: re.Match) -> str:
-            run = m.group()
-            t = min(options(run, ("utf-8",)), key=self._cost, default=run)
-            return t if self._cost(t) < self._cost(run) else run
+            return likelier(m.group(), ("utf-8",), 1.0)
 
         def legacy(m: re.Match) -> str:
-            run = m.group()
-            if not self._legacy_run(run):
-                return run
-            t = min(options(run, (*LEGACY_WIDE, *SINGLE_CYRILLIC)), key=self._cost, default=run)
-            return t if self._cost(t) < 0.3 * self._cost(run) else run
+            return likelier(m.group(), (*LEGACY_WIDE, *SINGLE_CYRILLIC), 0.3) if self._legacy_run(m.group()) else m.group()
 
         for runs in (self.any_run, self.bare_run, self.cyrillic_run):
             s = runs.sub(utf8, s)

@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,10 +73,14 @@ TEXT_END = "\x01"
 SPLIT = {True: re.compile(TITLE_PART), False: re.compile(SENTENCE)}
 # The same marks by character, for whole batches: those that always end a segment and those that may.
 LETTER, SPACE, ALWAYS, MAYBE, CLOSE = 1, 2, 4, 8, 16
+#: Bits of a character's mark from which its script (three bits) and its code in the tables stand.
+SCRIPT_AT, CODE_AT = 5, 8
 ALWAYS_END = {True: "|[]()\n\r\u2028\u2029", False: "。！？\n\r\u2028\u2029|"}
 MAYBE_END = {True: "=/", False: ".!?…"}
 INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 ODD_FORMS = re.compile("[\\xad\\u200b-\\u200d\\u2060\\ufeff\\u0300-\\u036f\\uff01-\\uff5e\\ufb00-\\ufb06]")
+#: What ``_plain`` changes holds one of the two or ``TEXT_END``; RE2, run by Arrow over whole batches.
+MAY_BE_ODD = r"[\x{ad}\x{200b}-\x{200d}\x{2060}\x{feff}\x{300}-\x{36f}\x{ff01}-\x{ff5e}\x{fb00}-\x{fb06}\x{1}]|[\x{370}-\x{52f}][A-Za-z]|[A-Za-z][\x{370}-\x{52f}]"
 
 
 def canonical_label(label: str | None) -> str | None:
@@ -148,7 +153,7 @@ class Tables:
 
     def __init__(self, automata: list[SuffixAutomaton]) -> None:
         letters = sorted({c for a in automata for t in a.next for c in t})
-        self.code = np.full(1 << 16, UNKNOWN, np.int16)
+        self.code = np.full(1 << 16, UNKNOWN, np.int32)  # as wide as a state, or each step would convert all codes
         self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         size = len(letters) + 1
         rows = sum(len(a.next) for a in automata)
@@ -214,18 +219,18 @@ class Model:
         self.scale = np.array([automata[k].bits / full if k in automata else 1.0 for k in LANGS])
         self.latin = Tables([automata[LANGS[k]] for k in LATIN])
         self.han = [automata[LANGS[k]] for k in HAN]
-        script = np.zeros(1 << 16, np.int8)  # 1 Latin, 2 Cyrillic, 3 Hangul, 4 Han and kana
+        script = np.zeros(1 << 16, np.int32)  # 1 Latin, 2 Cyrillic, 3 Hangul, 4 Han and kana
         for low, high, number in ((0x41, 0x2B0, 1), (0x1E00, 0x1F00, 1), (0x400, 0x530, 2), (0xAC00, 0xD7A4, 3), (0x1100, 0x1200, 3), (0x3040, 0x3100, 4), (0x3400, 0xA000, 4), (0x3005, 0x3006, 4)):
             script[low:high] = number
-        self.script = script
         alpha = np.array([chr(i).isalnum() and not chr(i).isdecimal() for i in range(1 << 16)])
         space = np.array([chr(i).isspace() for i in range(1 << 16)])
-        self.kinds = {}
+        # what a character is, its script and its code in the tables as one number, so that a text is looked up once
+        self.marks = {}
         for titles in (True, False):
             kind = np.where(alpha, LETTER, 0) | np.where(space, SPACE, 0)
             for chars, what in ((ALWAYS_END[titles] + TEXT_END, ALWAYS), (MAYBE_END[titles], MAYBE), ("\"”»’)", CLOSE)):
                 kind[[ord(c) for c in chars]] |= what
-            self.kinds[titles] = kind.astype(np.uint8)
+            self.marks[titles] = (kind | script << SCRIPT_AT | self.latin.code << CODE_AT).astype(np.int32)
 
     def parse(self, texts: list[str], titles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All segments of all texts: (text number, cost of each language, letters, words).
@@ -236,7 +241,8 @@ class Model:
         points = _letters_of(joined)
         if not len(points):
             return np.zeros(0, np.int64), np.zeros((0, len(LANGS))), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        kind = self.kinds[titles][points]
+        marks = self.marks[titles].take(points)
+        kind = marks.astype(np.uint8)
         ends = kind & ALWAYS != 0
         before, after = np.roll(kind, 1), np.roll(kind, -1)
         before[0] = after[-1] = 0
@@ -248,42 +254,40 @@ class Model:
             ends |= (kind & MAYBE != 0) & ((after & SPACE != 0) | ((after & CLOSE != 0) & (twice & SPACE != 0)))
         letter = kind & LETTER != 0
         # letters, and one sign for all that stands between two words: what a segment begins and ends with, too
-        run = np.flatnonzero(~letter & np.r_[True, letter[:-1]])
+        kept = ~letter & np.r_[True, letter[:-1]]
+        run = np.flatnonzero(kept)
         parts = np.zeros(len(run), bool)
-        texts_ended = np.zeros(len(run), np.int64)
-        if len(run):
-            parts = np.maximum.reduceat(np.where(letter, False, ends), run)
-            texts_ended = np.add.reduceat(points == ord(TEXT_END), run)
-        kept = letter.copy()
-        kept[run] = True
+        parts[np.searchsorted(run, np.flatnonzero(ends & ~letter), "right") - 1] = True
+        texts_ended = np.bincount(np.searchsorted(run, np.flatnonzero(points == ord(TEXT_END)), "right") - 1, minlength=len(run))
+        kept |= letter
         place = np.flatnonzero(kept)
-        lead = 0 if len(run) and run[0] == 0 else 1  # a sign before the first word
-        points = np.r_[np.full(lead, ord(" "), points.dtype), np.where(letter[place], points[place], ord(" "))]
-        sign = np.searchsorted(place, run) + lead
-        cuts = np.r_[np.zeros(lead, np.int64), sign[parts | (np.arange(len(run)) == 0) & (lead == 0)]]
-        low, high = cuts[:-1], cuts[1:]
-        some = high - low > 1
-        number = np.cumsum(np.r_[np.zeros(lead, np.int64), texts_ended])[np.searchsorted(np.r_[np.zeros(lead, np.int64), sign], low)]
-        low, high, number = low[some], high[some], number[some]
-        joined = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-        spaces = np.r_[0, np.cumsum(points == ord(" "))]
-        n_words = spaces[high] - spaces[low]
-        high = high + 1
-        of = self.script[points]
-        letters = np.zeros((5, len(low)), np.int64)
-        for k in range(1, 5):
-            upto = np.r_[0, np.cumsum(of == k)]
-            letters[k] = upto[high] - upto[low]
+        lead = int(letter[0])  # a sign before the first word
+        sign = np.flatnonzero(~letter[place]) + lead
+        char = np.full(len(place) + lead, self.marks[titles][ord(" ")], np.int32)
+        char[lead:] = marks[place]
+        char[sign] = self.marks[titles][ord(" ")]
+        # signs where a segment ends and the next one begins, by their number
+        parts[0] |= not lead
+        cut = np.r_[np.zeros(lead, np.int64), np.flatnonzero(parts) + lead]
+        cuts = np.r_[np.zeros(lead, np.int64), sign][cut]
+        of = np.repeat(np.arange(0, 8 * len(cuts) - 8, 8), np.diff(cuts))
+        of += char[cuts[0] : cuts[-1]] >> SCRIPT_AT & 7
+        letters = np.bincount(of, minlength=8 * len(cuts) - 8).reshape(-1, 8).T
+        some = np.diff(cuts) > 1
+        low, high, n_words, letters = cuts[:-1][some], cuts[1:][some], np.diff(cut)[some], letters[:5, some]
+        letters[0] = 0
+        number = np.cumsum(np.r_[np.zeros(lead, np.int64), texts_ended])[cut[:-1]][some]
         main = letters.argmax(axis=0)
         far = 2.0 * letters.sum(axis=0)[:, None] + 1
         cost = np.repeat(far, len(LANGS), axis=1)
         latin = np.flatnonzero(main == 1)
-        cost[latin, :8] = self.latin.phrases(self.latin.code[points], low[latin], high[latin])
+        cost[latin, :8] = self.latin.phrases(char >> CODE_AT, low[latin], high[latin] + 1)
         cost[main == 2, LANGS.index("ru")] = 1
         cost[main == 3, LANGS.index("ko")] = 1
         for i in np.flatnonzero(main == 4).tolist():
-            piece = joined[low[i] : high[i]].replace(" ", "")
-            cost[i, 10:] = [a.phrases(piece) for a in self.han]
+            piece = place[low[i] + 1 - lead : high[i] - lead]
+            text = points[piece[letter[piece]]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            cost[i, 10:] = [a.phrases(text) for a in self.han]
         return number, cost * self.scale, letters[1] + letters[2] + 3 * (letters[3] + letters[4]), n_words
 
     @staticmethod
@@ -304,7 +308,9 @@ class Model:
         A text with a segment that no language explains well (``STRANGE`` phrases a letter) may be garbled: it is
         repaired if so, and parsed again.
         """
-        raw, texts = texts, [_plain(t) for t in texts]
+        raw, texts = texts, list(texts)
+        for k in np.flatnonzero(pc.match_substring_regex(pa.array(texts, pa.string()), MAY_BE_ODD)).tolist():
+            texts[k] = _plain(texts[k])
         number, cost, letters, words = self.parse(texts, titles)
         best, confidence = self.decide(cost, letters, words)
         odd = np.unique(number[(cost.min(axis=1, initial=np.inf) > STRANGE * letters) | (best < 0)]) if len(cost) else []

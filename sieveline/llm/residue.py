@@ -49,12 +49,16 @@ _NAME = rf"{_IDENT}(?: {_IDENT}){{0,2}}"
 MARK = re.compile(r"(?<![\\_^])(?:" + "|".join(("(?<![0-9])" if a == "%" else "") + rf"{re.escape(a)}\s*{_NAME}(?:\|\w+)?\s*{re.escape(b)}" for a, b in STYLES) + r")|\{\d\}|%(?:\d\$)?[sd](?![\w%])")
 TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[a-z\-]+=[^<>]*)?/?>")
 # The patterns below are RE2, run by Arrow over whole batches.
-MAY_MARK = r"[{\[<%]|__|@@|&lt;|\$\("
+# MAY_MARK finds each text with a mark or a tag and few others: any sign beyond ASCII may be a letter or a space there.
+_L, _W, _S = r"[A-Za-z\x{80}-\x{10ffff}]", r"[0-9A-Za-z_\x{80}-\x{10ffff}]", r"[\x{9}-\x{d}\x{1c}-\x{20}\x{80}-\x{10ffff}]*"
+_I = rf"{_L}(?:{_W}|[.\-])*"
+MAY_MARK = "|".join(rf"{re.escape(a)}{_S}{_I}(?: {_I}){{0,2}}(?:\|{_W}+)?{_S}{re.escape(b)}" for a, b in STYLES) + r"|\{[0-9\x{80}-\x{10ffff}]\}|%(?:[0-9\x{80}-\x{10ffff}]\$)?[sd]|</?[A-Za-z]"
 _DIGITS = r"[0-9](?:[0-9a-f]|[.,:][0-9])*"
 NUMBER = rf"\b[a-f]{{1,6}}{_DIGITS}|{_DIGITS}"
 ASKS = r"\?[\"”»’)]?\s"
 SEGMENT = r"[\n\r\x{2028}\x{2029}。！？]+|\s\|\s|[.!][\"”»’)]?\s|\*{2,}|\s>\s"
-WORDS = r"[^\pL\pM\pN▢?\n]+"
+#: what parts words, but for single spaces, which stay
+WORDS = r"[^\pL\pM\pN▢?\n ]+"
 #: what is a word by itself
 ALONE = r"([\x{3040}-\x{30ff}\x{3400}-\x{9fff}?])"
 
@@ -85,9 +89,11 @@ def frames_of(values: pa.Array) -> tuple[pa.ListArray, list[list[str]]]:
     may = np.flatnonzero(pc.match_substring_regex(t, MAY_MARK).to_numpy(zero_copy_only=False))
     if len(may):
         some = t.take(pa.array(may)).to_pylist()
+        masked = []
         for i, text in zip(may.tolist(), some):
-            marks[i] = MARK.findall(text)
-        masked = [TAG.sub(" ", MARK.sub(f" {SLOT} ", text)) for text in some]
+            found: list[str] = []
+            masked.append(TAG.sub(" ", MARK.sub(lambda m: found.append(m.group()) or f" {SLOT} ", text)))  # noqa: B023
+            marks[i] = found
         mask = np.zeros(len(t), bool)
         mask[may] = True
         t = pc.replace_with_mask(t, pa.array(mask), pa.array(masked, t.type))
@@ -105,9 +111,13 @@ def frames_of(values: pa.Array) -> tuple[pa.ListArray, list[list[str]]]:
     return _lists(row, frames, len(values)), marks
 
 
+#: Run by Java. Its repeats are lazy, so that the first two words of most frames are all that is read.
+WORDY = r"\p{L}{2,} (?:.*? )??\p{L}{2}|(?:[\x{3040}-\x{30ff}\x{3400}-\x{9fff}] +){3}|\x{25a2} (?:.*? )??(?:\x{25a2}|\p{L}{3})|\p{L}{3,} (?:.*? )??\x{25a2}"
+
+
 def _wordy(frame: Column) -> Column:
     """Frames of fewer words (or East Asian letters) are met in any field by chance; questions are no template."""
-    return frame.rlike(r"\p{L}{2,} (?:.* )?\p{L}{2,}|(?:[\x{3040}-\x{30ff}\x{3400}-\x{9fff}] +){3}|\x{25a2} (?:.* )?(?:\x{25a2}|\p{L}{3,})|\p{L}{3,} (?:.* )?\x{25a2}") & ~frame.endswith("?")
+    return frame.rlike(WORDY) & ~frame.endswith("?")
 
 
 def framed(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
@@ -123,6 +133,11 @@ def framed(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def hashed(frames: DataFrame) -> DataFrame:
+    """``frames`` with ``hashes`` of those that may be templates, written beside them: three passes read these alone."""
+    return frames.withColumn("hashes", F.transform(F.filter("frames", _wordy), lambda frame: F.xxhash64(frame)))
+
+
 def templates(frames: DataFrame, min_aligned: int = MIN_ALIGNED) -> DataFrame:
     """``hash`` of the frames that are templates, from ``hash, work_id, field_name``: at least ``min_aligned`` works hold
     it in one field only (a title copied into its own abstract says nothing), and not all of them in the same field.
@@ -294,8 +309,8 @@ def residue_evidence(df: DataFrame, id_col: str, fields: list[str], min_aligned:
 
     Frames are written once. Counts are combined map-side and joined with a shuffle; only the vocabulary is broadcast.
     """
-    rows = written(framed(df, id_col, fields), "frames")
-    each = rows.select("work_id", "field_name", F.explode("frames").alias("frame")).where(_wordy(F.col("frame"))).select("work_id", "field_name", F.xxhash64("frame").alias("hash"))
+    rows = written(hashed(framed(df, id_col, fields)), "frames")
+    each = rows.select("work_id", "field_name", F.explode("hashes").alias("hash"))
     hashes = written(templates(each, min_aligned), "templates")
     lexicon = _vocabulary(rows, hashes)
     sent = df.sparkSession.sparkContext.broadcast(lexicon)

@@ -92,3 +92,11 @@ def test_operator(spark, rows):
     got = rows(garbled_fields(df, "work_id", ["title", "abstract"]), "work_id", "field_name", "complete")
     assert got == [("1", "title", True), ("3", "abstract", True), (None, "abstract", False)]
     assert garbled_fields(df.limit(0), "work_id", ["title"]).count() == 0
+
+
+def test_runs_without_a_reading_cost_nothing(monkeypatch):
+    asked = []
+    cost = G._cost
+    monkeypatch.setattr(G, "_cost", lambda s: asked.append(s) or cost(s))
+    assert G._whole_runs("été, naïve façade") == "été, naïve façade" and asked == []
+    assert G._whole_runs("Ã©tÃ©") == "été" and len(asked) == len(set(asked))

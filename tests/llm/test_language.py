@@ -85,6 +85,27 @@ def test_segments_are_those_of_the_patterns(texts, titles):
 SMALL = Model(start_texts())
 
 
+def test_codes_and_scripts_are_looked_up_with_the_kinds():
+    """One lookup a character, as wide as the states that the codes are added to."""
+    from sieveline.llm.language import CODE_AT, SCRIPT_AT
+
+    latin = SMALL.latin
+    for marks in SMALL.marks.values():
+        assert marks.dtype == latin.code.dtype == latin.to.dtype and (marks >> CODE_AT == latin.code).all()
+        assert [int(marks[ord(c)] >> SCRIPT_AT & 7) for c in "aéжо한語 1"] == [1, 1, 2, 2, 3, 4, 0, 0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aZé\x01\xad\u200b\u0301\uff21\ufb01\n α"), st.characters(min_codepoint=0x360, max_codepoint=0x540)), max_size=6))
+def test_texts_that_change_are_all_made_plain(text):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from sieveline.llm.language import MAY_BE_ODD, _plain
+
+    assert _plain(text) == text or pc.match_substring_regex(pa.array([text]), MAY_BE_ODD).to_pylist() == [True]
+
+
 def test_held_out_sentences_with_the_start_alone():
     model = Model(start_texts())
     number, best, confidence, _, _ = model.label(list(HELD_OUT.values()), False)

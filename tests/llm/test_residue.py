@@ -1,7 +1,11 @@
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from sieveline.llm.residue import _filler, _tokens, make_lexicon, residue_evidence, residue_fields, span_scores
+from sieveline.llm.residue import MARK, MAY_MARK, STYLES, TAG, WORDY, _filler, _tokens, make_lexicon, residue_evidence, residue_fields, span_scores
 
 SCHEMA = "work_id string, title_display string, abstract_display string"
 FIELDS = ["title_display", "abstract_display"]
@@ -89,3 +93,31 @@ def test_empty_long_clashing_names(spark):
     assert residue_fields(df, "work_id", ["title_display"]).count() == 3
     assert residue_fields(df.limit(0), "work_id", ["title_display"]).count() == 0
     assert residue_evidence(df, "work_id", ["abstract_display"]).count() == 0
+
+
+def test_frames_are_matched_against_the_pattern_once(spark):
+    """The counts and the last join read the hashes written with the frames."""
+    plan = residue_evidence(spark.createDataFrame(corpus(), SCHEMA), "work_id", FIELDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hashes" in plan and "RLIKE" not in plan
+
+
+def test_percentages_and_brackets_are_no_marks():
+    texts = pa.array(["95 % of the 40 towns and 30% of the rest (p < 0.05)", "rain [12, 13] and {1, 2}", "an interval [0.4; 0.6]", "a % b"])
+    assert pc.match_substring_regex(texts, MAY_MARK).to_pylist() == [False] * 4
+
+
+PARTS = [x for a, b in STYLES for x in (a, b)] + ["a", "é", "²", "٣", "0", " ", "\xa0", "\x1f", "\n", "_", ".", "-", "|", "/", "$", "%s", "%1$s", "{0}", "</p>", "<b class='x'>", "name", "Titel der Arbeit"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=9).map("".join))
+def test_texts_with_a_mark_or_a_tag_are_all_read(text):
+    if MARK.search(text) or TAG.search(text):
+        assert pc.match_substring_regex(pa.array([text]), MAY_MARK).to_pylist() == [True]
+
+
+def test_the_lazy_pattern_finds_the_frames_of_the_greedy_one(spark):
+    rng = np.random.default_rng(8)
+    frames = [" ".join(rng.choice(["a", "ab", "abc", "é", "жук", "▢", "字", "0", "00", "?", "x1", "1ab"], rng.integers(1, 7))) for _ in range(3000)]
+    greedy = WORDY.replace(".*? )??", ".* )?")
+    assert greedy != WORDY and spark.createDataFrame([(f,) for f in frames], "frame string").where(F.col("frame").rlike(WORDY) != F.col("frame").rlike(greedy)).count() == 0
